@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from estrato.functions.numbers import percent, stable_round
+from estrato.session import cut_lineage
 
 
 def n_rows() -> Column:
@@ -40,15 +41,25 @@ def counts(df: DataFrame, *by: str, alias: str = "n") -> DataFrame:
 
 
 def share(
-    df: DataFrame, by: str, null_label: str | None = None, scale: int = 2, count: str = "n", pct: str = "pct"
+    df: DataFrame,
+    by: str,
+    null_label: str | None = None,
+    scale: int = 2,
+    count: str = "n",
+    pct: str = "pct",
+    cut: bool = False,
 ) -> DataFrame:
     """Rows per group and their percentage of all rows.
 
-    The total is a scalar subquery over the grouped counts, so the input is read
-    and shuffled once.
+    The total is a scalar subquery over the grouped counts and shares their
+    shuffle.  Above joins, adaptive planning may run the two differently and
+    evaluate the input twice; ``cut`` checkpoints the counts (one row per group)
+    so that a dear input is evaluated once.
     """
     column = F.col(by) if null_label is None else F.coalesce(F.col(by).cast("string"), F.lit(null_label))
     grouped = df.groupBy(column.alias(by)).agg(n_rows().alias(count))
+    if cut:
+        grouped = cut_lineage(grouped)
     total = grouped.agg(F.sum(count)).scalar()
     return grouped.select(by, count, percent(F.col(count), total, scale).alias(pct))
 

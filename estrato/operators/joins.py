@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -22,19 +23,25 @@ def enrich(fact: DataFrame, dimension: DataFrame, on: Sequence[str], guard: bool
     return fact.join(unique_on(dimension, on) if guard else dimension, list(on), "left")
 
 
-def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
-    """Keys that hold at least ``share`` of all rows: at most ``1 / share`` rows.
+def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
+    """Keys that hold about ``share`` of all rows or more; at most ``1 / share`` of them.
 
-    The counts are combined before the shuffle, and the total is a sum over the
-    same counts.
+    One pass with a sketch of bounded size, no shuffle by the key.  The counts are
+    estimates, which is enough for a choice that only affects speed.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.filter(F.col(key).isNotNull() & (F.col("_n") >= total * share)).select(key)
+    top = math.ceil(1 / share)
+    sketch = F.expr(f"approx_top_k(`{key}`, {top}, {20 * top})")
+    found = df.filter(F.col(key).isNotNull()).agg(sketch.alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return [item["item"] for item in found["top"] or () if item["count"] >= share * found["n"]]
 
 
 def split_join(
-    left: DataFrame, right: DataFrame, on: str, how: str = "left", share: float = 0.01, salts: int = SALTS
+    left: DataFrame,
+    right: DataFrame,
+    on: str,
+    how: str = "left",
+    hot: Sequence | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Inner or left join that spreads the hot keys of ``left`` over many tasks.
 
@@ -43,26 +50,21 @@ def split_join(
     row with a hot key joins on (key, one salt of its own), and the right rows of
     just those keys are repeated once per salt.  All other rows join on (key, 0).
     The result is that of the plain join, also for repeated keys on the right.
+    ``hot`` names the keys if they are known, else ``hot_keys`` looks for them.
 
     The salt is a hash of the row, not a random number, so a task that is run
     again after a lost executor sends its rows to the same partitions.
     """
     if how not in ("inner", "left"):
         raise ValueError("split_join does inner and left joins")
-    # Broadcast is safe at any scale: at most 1/share rows by construction.
-    hot = F.broadcast(hot_keys(left, on, share).select(F.col(on).alias("_hot")))
+    hot = hot_keys(left, on) if hot is None else hot
+    is_hot = F.coalesce(F.col(on).isin(*hot), F.lit(False)) if hot else F.lit(False)
     row_hash = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
     # Rows without a key match nothing, so they may go anywhere.
-    left_salt = F.when(F.col("_hot").isNotNull() | F.col(on).isNull(), row_hash).otherwise(F.lit(0))
-    right_salts = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-
-    def flagged(df: DataFrame) -> DataFrame:
-        return df.join(hot, F.col(on) == F.col("_hot"), "left")
-
-    salted_left = flagged(left).withColumn("_salt", left_salt).drop("_hot")
-    salted_right = flagged(right).withColumn("_salt", F.explode(right_salts)).drop("_hot")
+    left_salt = F.when(is_hot | F.col(on).isNull(), row_hash).otherwise(F.lit(0))
+    right_salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_left = left.withColumn("_salt", left_salt)
+    salted_right = right.withColumn("_salt", F.explode(right_salts))
     return salted_left.join(salted_right, [on, "_salt"], how).drop("_salt")
 
 

@@ -87,17 +87,17 @@ def prediction_table(df: DataFrame, image: str, label: str, score: str, levels=C
 def accuracy(df: DataFrame, label: str, predicted: str, overall: str = "(all)") -> DataFrame:
     """Share of right predictions per true label and overall, as (label, n, accuracy).
 
-    The overall row is summed from the per-label rows, which are shuffled once.
+    A rollup counts both in one aggregate.  Rows without a true label are left out.
     """
     hit = F.coalesce(F.col(label) == F.col(predicted), F.lit(False))
-    cells = (
-        df.filter(F.col(label).isNotNull())
-        .groupBy(F.col(label).cast("string").alias("label"))
-        .agg(n_rows().alias("n"), F.count_if(hit).alias("hits"))
+    judged = df.filter(F.col(label).isNotNull()).select(F.col(label).cast("string").alias("label"), hit.alias("hit"))
+    rate = stable_round(F.try_divide(F.count_if("hit"), n_rows()), 4)
+    return (
+        judged.rollup("label")
+        .agg(F.grouping("label").alias("_all"), n_rows().alias("n"), rate.alias("accuracy"))
+        .filter("n > 0")
+        .select(F.when(F.col("_all") == 1, overall).otherwise(F.col("label")).alias("label"), "n", "accuracy")
     )
-    total = cells.agg(F.lit(overall).alias("label"), F.sum("n").alias("n"), F.sum("hits").alias("hits"))
-    rate = stable_round(F.try_divide(F.col("hits"), F.col("n")), 4)
-    return cells.unionByName(total.filter("n IS NOT NULL")).select("label", "n", rate.alias("accuracy"))
 
 
 def confusion(df: DataFrame, label: str, predicted: str) -> DataFrame:

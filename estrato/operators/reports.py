@@ -12,20 +12,27 @@ from estrato.functions.numbers import percent, stable_round
 from estrato.operators.aggregates import counts, n_rows
 from estrato.operators.rules import Rule
 from estrato.operators.stats import exact_quantiles
+from estrato.session import cut_lineage
 
 
-def domain(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
-    """Fixed domain with its order, as a table of ``position`` and ``column``."""
-    rows = [(i, v) for i, v in enumerate(values)]
-    return df.sparkSession.createDataFrame(rows, f"position int, `{column}` string")
+def domain_rows(row: DataFrame, column: str, values: Sequence[str], measures: dict[str, list[str]]) -> DataFrame:
+    """One result row as a row per domain value: position, value, its measures."""
+    rows = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(v).alias(column),
+            *[F.col(cells[i]).alias(name) for name, cells in measures.items()],
+        )
+        for i, v in enumerate(values)
+    ]
+    return row.select(F.inline(F.array(*rows)))
 
 
 def domain_counts(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     """Rows per value of a fixed domain; 0 where there are none, others left out."""
-    found = counts(df.filter(F.col(column).isin(*values)), column)
-    return domain(df, column, values).join(found, column, "left").select(
-        "position", column, F.coalesce("n", F.lit(0)).alias("n")
-    )
+    cells = [f"n{i}" for i in range(len(values))]
+    row = df.agg(*[F.count_if(F.col(column) == v).alias(c) for c, v in zip(cells, values)])
+    return domain_rows(row, column, values, {"n": cells})
 
 
 def sum_by(df: DataFrame, by: str, measure: str, scale: int = 2) -> DataFrame:
@@ -53,20 +60,23 @@ def label_counts(df: DataFrame, column: str, null_label: str) -> DataFrame:
     return counts(labelled, column).orderBy(F.desc("n"), column)
 
 
-def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
+def histogram(df: DataFrame, column: str, bins: int = 20, cut: bool = False) -> DataFrame:
     """Equal bins over [min, max], the last one closed; empty bins are kept.
 
     A constant column gets a range of width 1 around its value.  NULL and NaN
-    are left out.  Bounds come from a scalar subquery, so the plan stays lazy.
+    are left out.  The bounds are a scalar subquery, so the values are read
+    twice; ``cut`` checkpoints them first if they are dear to compute.
     """
     values = df.select(F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    if cut:
+        values = cut_lineage(values)
     lo, hi = F.min("x"), F.max("x")
     half = F.when(lo == hi, 0.5).otherwise(0.0)
     bounds = values.agg(F.struct((lo - half).alias("lo"), (hi + half).alias("hi")).alias("b")).scalar()
     width = (bounds["hi"] - bounds["lo"]) / bins
     position = F.least(F.floor((F.col("x") - bounds["lo"]) / width), F.lit(bins - 1)).cast("int")
     found = counts(values.select(position.alias("bin")), "bin")
-    edges = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    edges = df.sparkSession.range(0, bins, 1, 1).select(F.col("id").cast("int").alias("bin"))
     return edges.join(found, "bin", "left").select(
         "bin",
         stable_round(bounds["lo"] + width * F.col("bin"), 4).alias("from_value"),
@@ -75,11 +85,16 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     )
 
 
-def center(df: DataFrame, column: str) -> DataFrame:
+def center(df: DataFrame, column: str, cut: bool = False) -> DataFrame:
     """Mean and exact median of the values that are there; one row."""
-    mean = df.agg(stable_round(F.avg(column), 4).alias("mean"))
-    median = exact_quantiles(df, {column: [0.5]})
-    return mean.select("mean", stable_round(median.select("value").scalar(), 4).alias("median"))
+    values = df.select(column)
+    if cut:
+        values = cut_lineage(values)
+    median = exact_quantiles(values, {column: [0.5]})
+    return values.agg(
+        stable_round(F.avg(column), 4).alias("mean"),
+        stable_round(median.select("value").scalar(), 4).alias("median"),
+    )
 
 
 def measure_spread(df: DataFrame, by: str, measure: str, scale: int = 6) -> DataFrame:
@@ -133,12 +148,15 @@ def rule_failures(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def measure_by_domain(df: DataFrame, by: str, measure: str, values: Sequence[str], scale: int = 2) -> DataFrame:
-    """Mean and sum per value of a fixed domain; an absent value has no mean and no sum."""
-    found = df.filter(F.col(by).isin(*values)).groupBy(by).agg(
-        stable_round(F.avg(measure), scale).alias("mean"),
-        stable_round(F.coalesce(F.sum(measure), F.lit(0.0)), scale).alias("total"),
-    )
-    return domain(df, by, values).join(found, by, "left").select("position", by, "mean", "total")
+    """Mean and sum per value of a fixed domain; an absent value has neither."""
+    means, totals = ([f"{m}{i}" for i in range(len(values))] for m in ("mean", "total"))
+    out = []
+    for mean, total, v in zip(means, totals, values):
+        hit = F.when(F.col(by) == v, F.col(measure))
+        some = F.count_if(F.col(by) == v) > 0
+        out.append(stable_round(F.avg(hit), scale).alias(mean))
+        out.append(F.when(some, stable_round(F.coalesce(F.sum(hit), F.lit(0.0)), scale)).alias(total))
+    return domain_rows(df.agg(*out), by, values, {"mean": means, "total": totals})
 
 
 def mean_by(df: DataFrame, by: str, measure: str, scale: int = 4) -> DataFrame:

@@ -6,15 +6,17 @@ import math
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from estrato.functions.numbers import stable_round
-from estrato.session import cut_lineage
+from estrato.schemas import literal_rows
 
-# Accuracy of the sketches that narrow the search of exact_quantiles.
+# Accuracy of the sketches that narrow the search of exact_quantiles, and the
+# share of ranks by which their guesses are widened.
 SKETCH = 10_000
+SLACK = 2 / SKETCH
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -72,125 +74,136 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None, scale: int
     return row.select(F.inline(F.array(*cells)))
 
 
-class _Search:
-    """Bracket around the value with 0-based rank ``rank`` in one column."""
-
-    def __init__(self, column: str, rank: int, lo: float, hi: float):
-        self.column, self.rank, self.lo, self.hi = column, rank, lo, hi
-        self.value: float | None = None
-        self.guess: tuple[float, float] | None = None
-
-    def inside(self, x):
-        return (x > self.lo) & (x < self.hi)
+class _Bracket:
+    """Open ranks of one column, known to lie strictly between two values.
 
+    ``start`` values lie at or below ``lo`` and ``size`` between ``lo`` and
+    ``hi``; None stands for an open end.
+    """
 
-def exact_quantiles(
-    df: DataFrame, wanted: dict[str, Sequence[float]], limit: int = 100_000, reuse: bool = False
-) -> DataFrame:
+    def __init__(self, column: str, ranks: set[int], lo: float | None, hi: float | None, start: int, size: int):
+        self.column, self.ranks, self.lo, self.hi, self.start, self.size = column, ranks, lo, hi, start, size
+        self.guess: tuple[float, float] = (math.nan, math.nan)
+
+    @property
+    def x(self) -> Column:
+        return F.col(f"`{self.column}`")
+
+    def sketch(self) -> Column:
+        """Values a little outside the open ranks."""
+        inside = F.lit(True)
+        if self.lo is not None:
+            inside &= self.x > self.lo
+        if self.hi is not None:
+            inside &= self.x < self.hi
+        at = [(rank - self.start) / max(self.size - 1, 1) for rank in self.ranks]
+        return _sketch(F.when(inside, self.x), min(at), max(at))
+
+    def few(self, limit: int) -> bool:
+        """Whether few enough values can lie strictly inside the guess.
+
+        A guess spans 2 SLACK of the ranks (and two neighbouring ones), and the
+        sketch may be off by 1 / SKETCH on either side.
+        """
+        return self.size * 2 * (SLACK + 1 / SKETCH) <= limit
+
+    def probes(self, limit: int) -> list[Column]:
+        """Counts around the guess and, if they are few, the values inside it."""
+        a, b = self.guess
+        out = [F.count_if(c) for c in (self.x < a, self.x <= a, self.x < b, self.x <= b)]
+        if self.few(limit):
+            out.append(F.sort_array(F.collect_list(F.when((self.x > a) & (self.x < b), self.x))))
+        return out
+
+    def resolve(self, probed: list, found: dict) -> list[_Bracket]:
+        """Note the values that are settled; return brackets for the other ranks."""
+        a, b = self.guess
+        below, upto_a, below_b, upto_b = probed[:4]
+        inside = probed[4] if len(probed) > 4 else None
+        left, middle, right = set(), set(), set()
+        for rank in self.ranks:
+            if rank < below:
+                left.add(rank)
+            elif rank < upto_a:
+                found[self.column, rank] = a
+            elif rank < below_b:
+                if inside is None:
+                    middle.add(rank)
+                else:
+                    found[self.column, rank] = inside[rank - upto_a]
+            elif rank < upto_b:
+                found[self.column, rank] = b
+            else:
+                right.add(rank)
+        parts = (
+            (left, self.lo, a, self.start, below - self.start),
+            (middle, a, b, upto_a, below_b - upto_a),
+            (right, b, self.hi, upto_b, self.start + self.size - upto_b),
+        )
+        return [_Bracket(self.column, *part) for part in parts if part[0]]
+
+
+def exact_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]], limit: int = 100_000) -> DataFrame:
     """Exact interpolated quantiles as rows of (column_name, q, value).
 
-    Spark's exact percentile gathers all distinct values in one task.  Here each
-    round counts what lies below, on and between the two edges of a bracket
-    around the wanted rank, and sketches the inside to get tighter edges.  Every
-    round is one aggregate for all columns and ranks.  A heavy value ends up on
-    an edge, where it is only counted.  Values are gathered once a bracket is
-    known to hold no more than ``limit`` rows.  The driver sees a few numbers
-    per round.  NULL and NaN are left out.
-
-    ``reuse`` checkpoints the columns first, for inputs that are dear to compute.
+    Spark's exact percentile gathers all distinct values in one task.  Here a
+    sketch of bounded size first guesses a narrow bracket around each wanted
+    rank; then one aggregate for all columns counts what lies below, on and
+    between the edges.  A value that fills many rows ends up on an edge, where
+    it is only counted.  The values inside are gathered if no more than about
+    ``limit`` can be there, which holds at once up to some 100 million rows;
+    beyond, the bracket is sketched again.  Counts decide, so a bad guess costs a
+    round, not the result.  The driver sees a few numbers per round.  NULL and
+    NaN are left out.
     """
     columns = list(wanted)
     data = df.select(*[_real(c).alias(c) for c in columns])
-    if reuse:
-        data = cut_lineage(data)
     first = data.agg(
-        *[f(F.col(f"`{c}`")).alias(f"{a}{i}") for i, c in enumerate(columns) for a, f in
-          (("n", F.count), ("lo", F.min), ("hi", F.max))]
+        *[
+            F.struct(
+                F.count(F.col(f"`{c}`")).alias("n"),
+                *[_sketch(F.col(f"`{c}`"), q, q).alias(f"q{j}") for j, q in enumerate(wanted[c])],
+            ).alias(f"c{i}")
+            for i, c in enumerate(columns)
+        ]
     ).first()
-    found: dict[tuple[str, int], _Search] = {}
-    sizes = {c: first[f"n{i}"] for i, c in enumerate(columns)}
-    for i, c in enumerate(columns):
-        for q in wanted[c] if sizes[c] else ():
-            at = q * (sizes[c] - 1)
-            for rank in {math.floor(at), math.ceil(at)}:
-                found[c, rank] = _Search(c, rank, first[f"lo{i}"], first[f"hi{i}"])
 
-    while open_ := [s for s in found.values() if s.value is None]:
-        _narrow(data, open_, limit)
+    found: dict[tuple[str, int], float] = {}
+    open_: list[_Bracket] = []
+    for i, c in enumerate(columns):
+        n = first[f"c{i}"]["n"]
+        for j, q in enumerate(wanted[c] if n else ()):
+            at = q * (n - 1)
+            open_.append(_Bracket(c, {math.floor(at), math.ceil(at)}, None, None, 0, n))
+            open_[-1].guess = tuple(first[f"c{i}"][f"q{j}"])
+    while open_:
+        row = data.agg(*[_named(b.probes(limit)).alias(f"b{i}") for i, b in enumerate(open_)]).first()
+        open_ = [part for i, b in enumerate(open_) for part in b.resolve(list(row[f"b{i}"]), found)]
+        if open_:
+            row = data.agg(*[b.sketch().alias(f"b{i}") for i, b in enumerate(open_)]).first()
+            for i, b in enumerate(open_):
+                b.guess = tuple(row[f"b{i}"])
 
     rows = []
-    for c in columns:
+    for i, c in enumerate(columns):
+        n = first[f"c{i}"]["n"]
         for q in wanted[c]:
             value = None
-            if sizes[c]:
-                at = q * (sizes[c] - 1)
-                low, high = found[c, math.floor(at)].value, found[c, math.ceil(at)].value
+            if n:
+                at = q * (n - 1)
+                low, high = found[c, math.floor(at)], found[c, math.ceil(at)]
                 value = low + (high - low) * (at - math.floor(at))
             rows.append((c, float(q), value))
-    return df.sparkSession.createDataFrame(rows, "column_name string, q double, value double")
-
-
-def _narrow(data: DataFrame, searches: list[_Search], limit: int) -> None:
-    """One round: count around the brackets, then finish or tighten each."""
-    measures = []
-    for i, s in enumerate(searches):
-        x = F.col(f"`{s.column}`")
-        measures += [
-            F.count_if(x < s.lo).alias(f"below{i}"),
-            F.count_if(x == s.lo).alias(f"at_lo{i}"),
-            F.count_if(s.inside(x)).alias(f"inside{i}"),
-        ]
-    row = data.agg(*measures).first()
-
-    refine = []
-    for i, s in enumerate(searches):
-        start = row[f"below{i}"] + row[f"at_lo{i}"]
-        if s.rank < start:
-            s.value = s.lo
-        elif s.rank >= start + row[f"inside{i}"]:
-            s.value = s.hi
-        else:
-            refine.append((s, s.rank - start, row[f"inside{i}"]))
-    if not refine:
-        return
-
-    measures = []
-    for i, (s, offset, size) in enumerate(refine):
-        x = F.when(s.inside(F.col(f"`{s.column}`")), F.col(f"`{s.column}`"))
-        if size <= limit:
-            # Bounded: the counts say that at most `limit` values pass the condition.
-            measures.append(F.get(F.sort_array(F.collect_list(x)), F.lit(offset)).alias(f"r{i}"))
-        else:
-            # The sketch is off by at most size / SKETCH ranks on either side.
-            slack = 2 / SKETCH
-            at = (offset + 0.5) / size
-            measures.append(F.percentile_approx(x, [max(at - slack, 0.0), min(at + slack, 1.0)], SKETCH).alias(f"r{i}"))
-    row = data.agg(*measures).first()
-
-    checks, pending = [], []
-    for i, (s, offset, size) in enumerate(refine):
-        if size <= limit:
-            s.value = row[f"r{i}"]
-        else:
-            s.guess = tuple(row[f"r{i}"])
-            x = F.col(f"`{s.column}`")
-            checks += [
-                F.count_if(x < s.guess[0]).alias(f"below_lo{i}"),
-                F.count_if(x <= s.guess[1]).alias(f"upto_hi{i}"),
-            ]
-            pending.append((i, s))
-    if not pending:
-        return
-    row = data.agg(*checks).first()
-    for i, s in pending:
-        # Trust counts, not the sketch: an edge moves only to where the rank allows.
-        lo, hi = s.guess
-        if s.rank < row[f"below_lo{i}"]:
-            s.hi = lo
-        elif s.rank >= row[f"upto_hi{i}"]:
-            s.lo = hi
-        else:
-            s.lo, s.hi = lo, hi
+    return literal_rows(df.sparkSession, {"column_name": "string", "q": "double", "value": "double"}, rows)
+
+
+def _sketch(x: Column, low: float, high: float) -> Column:
+    """Values a little outside two rank fractions."""
+    return F.percentile_approx(x, [max(low - SLACK, 0.0), min(high + SLACK, 1.0)], SKETCH)
+
+
+def _named(columns: Sequence[Column]) -> Column:
+    return F.struct(*[c.alias(f"p{i}") for i, c in enumerate(columns)])
 
 
 def iqr_outliers(df: DataFrame, column: str, k: float = 1.5, error: float = 0.05, exact: bool = False) -> DataFrame:

@@ -6,6 +6,10 @@ value becomes NULL in one column instead of changing the column's type.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 VUELOS = {
@@ -124,3 +128,17 @@ PRODUCTS = {
 def struct_of(types: dict[str, str]) -> T.StructType:
     """``StructType`` for a ``{column: type}`` declaration."""
     return T.StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in types.items()))
+
+
+def empty_table(spark: SparkSession, types: dict[str, str]) -> DataFrame:
+    """No rows of the declared types; the optimizer drops joins with it."""
+    one = spark.range(0, 1, 1, 1).select(*[F.lit(None).cast(t).alias(c) for c, t in types.items()])
+    return one.filter(F.lit(False))
+
+
+def literal_rows(spark: SparkSession, types: dict[str, str], rows: Sequence[tuple]) -> DataFrame:
+    """A few rows given in the program, as literals of the plan."""
+    if not rows:
+        return empty_table(spark, types)
+    structs = [F.struct(*[F.lit(v).cast(t).alias(c) for v, (c, t) in zip(row, types.items())]) for row in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-HISTORY = "version bigint, committed_at timestamp, operation string, rows bigint"
+from estrato.schemas import empty_table, struct_of
+
+HISTORY = {"version": "bigint", "committed_at": "timestamp", "operation": "string", "rows": "bigint"}
 
 
 class SnapshotTable:
@@ -27,8 +29,8 @@ class SnapshotTable:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/history")
         files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         if not files.exists(path):
-            return self.spark.createDataFrame([], HISTORY)
-        return self.spark.read.schema(HISTORY).parquet(f"{self.path}/history")
+            return empty_table(self.spark, HISTORY)
+        return self.spark.read.schema(struct_of(HISTORY)).parquet(f"{self.path}/history")
 
     def _latest(self, condition=None) -> int | None:
         past = self.history() if condition is None else self.history().filter(condition)

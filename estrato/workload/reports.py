@@ -78,7 +78,7 @@ _EDGE = "lo + (hi - lo) / 20 * "
     "FROM range(20) r(i), b",
 )
 def amount_histogram(t: Tables):
-    return panel.histogram(decided(t, predictions=False), "claim_total", 20)
+    return panel.histogram(decided(t, predictions=False), "claim_total", 20, cut=True)
 
 
 @query(
@@ -86,7 +86,7 @@ def amount_histogram(t: Tables):
     f"{W} SELECT {rounded('avg(claim_total)', 4)} AS mean, {rounded('median(claim_total)', 4)} AS median FROM decided",
 )
 def amount_center(t: Tables):
-    return panel.center(decided(t, predictions=False), "claim_total")
+    return panel.center(decided(t, predictions=False), "claim_total", cut=True)
 
 
 @query(
@@ -117,7 +117,7 @@ def _share_sql(expression: str, name: str) -> str:
 
 @query("confidence_share", _share_sql(f"coalesce(confidence_level, '{NO_LEVEL}')", "confidence_level"))
 def confidence_share(t: Tables):
-    return share(decided(t), "confidence_level", NO_LEVEL)
+    return share(decided(t), "confidence_level", NO_LEVEL, cut=True)
 
 
 @query(
@@ -128,7 +128,7 @@ def coherence_share(t: Tables):
     named = decided(t).selectExpr(
         "CASE WHEN coalesce(r5_coherencia_severidad, true) THEN 'Coherente' ELSE 'Incoherente' END AS coherente"
     )
-    return share(named, "coherente")
+    return share(named, "coherente", cut=True)
 
 
 @query(
@@ -168,7 +168,7 @@ def prediction_coverage(t: Tables):
 
 @query("decision_share", _share_sql(f"coalesce(decision_final, '{NO_DECISION}')", "decision_final"))
 def decision_share(t: Tables):
-    return share(decided(t), "decision_final", NO_DECISION)
+    return share(decided(t), "decision_final", NO_DECISION, cut=True)
 
 
 @query(
