@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from estrato.functions.numbers import percent, stable_round
+from estrato.operators.shape import require
 from estrato.session import cut_lineage
 
 
@@ -74,7 +75,7 @@ def imbalance(df: DataFrame, by: str, floor_pct: float = 5.0) -> DataFrame:
 def top_share(df: DataFrame, by: str, measure: str, k: int = 5, scale: int = 2) -> DataFrame:
     """The ``k`` groups with the largest sum, and their percentage of these k sums."""
     top = (
-        df.filter(F.col(by).isNotNull())
+        require(df, by)
         .groupBy(by)
         .agg(stable_round(F.coalesce(F.sum(measure), F.lit(0.0)), scale).alias("total"))
         .orderBy(F.desc("total"), F.asc(by))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estrato.operators.dedup import unique_on
+from estrato.operators.shape import require
 
 SALTS = 64
 
@@ -17,7 +18,8 @@ def enrich(fact: DataFrame, dimension: DataFrame, on: Sequence[str], guard: bool
     """Left join of a dimension, so every fact row stays.
 
     ``guard`` makes the query fail if the dimension repeats a key, which would
-    multiply fact rows.  No broadcast is forced: Spark broadcasts a dimension
+    multiply fact rows (a query that reads no dimension column has no join, and
+    nothing to fail for).  No broadcast is forced: Spark broadcasts a dimension
     below its size limit, and otherwise splits skewed partitions at run time.
     """
     return fact.join(unique_on(dimension, on) if guard else dimension, list(on), "left")
@@ -31,7 +33,7 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
     """
     top = math.ceil(1 / share)
     sketch = F.expr(f"approx_top_k(`{key}`, {top}, {20 * top})")
-    found = df.filter(F.col(key).isNotNull()).agg(sketch.alias("top"), F.count(F.lit(1)).alias("n")).first()
+    found = require(df, key).agg(sketch.alias("top"), F.count(F.lit(1)).alias("n")).first()
     return [item["item"] for item in found["top"] or () if item["count"] >= share * found["n"]]
 
 
@@ -73,7 +75,7 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
 
     Counting first means the join sees each key once, however often it occurs.
     """
-    counts = child.filter(F.col(child_key).isNotNull()).groupBy(child_key).agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = require(child, child_key).groupBy(child_key).agg(F.count(F.lit(1)).alias("n_rows"))
     return counts.join(parent.select(F.col(parent_key).alias(child_key)), child_key, "left_anti")
 
 

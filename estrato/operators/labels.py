@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from estrato.fixed import CONFIDENCE_LEVELS, RELIABLE_LEVELS
 from estrato.functions.numbers import banded, percent, stable_round
 from estrato.operators.aggregates import n_rows
+from estrato.operators.shape import require
 
 
 def label_index(df: DataFrame, label: str) -> DataFrame:
@@ -19,7 +20,7 @@ def label_index(df: DataFrame, label: str) -> DataFrame:
     Ids are counted inside groups of equal first characters and shifted by the
     size of the groups before, so no task sees all labels.
     """
-    labels = df.filter(F.col(label).isNotNull()).select(F.col(label).cast("string").alias("label")).distinct()
+    labels = require(df, label).select(F.col(label).cast("string").alias("label")).distinct()
     labels = labels.withColumn("_head", F.substring("label", 1, 2))
     heads = labels.groupBy("_head").agg(n_rows().alias("_n"))
     # One row per two-character head: bounded by the alphabet, not by the data.
@@ -90,7 +91,7 @@ def accuracy(df: DataFrame, label: str, predicted: str, overall: str = "(all)")
     A rollup counts both in one aggregate.  Rows without a true label are left out.
     """
     hit = F.coalesce(F.col(label) == F.col(predicted), F.lit(False))
-    judged = df.filter(F.col(label).isNotNull()).select(F.col(label).cast("string").alias("label"), hit.alias("hit"))
+    judged = require(df, label).select(F.col(label).cast("string").alias("label"), hit.alias("hit"))
     rate = stable_round(F.try_divide(F.count_if("hit"), n_rows()), 4)
     return (
         judged.rollup("label")

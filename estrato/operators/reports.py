@@ -11,6 +11,7 @@ from estrato.functions.dates import day_part, month_label
 from estrato.functions.numbers import percent, stable_round
 from estrato.operators.aggregates import counts, n_rows
 from estrato.operators.rules import Rule
+from estrato.operators.shape import require
 from estrato.operators.stats import exact_quantiles
 from estrato.session import cut_lineage
 
@@ -38,7 +39,7 @@ def domain_counts(df: DataFrame, column: str, values: Sequence[str]) -> DataFram
 def sum_by(df: DataFrame, by: str, measure: str, scale: int = 2) -> DataFrame:
     """Sum per group, smallest first; a NULL group is left out, NULL values add 0."""
     return (
-        df.filter(F.col(by).isNotNull())
+        require(df, by)
         .groupBy(by)
         .agg(stable_round(F.coalesce(F.sum(measure), F.lit(0.0)), scale).alias("total"))
         .orderBy("total", by)
@@ -47,7 +48,7 @@ def sum_by(df: DataFrame, by: str, measure: str, scale: int = 2) -> DataFrame:
 
 def hour_counts(df: DataFrame, hour: str) -> DataFrame:
     """Rows per hour with the part of the day."""
-    found = counts(df.filter(F.col(hour).isNotNull()).select(F.col(hour).cast("int").alias("hour")), "hour")
+    found = counts(require(df, hour).select(F.col(hour).cast("int").alias("hour")), "hour")
     return found.withColumn("day_part", day_part(F.col("hour"))).orderBy("hour")
 
 
@@ -101,7 +102,7 @@ def measure_spread(df: DataFrame, by: str, measure: str, scale: int = 6) -> Data
     """Mean and sample deviation per group, the deviation of a single row being 0."""
     spread = F.coalesce(F.stddev_samp(measure), F.lit(0.0))
     return (
-        df.filter(F.col(by).isNotNull())
+        require(df, by)
         .groupBy(by)
         .agg(stable_round(F.avg(measure), scale).alias("mean"), stable_round(spread, scale).alias("std"))
         .orderBy("mean", by)
@@ -138,7 +139,7 @@ def coverage(df: DataFrame, label: str, level: str, reliable: Sequence[str]) ->
 def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence[str]) -> DataFrame:
     """Counts of ``rows`` by fixed ``columns`` values; a NULL row label is left out."""
     cells = [F.count_if(F.col(columns) == v).alias(v) for v in values]
-    return df.filter(F.col(rows).isNotNull()).groupBy(rows).agg(*cells).orderBy(rows)
+    return require(df, rows).groupBy(rows).agg(*cells).orderBy(rows)
 
 
 def rule_failures(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -161,7 +162,7 @@ def measure_by_domain(df: DataFrame, by: str, measure: str, values: Sequence[str
 
 def mean_by(df: DataFrame, by: str, measure: str, scale: int = 4) -> DataFrame:
     return (
-        df.filter(F.col(by).isNotNull())
+        require(df, by)
         .groupBy(by)
         .agg(stable_round(F.avg(measure), scale).alias("mean"))
         .orderBy("mean", by)

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from estrato.functions.text import has_text
+
 
 def conform(df: DataFrame, types: dict[str, str], keep_rest: bool = True) -> DataFrame:
     """Bring columns to declared types in one projection.
@@ -33,6 +35,21 @@ def role(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(old).alias(new) for new, old in mapping.items()])
 
 
+def require(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows in which none of the keys is missing."""
+    return df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+
+
+def require_text(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows in which all of the columns hold more than blanks."""
+    return df.filter(reduce(lambda a, b: a & b, [has_text(F.col(c)) for c in columns]))
+
+
+def ordered(start: str, end: str) -> Column:
+    """Start not after end; NULL, so not met, if one is missing."""
+    return F.col(start) <= F.col(end)
+
+
 def in_range(column: str, low, high) -> Column:
     """Closed range; NULL and NaN are outside."""
     return F.col(column).between(low, high)

@@ -61,13 +61,19 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None, scale: int
     """Pearson correlation of each pair of numeric columns as (col_a, col_b, corr).
 
     One aggregate computes all pairs of columns; a row counts for a pair if both
-    values are there.
+    values are there.  A column without spread has no correlation: NULL.
     """
     columns = list(columns or numeric_columns(df))
     pairs = list(combinations_with_replacement(columns, 2))
-    row = df.agg(*[F.corr(_real(a), _real(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+
+    def pearson(a: str, b: str) -> Column:
+        # corr() divides by the spread and fails under ANSI where it is 0.
+        y, x = _real(a), _real(b)
+        return F.try_divide(F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x)))
+
+    row = df.agg(*[stable_round(pearson(a, b), scale).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     cells = [
-        F.struct(F.lit(x).alias("col_a"), F.lit(y).alias("col_b"), stable_round(F.col(f"r{i}"), scale).alias("corr"))
+        F.struct(F.lit(x).alias("col_a"), F.lit(y).alias("col_b"), F.col(f"r{i}").alias("corr"))
         for i, (a, b) in enumerate(pairs)
         for x, y in ([(a, b)] if a == b else [(a, b), (b, a)])
     ]

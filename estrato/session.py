@@ -17,6 +17,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Parquet is compressed: count a file as this many times its size when
+    # deciding whether a side is small enough to broadcast.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
 }
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from estrato.functions.numbers import stable_round
 from estrato.functions.sql import register_functions
 from estrato.operators.joins import split_join
-from estrato.operators.shape import conform, in_range, role
+from estrato.operators.shape import conform, in_range, ordered, require, require_text, role
 from estrato.plans import airline, sales
 from estrato.workload.registry import Tables, query, raw, rounded
 
@@ -77,9 +77,18 @@ def geo_range_filter(t: Tables):
     "WHERE POL_EFF_DATE <= POL_EXPIRY_DATE",
 )
 def date_order_filter(t: Tables):
-    return t.standin("policies").select("POLICY_NO", "POL_EFF_DATE", "POL_EXPIRY_DATE").filter(
-        "POL_EFF_DATE <= POL_EXPIRY_DATE"
-    )
+    periods = t.standin("policies").select("POLICY_NO", "POL_EFF_DATE", "POL_EXPIRY_DATE")
+    return periods.filter(ordered("POL_EFF_DATE", "POL_EXPIRY_DATE"))
+
+
+@query(
+    "required_values",
+    f"WITH {raw('customers')} SELECT customer_id, neighborhood, zip_code FROM customers "
+    "WHERE zip_code IS NOT NULL AND trim(coalesce(neighborhood, '')) <> ''",
+)
+def required_values(t: Tables):
+    rows = t.standin("customers").select("customer_id", "neighborhood", "zip_code")
+    return require_text(require(rows, "zip_code"), "neighborhood")
 
 
 @query("view_filter_project", "SELECT p_partkey AS id, p_name AS letra FROM part WHERE p_size > 15")
