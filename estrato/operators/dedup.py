@@ -29,15 +29,10 @@ def dedup_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str
 def unique_on(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df`` unchanged, but the query fails if a key occurs twice.
 
-    Every row also passes an aggregate on the key; a key without duplicates is
-    combined before the shuffle like any other.
+    The check is a scalar subquery over counts per key, next to the rows and not
+    in their way: a join on ``df`` still shuffles the rows itself, which lets
+    Spark split a skewed partition of the other side.
     """
-    rest = [c for c in df.columns if c not in keys]
-    grouped = df.groupBy(*keys).agg(
-        F.max(F.struct(*rest, F.lit(0).alias("_pad"))).alias("_row"), F.count(F.lit(1)).alias("_n")
-    )
-    message = F.concat(F.lit(f"key ({', '.join(keys)}) repeats "), F.col("_n").cast("string"), F.lit(" times"))
-    once = F.when(F.col("_n") == 1, True).otherwise(F.raise_error(message).cast("boolean"))
-    return grouped.filter(once).select(
-        *[F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns]
-    )
+    most = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).scalar()
+    message = F.concat(F.lit(f"key ({', '.join(keys)}) repeats "), most.cast("string"), F.lit(" times"))
+    return df.filter(F.when(most > 1, F.raise_error(message).cast("boolean")).otherwise(True))

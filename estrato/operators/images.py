@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +40,8 @@ def header_of(content: bytes | None) -> tuple[str | None, int | None, int | None
 def image_headers(df: DataFrame, content: str = "content") -> DataFrame:
     """Replace the bytes of each image by its format, width and height.
 
-    The projection runs where the files are read; bytes are never shuffled.
+    The projection runs where the files are read; bytes are never shuffled, and
+    Spark bounds the bytes per Arrow batch.
     """
 
     @F.pandas_udf(HEADER)
@@ -52,3 +54,42 @@ def image_headers(df: DataFrame, content: str = "content") -> DataFrame:
 
     rest = [c for c in df.columns if c != content]
     return df.select(*rest, headers(F.col(content)).alias("_h")).select(*rest, "_h.*")
+
+
+def pillow_decoder(size: int = 224) -> Callable[[bytes], np.ndarray]:
+    """Decoder to RGB pixels of ``size`` x ``size``; needs Pillow on the executors."""
+
+    def decode(content: bytes) -> np.ndarray:
+        import io
+
+        from PIL import Image
+
+        image = Image.open(io.BytesIO(content)).convert("RGB")
+        return np.asarray(image.resize((size, size), Image.Resampling.LANCZOS))
+
+    return decode
+
+
+def image_vectors(
+    df: DataFrame, decoder: Callable[[bytes], np.ndarray], content: str = "content", alias: str = "pixels"
+) -> DataFrame:
+    """Replace the bytes of each image by its pixels, channel by channel.
+
+    ``decoder`` turns bytes into a height x width x channels array.  The result
+    is what ``standardize`` takes.  A missing content stays missing; bytes that
+    are no image fail, as silently dropping them would change the training set.
+    """
+
+    @F.pandas_udf("array<float>")
+    def pixels(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series(
+                [
+                    None if b is None else np.moveaxis(decoder(bytes(b)), -1, 0).astype("float32").ravel()
+                    for b in batch
+                ],
+                dtype="object",
+            )
+
+    rest = [c for c in df.columns if c != content]
+    return df.select(*rest, pixels(F.col(content)).alias(alias))

@@ -18,13 +18,24 @@ def enrich(fact: DataFrame, dimension: DataFrame, on: Sequence[str], guard: bool
     """Left join of a dimension, so every fact row stays.
 
     ``guard`` makes the query fail if the dimension repeats a key, which would
-    multiply fact rows (a query that reads no dimension column has no join, and
-    nothing to fail for).  No broadcast is forced: Spark broadcasts a dimension
-    below its size limit, and otherwise splits skewed partitions at run time.
+    multiply fact rows.  No broadcast is forced: Spark broadcasts a dimension
+    below its size limit, and otherwise splits skewed partitions at run time; see
+    ``unpartitioned`` for dimensions aggregated in the same query.
     """
     return fact.join(unique_on(dimension, on) if guard else dimension, list(on), "left")
 
 
+def unpartitioned(df: DataFrame) -> DataFrame:
+    """``df`` without the partitioning that an aggregate leaves behind.
+
+    Spark joins on that partitioning as it is, and then cannot split the
+    partition in which the other side has a hot key: run-time splitting needs
+    shuffles of the join's own.  The price is two shuffles of this side, the
+    smaller one.  Tables read from storage do not need it.
+    """
+    return df.hint("rebalance")
+
+
 def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
     """Keys that hold about ``share`` of all rows or more; at most ``1 / share`` of them.
 

@@ -103,7 +103,7 @@ class _Bracket:
         if self.hi is not None:
             inside &= self.x < self.hi
         at = [(rank - self.start) / max(self.size - 1, 1) for rank in self.ranks]
-        return _sketch(F.when(inside, self.x), min(at), max(at))
+        return _sketch(F.when(inside, self.x), [(min(at), max(at))])
 
     def few(self, limit: int) -> bool:
         """Whether few enough values can lie strictly inside the guess.
@@ -168,7 +168,7 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]], limit: in
         *[
             F.struct(
                 F.count(F.col(f"`{c}`")).alias("n"),
-                *[_sketch(F.col(f"`{c}`"), q, q).alias(f"q{j}") for j, q in enumerate(wanted[c])],
+                _sketch(F.col(f"`{c}`"), [(q, q) for q in wanted[c]]).alias("guesses"),
             ).alias(f"c{i}")
             for i, c in enumerate(columns)
         ]
@@ -181,7 +181,7 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]], limit: in
         for j, q in enumerate(wanted[c] if n else ()):
             at = q * (n - 1)
             open_.append(_Bracket(c, {math.floor(at), math.ceil(at)}, None, None, 0, n))
-            open_[-1].guess = tuple(first[f"c{i}"][f"q{j}"])
+            open_[-1].guess = tuple(first[f"c{i}"]["guesses"][2 * j : 2 * j + 2])
     while open_:
         row = data.agg(*[_named(b.probes(limit)).alias(f"b{i}") for i, b in enumerate(open_)]).first()
         open_ = [part for i, b in enumerate(open_) for part in b.resolve(list(row[f"b{i}"]), found)]
@@ -203,9 +203,10 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]], limit: in
     return literal_rows(df.sparkSession, {"column_name": "string", "q": "double", "value": "double"}, rows)
 
 
-def _sketch(x: Column, low: float, high: float) -> Column:
-    """Values a little outside two rank fractions."""
-    return F.percentile_approx(x, [max(low - SLACK, 0.0), min(high + SLACK, 1.0)], SKETCH)
+def _sketch(x: Column, spans: Sequence[tuple[float, float]]) -> Column:
+    """Two values per span of rank fractions, a little outside it; one sketch for all."""
+    at = [f for low, high in spans for f in (max(low - SLACK, 0.0), min(high + SLACK, 1.0))]
+    return F.percentile_approx(x, at, SKETCH)
 
 
 def _named(columns: Sequence[Column]) -> Column:

@@ -34,7 +34,7 @@ def delete_where(table: DataFrame, condition: str) -> DataFrame:
     return table.filter(~F.coalesce(F.expr(condition), F.lit(False)))
 
 
-def upsert(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(table: DataFrame, rows: DataFrame, keys: Sequence[str], bulk: bool = False) -> DataFrame:
     """Replace the rows whose key is in ``rows``, add the rows whose key is new.
 
     A source row wins as a whole, NULLs included.  The query fails if a source
@@ -43,21 +43,31 @@ def upsert(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     The table is joined on the left with the changes on the right, so that the
     usual few changes are broadcast (by size, Spark's decision) and the table is
     not shuffled; new keys are found against the matched keys, not the table.
+    ``bulk`` is for changes of a size with the table: one full outer join, which
+    shuffles both sides once.  Both read ``rows`` more than once, so store it
+    first if it is dear to compute.
     """
     rows = _as_table(rows, table)
     values = [c for c in table.columns if c not in keys]
     keyed = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
     changes = unique_on(rows.filter(keyed), keys)
-    source = changes.select(*keys, F.struct(*[F.col(c) for c in values], F.lit(True).alias("_here")).alias("_new"))
-    updated = table.join(source, list(keys), "left").select(
-        *[
-            F.col(c) if c in keys else F.when(F.col("_new").isNotNull(), F.col(f"_new.`{c}`")).otherwise(F.col(c)).alias(c)
-            for c in table.columns
-        ]
-    )
-    matched = table.select(*keys).join(changes.select(*keys), list(keys), "left_semi").distinct()
-    added = changes.join(matched, list(keys), "left_anti").select(*table.columns)
-    return updated.unionByName(added).unionByName(rows.filter(f"NOT ({keyed})"))
+
+    def packed(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*keys, F.struct(*[F.col(c) for c in values], F.lit(True).alias("_here")).alias(name))
+
+    if bulk:
+        both = packed(table, "_old").join(packed(changes, "_new"), list(keys), "full_outer")
+        out = both.select(*[F.col(c) if c in keys else _newer(c, F.col(f"_old.`{c}`")) for c in table.columns])
+    else:
+        both = table.join(packed(changes, "_new"), list(keys), "left")
+        out = both.select(*[F.col(c) if c in keys else _newer(c, F.col(c)) for c in table.columns])
+        matched = table.select(*keys).join(changes.select(*keys), list(keys), "left_semi").distinct()
+        out = out.unionByName(changes.join(matched, list(keys), "left_anti").select(*table.columns))
+    return out.unionByName(rows.filter(f"NOT ({keyed})"))
+
+
+def _newer(column: str, old: Column) -> Column:
+    return F.when(F.col("_new").isNotNull(), F.col(f"_new.`{column}`")).otherwise(old).alias(column)
 
 
 def as_of(

@@ -237,7 +237,7 @@ def decision_base(
 ) -> DataFrame:
     """Every claim with policy, customer and best prediction, where there are any.
 
-    The prediction comes first: its roll-up is already partitioned by claim.
+    The prediction comes first: claims and roll-up may both be partitioned by claim.
     ``customers`` and ``rollup`` may be left out, their columns are NULL then.
     """
     facts = role(claims, INCIDENT).select("*", *[F.lit(None).cast("string").alias(c) for c in UNKNOWN])
@@ -332,8 +332,8 @@ def gold(clean: Layer, out: Layer) -> dict[str, DataFrame]:
     joined = out.write(claim_policy_customer(claims, policies, customers), "customer_claim_policy", evolve=False)
     driven = out.write(claim_telematics(joined, vehicles), "customer_claim_policy_telematics", evolve=False)
     predictions = out.read_or_empty("claim_images_predictions", schemas.PREDICTIONS)
-    base = decision_base(claims, policies, customers, prediction_rollup(predictions, metadata))
-    decided = out.write(decide(base), "claim_insights_final")
+    best = out.write(prediction_rollup(predictions, metadata), "claim_predictions")
+    decided = out.write(decide(decision_base(claims, policies, customers, best)), "claim_insights_final")
     return {
         "aggregated_telematics": vehicles,
         "customer_claim_policy": joined,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,14 +36,12 @@ def session(app: str = "estrato", master: str | None = None, **extra: str) -> Sp
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read on from there.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``.  Only a
-    local session without that setting gets a scratch folder: on a cluster a
-    machine-local folder would lose blocks together with the executor.
+    Only a local session without that setting gets a scratch folder: on a
+    cluster, files in a machine-local folder are lost together with the executor.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -51,4 +50,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a shared folder")
             folder = tempfile.mkdtemp(prefix="estrato-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def new_shared_folder(spark: SparkSession) -> str:
+    """A fresh path for written tables below the shared folder."""
+    return f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read on from there."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()

@@ -9,6 +9,7 @@ from estrato.workload import (  # noqa: F401
     quality,
     reports,
     stats,
+    storage,
     tables,
 )
 from estrato.workload.registry import oracles, runnable

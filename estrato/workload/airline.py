@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from estrato.operators.joins import unpartitioned
 from estrato.plans import airline as plan
 from estrato.workload.registry import Tables, best_row, pct, query, raw, rounded
 from estrato.workload.standins import columns
@@ -39,6 +40,10 @@ def aircraft(t: Tables):
     return plan.silver_aircraft(t.standin("aeronaves"))
 
 
+def dimensions(t: Tables):
+    return unpartitioned(airports(t)), unpartitioned(aircraft(t))
+
+
 def jobs(t: Tables):
     return plan.silver_maintenance(t.standin("mantenimientos"))
 
@@ -51,7 +56,7 @@ query("silver_maintenance", f"WITH {JOBS} SELECT * FROM jobs")(jobs)
 
 @query("flight_enriched", f"WITH {ENRICHED} SELECT * FROM enriched")
 def flight_enriched(t: Tables):
-    return plan.flights_enriched(flights(t), airports(t), aircraft(t))
+    return plan.flights_enriched(flights(t), *dimensions(t))
 
 
 @query(
@@ -66,7 +71,7 @@ def flight_enriched(t: Tables):
     SELECT *, {pct('vuelos_a_tiempo', 'total_vuelos')} AS puntualidad_pct FROM kpi""",
 )
 def kpi_punctuality(t: Tables):
-    return plan.kpi_punctuality(flights(t), airports(t), aircraft(t))
+    return plan.kpi_punctuality(flights(t), *dimensions(t))
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from estrato import schemas
-from estrato.operators.joins import join_audit
+from estrato.operators.joins import join_audit, unpartitioned
 from estrato.plans import claims as plan
 from estrato.sources.layers import Layer
 from estrato.workload import cleaning
@@ -70,7 +70,7 @@ DECIDED = f"""{BASE}, judged AS (
 
 
 def rollup(t: Tables):
-    return plan.prediction_rollup(t.standin("predictions"), cleaning.metadata(t))
+    return plan.prediction_rollup(t.standin("predictions"), unpartitioned(cleaning.metadata(t)))
 
 
 def joined(t: Tables):
@@ -98,7 +98,7 @@ query("claim_policy_customer", f"WITH {JOINED} SELECT * FROM joined")(joined)
     "ON joined.chassis_no = vehicles.chassis_no",
 )
 def claim_telematics(t: Tables):
-    return plan.claim_telematics(joined(t), telematics_by_vehicle(t))
+    return plan.claim_telematics(joined(t), unpartitioned(telematics_by_vehicle(t)))
 
 
 @query("decision_base", f"WITH {BASE} SELECT * FROM base")

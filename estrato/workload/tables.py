@@ -60,15 +60,22 @@ def changes(t: Tables):
     return changed.unionByName(new_orders(t))
 
 
-@query(
-    "table_upsert",
+_UPSERT = (
     f"WITH changes AS ({_CHANGES}) SELECT * FROM changes UNION ALL {_ORDERS} "
-    "WHERE o_orderkey NOT IN (SELECT o_orderkey FROM changes)",
+    "WHERE o_orderkey NOT IN (SELECT o_orderkey FROM changes)"
 )
+
+
+@query("table_upsert", _UPSERT)
 def table_upsert(t: Tables):
     return tables.upsert(orders(t), changes(t), ["o_orderkey"])
 
 
+@query("table_upsert_bulk", _UPSERT)
+def table_upsert_bulk(t: Tables):
+    return tables.upsert(orders(t), changes(t), ["o_orderkey"], bulk=True)
+
+
 # Change log: the orders as version 0, their line items as later versions, returns as deletes.
 _LOG = (
     "SELECT o_orderkey AS id, o_totalprice AS amount, 0 AS version, FALSE AS deleted FROM orders UNION ALL "

@@ -2,12 +2,13 @@
 
 import struct
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from estrato.operators import labels
 from estrato.operators.classifier import score_topk, train_classifier
-from estrato.operators.images import header_of, image_headers
+from estrato.operators.images import header_of, image_headers, image_vectors, pillow_decoder
 from estrato.plans import training
 
 
@@ -88,3 +89,26 @@ def test_image_headers(spark):
     assert sorted(map(tuple, out.collect())) == [
         ("a", "png", 640, 480), ("b", "jpeg", 200, 100), ("c", None, None, None), ("d", None, None, None), ("e", None, None, None),
     ]
+
+
+def test_image_vectors_are_channel_by_channel(spark):
+    def decoder(content):
+        return np.frombuffer(content, dtype="uint8").reshape(1, 2, 3)
+
+    df = spark.createDataFrame([("a", bytearray([1, 2, 3, 4, 5, 6])), ("n", None)], "path string, content binary")
+    out = image_vectors(df, decoder)
+    assert out.columns == ["path", "pixels"]
+    assert {r.path: r.pixels for r in out.collect()} == {"a": [1.0, 4.0, 2.0, 5.0, 3.0, 6.0], "n": None}
+    scaled = out.filter("path = 'a'").select(labels.standardize(F.col("pixels"), (1, 2, 3), (1, 1, 1))).first()[0]
+    assert scaled == [0.0, 3.0, 0.0, 3.0, 0.0, 3.0]
+
+
+def test_pillow_decoder():
+    pytest.importorskip("PIL")
+    import io
+
+    from PIL import Image
+
+    buffer = io.BytesIO()
+    Image.new("L", (7, 5), 128).save(buffer, "PNG")
+    assert pillow_decoder(4)(buffer.getvalue()).shape == (4, 4, 3)

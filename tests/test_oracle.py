@@ -26,7 +26,7 @@ def test_query(spark, duck, name):
 
 def test_oracles_belong_to_queries():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"iqr_outliers_approx", "classifier_predictions"}
+    assert set(QUERIES) - set(ORACLES) == {"binary_files", "iqr_outliers_approx", "classifier_predictions"}
 
 
 def test_entry(spark):

@@ -44,12 +44,13 @@ def test_upsert(spark, products, rows):
         [(3, "2025-05-24", "Monitor", 1, None), (4, "2025-05-24", "Impresora", 2, 89.99), (None, None, "Free", 1, 1.0)],
         "id int, fecha string, producto string, cantidad int, precio double",
     )
-    out = tables.upsert(products, new, ["id"])
-    assert rows(out, "id", "producto", "precio") == [
-        (None, "Free", 1.0), (None, "Webcam", 5.0), ("1", "Mouse", 10.0), ("3", "Monitor", None), ("4", "Impresora", 89.99),
-    ]
-    with pytest.raises(Exception, match="repeats 2 times"):
-        tables.upsert(products, new.unionByName(new.filter("id = 3")), ["id"]).collect()
+    for bulk in (False, True):
+        out = tables.upsert(products, new, ["id"], bulk)
+        assert rows(out, "id", "producto", "precio") == [
+            (None, "Free", 1.0), (None, "Webcam", 5.0), ("1", "Mouse", 10.0), ("3", "Monitor", None), ("4", "Impresora", 89.99),
+        ]
+        with pytest.raises(Exception, match="repeats 2 times"):
+            tables.upsert(products, new.unionByName(new.filter("id = 3")), ["id"], bulk).collect()
 
 
 cells = st.lists(st.tuples(st.integers(0, 6), st.one_of(st.none(), st.integers(0, 3))), max_size=8)
@@ -63,7 +64,7 @@ def test_upsert_twice_is_upsert_once(spark, old, new):
     change = spark.createDataFrame(list(new.items()), "k int, v int")
     once = tables.upsert(table, change, ["k"])
     assert dict(map(tuple, once.collect())) == {**old, **new}
-    assert dict(map(tuple, tables.upsert(once, change, ["k"]).collect())) == {**old, **new}
+    assert dict(map(tuple, tables.upsert(once, change, ["k"], bulk=True).collect())) == {**old, **new}
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
