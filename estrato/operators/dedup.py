@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -15,15 +16,15 @@ def dedup_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str
     the same for any partitioning.  NULL sorts below every value, and rows with
     a NULL key form one group.
 
-    It is an aggregate, not a window: each task reduces its rows to one per key
-    before the shuffle, so a key holding a third of the table sends one row per
-    task.
+    Spark limits each group to its first row in every task, before the shuffle
+    (``WindowGroupLimit``), so a key holding a third of the table sends one row
+    per task.  On wide rows this sorts once where a maximum over a struct of the
+    row would build and compare structs.
     """
-    rest = [c for c in df.columns if c not in keys]
-    ranked = [*order, *[c for c in rest if c not in order]]
-    pick = F.max if keep == "last" else F.min
-    best = df.groupBy(*keys).agg(pick(F.struct(*ranked)).alias("_best"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"_best.`{c}`").alias(c) for c in df.columns])
+    others = [c for c in df.columns if c not in keys and c not in order]
+    side = F.desc_nulls_last if keep == "last" else F.asc_nulls_first
+    by = W.partitionBy(*keys).orderBy(*[side(c) for c in ([*order, *others] or keys)])
+    return df.withColumn("_rank", F.row_number().over(by)).filter("_rank = 1").drop("_rank")
 
 
 def unique_on(df: DataFrame, keys: Sequence[str]) -> DataFrame:

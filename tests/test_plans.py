@@ -102,5 +102,11 @@ def test_results_do_not_depend_on_partitioning(spark, rows, name):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+@pytest.mark.parametrize("name", ["silver_flights", "dedup_latest", "clean_claims", "clean_metadata"])
+def test_dedup_limits_groups_before_the_shuffle(spark, name):
+    steps = re.findall(r"WindowGroupLimit|Exchange", plan(QUERIES[name](spark, SMALL)))
+    assert steps == ["WindowGroupLimit", "Exchange", "WindowGroupLimit"]
+
+
 def test_split_needs_no_shuffle(spark):
     assert "Exchange" not in plan(hash_split(Tables(spark, SMALL).documents, "doc_id"))
