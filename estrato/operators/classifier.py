@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,23 +25,29 @@ def train_classifier(df: DataFrame, features: str, label: str, iterations: int =
     return Pipeline(stages=[index, model]).fit(data)
 
 
-def score_topk(model: PipelineModel, df: DataFrame, features: str, k: int | None = None) -> DataFrame:
-    """Add the classes by falling score (``ranked``), the best one and its score.
+def rank_classes(scores: Column, labels: Sequence[str], k: int | None = None) -> Column:
+    """Classes by falling score as an array of (label, score); equal scores by label.
 
-    Scoring is a projection on the executors.  Equal scores are ordered by label.
+    ``scores[i]`` belongs to ``labels[i]``.  Sorting happens inside the row.
     """
-    index, classifier = model.stages
-    labels = F.array(*[F.lit(x) for x in index.labels])
-    data = df.withColumn("features", array_to_vector(F.col(features).cast("array<double>")))
-    scored = classifier.transform(data)
     pairs = F.transform(
-        F.arrays_zip(vector_to_array("probability").alias("score"), labels.alias("label")),
+        F.arrays_zip(scores.alias("score"), F.array(*[F.lit(x) for x in labels]).alias("label")),
         lambda p: F.struct((-p["score"]).alias("neg"), p["label"].alias("label")),
     )
     ranked = F.transform(
         F.array_sort(pairs), lambda p: F.struct(p["label"].alias("label"), (-p["neg"]).alias("score"))
     )
-    ranked = ranked if k is None else F.slice(ranked, 1, k)
-    return scored.select(*df.columns, ranked.alias("ranked")).withColumns(
+    return ranked if k is None else F.slice(ranked, 1, k)
+
+
+def score_topk(model: PipelineModel, df: DataFrame, features: str, k: int | None = None) -> DataFrame:
+    """Add the classes by falling score (``ranked``), the best one and its score.
+
+    Scoring is a projection on the executors.
+    """
+    index, classifier = model.stages
+    data = df.withColumn("features", array_to_vector(F.col(features).cast("array<double>")))
+    ranked = rank_classes(vector_to_array("probability"), index.labels, k)
+    return classifier.transform(data).select(*df.columns, ranked.alias("ranked")).withColumns(
         {"predicted": F.col("ranked")[0]["label"], "score": F.col("ranked")[0]["score"]}
     )

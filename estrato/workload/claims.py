@@ -101,6 +101,15 @@ def claim_telematics(t: Tables):
     return plan.claim_telematics(joined(t), unpartitioned(telematics_by_vehicle(t)))
 
 
+@query(
+    "claims_without_telematics",
+    f"WITH {JOINED}, {VEHICLES} SELECT claim_no, chassis_no FROM joined "
+    "WHERE chassis_no NOT IN (SELECT chassis_no FROM vehicles WHERE avg_speed IS NOT NULL)",
+)
+def claims_without_telematics(t: Tables):
+    return claim_telematics(t).filter("avg_speed IS NULL").select("claim_no", "chassis_no")
+
+
 @query("decision_base", f"WITH {BASE} SELECT * FROM base")
 def decision_base(t: Tables):
     return plan.decision_base(cleaning.claims(t), cleaning.policies(t), cleaning.customers(t), rollup(t))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from estrato.functions.numbers import stable_round
 from estrato.operators import labels
 from estrato.operators.aggregates import counts, imbalance, share
+from estrato.operators.classifier import rank_classes
 from estrato.plans import training
 from estrato.workload.registry import Tables, pct, query, rounded
 
@@ -137,6 +138,23 @@ def confusion_matrix(t: Tables):
     return labels.confusion(scored(t), "truth", "guess")
 
 
+# The first entries of each vector, taken as scores of these classes.
+_CLASSES = ("dent", "glass", "scratch", "tyre", "bumper")
+
+
+@query(
+    "topk_classes",
+    "WITH s AS (SELECT vec_id, unnest(['dent', 'glass', 'scratch', 'tyre', 'bumper']) AS label, "
+    "CAST(unnest(embedding[1:5]) AS DOUBLE) AS score FROM embeddings), r AS (SELECT *, "
+    "row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, label) AS place FROM s) "
+    f"SELECT vec_id, CAST(place - 1 AS INTEGER) AS pos, label, {rounded('score', 6)} AS score FROM r WHERE place <= 3",
+)
+def topk_classes(t: Tables):
+    scores = F.slice("embedding", 1, len(_CLASSES)).cast("array<double>")
+    ranked = t.embeddings.select("vec_id", F.posexplode(rank_classes(scores, _CLASSES, 3)).alias("pos", "class"))
+    return ranked.select("vec_id", "pos", "class.label", stable_round(F.col("class.score"), 6).alias("score"))
+
+
 @query("classifier_predictions")
 def classifier_predictions(t: Tables):
     """Fitted model, so there is no SQL twin."""
