@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from estrato.workload.standins import STANDINS
 
@@ -14,13 +15,23 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._schemas: dict[str, T.StructType] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._read(name)
+
+    def _read(self, name: str) -> DataFrame:
+        """A table; reading it again does not look into the files again for its schema."""
+        path = f"{self.folder}/{name}.parquet"
+        if name in self._schemas:
+            return self.spark.read.schema(self._schemas[name]).parquet(path)
+        out = self.spark.read.parquet(path)
+        self._schemas[name] = out.schema
+        return out
 
     def standin(self, name: str) -> DataFrame:
         source, columns, condition = STANDINS[name]
-        rows = self.spark.read.parquet(f"{self.folder}/{source}.parquet")
+        rows = self._read(source)
         if condition:
             rows = rows.filter(condition)
         return rows.selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
