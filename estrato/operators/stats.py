@@ -114,18 +114,19 @@ class _Bracket:
         return self.size * 2 * (SLACK + 1 / SKETCH) <= limit
 
     def probes(self, limit: int) -> list[Column]:
-        """Counts around the guess and, if they are few, the values inside it."""
+        """Counts around the guess and, if few values can be inside it, those at the open ranks."""
         a, b = self.guess
         out = [F.count_if(c) for c in (self.x < a, self.x <= a, self.x < b, self.x <= b)]
         if self.few(limit):
-            out.append(F.sort_array(F.collect_list(F.when((self.x > a) & (self.x < b), self.x))))
+            inside = F.sort_array(F.collect_list(F.when((self.x > a) & (self.x < b), self.x)))
+            out += [F.get(inside, (F.lit(rank) - F.count_if(self.x <= a)).try_cast("int")) for rank in sorted(self.ranks)]
         return out
 
     def resolve(self, probed: list, found: dict) -> list[_Bracket]:
         """Note the values that are settled; return brackets for the other ranks."""
         a, b = self.guess
         below, upto_a, below_b, upto_b = probed[:4]
-        inside = probed[4] if len(probed) > 4 else None
+        inside = dict(zip(sorted(self.ranks), probed[4:]))
         left, middle, right = set(), set(), set()
         for rank in self.ranks:
             if rank < below:
@@ -133,10 +134,10 @@ class _Bracket:
             elif rank < upto_a:
                 found[self.column, rank] = a
             elif rank < below_b:
-                if inside is None:
-                    middle.add(rank)
+                if rank in inside:
+                    found[self.column, rank] = inside[rank]
                 else:
-                    found[self.column, rank] = inside[rank - upto_a]
+                    middle.add(rank)
             elif rank < upto_b:
                 found[self.column, rank] = b
             else:
@@ -156,7 +157,7 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]], limit: in
     sketch of bounded size first guesses a narrow bracket around each wanted
     rank; then one aggregate for all columns counts what lies below, on and
     between the edges.  A value that fills many rows ends up on an edge, where
-    it is only counted.  The values inside are gathered if no more than about
+    it is only counted.  The values inside are sorted in one task if no more than
     ``limit`` can be there, which holds at once up to some 100 million rows;
     beyond, the bracket is sketched again.  Counts decide, so a bad guess costs a
     round, not the result.  The driver sees a few numbers per round.  NULL and
