@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,26 @@ def stable_round(value: Column, scale: int) -> Column:
     return F.coalesce(guarded, F.round(value, scale))
 
 
+def stable_sum(value: Column, scale: int) -> Column:
+    """Sum of doubles, exact to a millionth per value, whatever the order; 0.0 for no values.
+
+    Sums of doubles lose cents once they are large, and differently for each
+    order of partial sums.  Whole parts and millionths are summed as integers
+    instead.  NaN, infinities and values or sums beyond that range fall back to
+    the plain sum.
+    """
+    value = value.cast("double")
+    fits = F.abs(value) < 1e15
+    whole = F.when(fits, F.floor(value))
+    millionths = F.when(fits, F.round((value - F.floor(value)) * 1_000_000).cast("bigint"))
+    total = F.try_sum(whole).cast("decimal(20,0)") + F.try_sum(millionths).cast("decimal(20,0)") * F.lit(
+        Decimal("0.000001")
+    )
+    plain = stable_round(F.sum(value), scale)
+    exact = F.coalesce(F.round(total, scale).cast("double"), plain)
+    return F.coalesce(F.when(F.count_if(~fits) > 0, plain).otherwise(exact), F.lit(0.0))
+
+
 def percent(part: Column, whole: Column, scale: int = 2) -> Column:
     """``part`` in percent of ``whole``; NULL when ``whole`` is 0 or NULL."""
     return stable_round(F.try_divide(part, whole) * 100, scale)

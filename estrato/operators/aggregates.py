@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from estrato.functions.numbers import percent, stable_round
+from estrato.functions.numbers import percent, stable_round, stable_sum
 from estrato.operators.shape import require
 from estrato.session import cut_lineage
 
@@ -77,7 +78,7 @@ def top_share(df: DataFrame, by: str, measure: str, k: int = 5, scale: int = 2)
     top = (
         require(df, by)
         .groupBy(by)
-        .agg(stable_round(F.coalesce(F.sum(measure), F.lit(0.0)), scale).alias("total"))
+        .agg(stable_sum(F.col(measure), scale).alias("total"))
         .orderBy(F.desc("total"), F.asc(by))
         .limit(k)
     )
@@ -86,5 +87,7 @@ def top_share(df: DataFrame, by: str, measure: str, k: int = 5, scale: int = 2)
 
 
 def grouped_sums(df: DataFrame, by: Sequence[str], measures: dict[str, str]) -> DataFrame:
-    """Sum of each ``{alias: column}`` per group."""
-    return df.groupBy(*by).agg(*[F.sum(c).alias(a) for a, c in measures.items()])
+    """Sum of each ``{alias: column}`` per group; doubles to six decimals, in any order."""
+    doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    sums = [(stable_sum(F.col(c), 6) if c in doubles else F.sum(c)).alias(a) for a, c in measures.items()]
+    return df.groupBy(*by).agg(*sums)

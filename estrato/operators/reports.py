@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estrato.functions.dates import day_part, month_label
-from estrato.functions.numbers import percent, stable_round
+from estrato.functions.numbers import percent, stable_round, stable_sum
 from estrato.operators.aggregates import counts, n_rows
 from estrato.operators.rules import Rule
 from estrato.operators.shape import require
@@ -41,7 +41,7 @@ def sum_by(df: DataFrame, by: str, measure: str, scale: int = 2) -> DataFrame:
     return (
         require(df, by)
         .groupBy(by)
-        .agg(stable_round(F.coalesce(F.sum(measure), F.lit(0.0)), scale).alias("total"))
+        .agg(stable_sum(F.col(measure), scale).alias("total"))
         .orderBy("total", by)
     )
 
@@ -156,7 +156,7 @@ def measure_by_domain(df: DataFrame, by: str, measure: str, values: Sequence[str
         hit = F.when(F.col(by) == v, F.col(measure))
         some = F.count_if(F.col(by) == v) > 0
         out.append(stable_round(F.avg(hit), scale).alias(mean))
-        out.append(F.when(some, stable_round(F.coalesce(F.sum(hit), F.lit(0.0)), scale)).alias(total))
+        out.append(F.when(some, stable_sum(hit, scale)).alias(total))
     return domain_rows(df.agg(*out), by, values, {"mean": means, "total": totals})
 
 
@@ -173,17 +173,13 @@ def executive_kpis(
     df: DataFrame, decision: str, decisions: Sequence[str], label: str, score: str, amount: str
 ) -> DataFrame:
     """The KPI row: totals per decision, predictions, amount, amount at risk (last decision)."""
-
-    def money(value: Column) -> Column:
-        return stable_round(F.coalesce(F.sum(value), F.lit(0.0)), 2)
-
     row = df.agg(
         n_rows().alias("total"),
         *[F.count_if(F.col(decision) == d).alias(d.lower()) for d in decisions],
         F.count_if(F.col(label).isNotNull()).alias("with_prediction"),
         stable_round(F.avg(score), 4).alias("mean_score"),
-        money(F.col(amount)).alias("total_amount"),
-        money(F.when(F.col(decision) == decisions[-1], F.col(amount))).alias("amount_at_risk"),
+        stable_sum(F.col(amount), 2).alias("total_amount"),
+        stable_sum(F.when(F.col(decision) == decisions[-1], F.col(amount)), 2).alias("amount_at_risk"),
     )
     parts = {f"{d.lower()}_pct": percent(F.col(d.lower()), F.col("total"), 1) for d in decisions}
     return row.withColumns(parts)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from estrato import schemas
 from estrato.fixed import FLIGHT_STATES
-from estrato.functions.numbers import percent, stable_round
+from estrato.functions.numbers import percent, stable_round, stable_sum
 from estrato.operators.aggregates import state_counts
 from estrato.operators.dedup import dedup_by
 from estrato.operators.joins import enrich
@@ -90,7 +90,7 @@ def kpi_maintenance(maintenance: DataFrame, aircraft: DataFrame) -> DataFrame:
     for name, (column, unit) in measures.items():
         out += [
             stable_round(F.avg(column), 2).alias(f"{name}_promedio_{unit}"),
-            stable_round(F.sum(column), 2).alias(f"{name}_total_{unit}"),
+            F.when(F.count(column) > 0, stable_sum(F.col(column), 2)).alias(f"{name}_total_{unit}"),
         ]
     grouped = maintenance.groupBy(
         "aeronave_id", "tipo", F.month("fecha").alias("mes"), F.year("fecha").alias("anio")

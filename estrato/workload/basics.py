@@ -9,7 +9,7 @@ from estrato.functions.sql import register_functions
 from estrato.operators.joins import split_join
 from estrato.operators.shape import conform, in_range, ordered, require, require_text, role
 from estrato.plans import airline, sales
-from estrato.workload.registry import Tables, query, raw, rounded
+from estrato.workload.registry import Tables, query, raw, rounded, summed
 
 
 @query("project_subset", f"WITH {raw('sales')} SELECT order_id, order_date, country, units_sold FROM sales")
@@ -126,7 +126,7 @@ def distinct_values(t: Tables):
 
 _COUNTRY_SQL = (
     f"WITH {raw('sales')} SELECT country, CAST(sum(units_sold) AS BIGINT) AS total_units, "
-    f"{rounded('sum(units_sold * unit_price)', 2)} AS total_sales_amount FROM sales GROUP BY country"
+    f"{summed('units_sold * unit_price')} AS total_sales_amount FROM sales GROUP BY country"
 )
 
 

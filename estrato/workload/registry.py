@@ -81,6 +81,12 @@ def rounded(value: str, scale: int) -> str:
     return f"CAST(ROUND(CAST(({value}) AS DECIMAL(38,{scale + 4})), {scale}) AS DOUBLE)"
 
 
+def summed(value: str, scale: int = 2, condition: str = "") -> str:
+    """Sum in decimals, as a double."""
+    keep = f" FILTER ({condition})" if condition else ""
+    return f"CAST(ROUND(SUM(CAST(({value}) AS DECIMAL(28,6))){keep}, {scale}) AS DOUBLE)"
+
+
 def pct(part: str, whole: str, scale: int = 2) -> str:
     return rounded(f"CAST({part} AS DOUBLE) / nullif({whole}, 0) * 100", scale)
 

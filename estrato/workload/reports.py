@@ -14,7 +14,7 @@ from estrato.operators import reports as panel
 from estrato.operators.aggregates import share, top_share
 from estrato.plans.claims import CLAIM_RULES
 from estrato.workload.claims import DECIDED, decided
-from estrato.workload.registry import Tables, pct, query, rounded
+from estrato.workload.registry import Tables, pct, query, rounded, summed
 
 W = f"WITH {DECIDED}"
 
@@ -38,7 +38,7 @@ def severity_counts(t: Tables):
 
 @query(
     "loss_by_type",
-    f"{W} SELECT incident_type, {rounded('sum(claim_total)', 2)} AS total FROM decided "
+    f"{W} SELECT incident_type, {summed('claim_total')} AS total FROM decided "
     "WHERE incident_type IS NOT NULL GROUP BY incident_type",
 )
 def loss_by_type(t: Tables):
@@ -57,7 +57,7 @@ def claims_by_hour(t: Tables):
 
 @query(
     "top_makes_loss",
-    f"{W}, sums AS (SELECT auto_make, {rounded('sum(claim_total)', 2)} AS total FROM decided "
+    f"{W}, sums AS (SELECT auto_make, {summed('claim_total')} AS total FROM decided "
     "WHERE auto_make IS NOT NULL GROUP BY auto_make ORDER BY total DESC, auto_make LIMIT 5) "
     f"SELECT auto_make, total, {pct('total', '(SELECT sum(total) FROM sums)', 1)} AS pct FROM sums",
 )
@@ -193,7 +193,7 @@ def rule_failures(t: Tables):
 @query(
     "amount_by_decision",
     f"{W} SELECT CAST(position AS INTEGER) AS position, v AS decision_final, "
-    f"{rounded('avg(claim_total)', 2)} AS mean, {rounded('sum(claim_total)', 2)} AS total "
+    f"{rounded('avg(claim_total)', 2)} AS mean, {summed('claim_total')} AS total "
     f"FROM (VALUES {_domain(DECISIONS)}) x(position, v) LEFT JOIN decided ON decision_final = v GROUP BY position, v",
 )
 def amount_by_decision(t: Tables):
@@ -217,8 +217,8 @@ _N = {d: f"count(*) FILTER (decision_final = '{d}')" for d in DECISIONS}
     f"{W} SELECT count(*) AS total, "
     + ", ".join(f"{n} AS {d.lower()}, {pct(n, 'count(*)', 1)} AS {d.lower()}_pct" for d, n in _N.items())
     + f", count(damage_label) AS with_prediction, {rounded('avg(damage_score)', 4)} AS mean_score, "
-    f"{rounded('sum(claim_total)', 2)} AS total_amount, "
-    + rounded("sum(claim_total) FILTER (decision_final = 'INVESTIGAR')", 2)
+    f"{summed('claim_total')} AS total_amount, "
+    + summed("claim_total", 2, "decision_final = 'INVESTIGAR'")
     + " AS amount_at_risk FROM decided",
 )
 def executive_kpis(t: Tables):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from estrato.fixed import CONFIDENCE_LEVELS
 from estrato.functions.dates import day_part, month_label, parse_date
-from estrato.functions.numbers import banded, percent, stable_round
+from estrato.functions.numbers import banded, percent, stable_round, stable_sum
 from estrato.functions.text import file_extension, file_label, file_name, has_text, join_text, split_name
 from estrato.operators.dedup import dedup_by, unique_on
 from estrato.operators.shape import Check, conform, in_range, keep_valid, require, require_text, role, tag_rejects
@@ -64,6 +64,21 @@ def test_stable_round(spark):
     assert column(spark, [0.30500000000000005, 0.30499999999999994], "double", lambda c: stable_round(c, 2)) == [0.31, 0.31]
 
 
+def test_stable_sum_is_exact_in_any_order(spark):
+    def total(values, scale=2):
+        df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+        return df.agg(stable_sum(F.col("v"), scale)).first()[0]
+
+    assert total([0.1] * 10, 6) == 1.0
+    assert total([1e12 + 0.25, 0.01, -1e12, -0.26]) == 0.0
+    assert total([-1.5, 0.25, None]) == -1.25
+    assert total([None]) == 0.0
+    # Beyond exact range: the plain sum.
+    assert total([1e300, 1.0]) == 1e300 and total([float("inf"), 1.0]) == math.inf
+    assert math.isnan(total([float("nan"), 1.0]))
+    assert total([9e14] * 20_000) == 1.8e19
+
+
 def test_percent_of_nothing_is_null(spark):
     df = spark.createDataFrame([(1, 3), (0, 0), (1, None)], "a bigint, b bigint")
     assert [r[0] for r in df.select(percent(F.col("a"), F.col("b"))).collect()] == [33.33, None, None]
