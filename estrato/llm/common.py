@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -23,9 +24,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared folder: cuts lineage and survives lost executors."""
+    """``df`` as a table in the shared folder: cuts lineage and survives lost executors.
+
+    Then the shuffle files behind it are of no more use; a collection of the driver's garbage lets Spark delete them.
+    """
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
+    df.sparkSession._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -39,6 +44,14 @@ def drop_written(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers that start on this machine import this package from where it is."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
