@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estrato.llm import coding, packing, pii, substring
+from estrato.llm import coding, langid, packing, pii, quality, substring
 from estrato.llm.common import importable
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -48,6 +48,26 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learnable = langid.learnable(F.col("doc_id"))
+    found = langid.predict(docs, langid.fit(docs.filter(learnable)))
+    return found.select("doc_id", F.coalesce(~learnable, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 @query("op9_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@query("op10_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select(
+        "doc_id",
+        F.coalesce(~quality.learnable(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
