@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estrato.llm import coding, langid, packing, pii, quality, substring
+from estrato.llm import balltree, coding, kmeanstree, langid, oracles, packing, pii, quality, substring
 from estrato.llm.common import importable
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -42,12 +42,20 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coding.digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
-@query("op3_substring_dedup")
+@query("op3_substring_dedup", oracles.REPEATED_PASSAGES)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.repeated_passages(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op4_nearest_neighbours")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = kmeanstree.vectors(table(spark, sf_dir, "embeddings"))
+    asked = F.col("vec_id") % 20 == 0
+    index = kmeanstree.build(rows, calibrate=asked)
+    return kmeanstree.search(index, rows.filter(asked).withColumnRenamed("vec_id", "query_id"))
+
+
 @query("op6_language_id")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -56,6 +64,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(~learnable, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+@query("op8_exact_topk", oracles.EXACT_TOPK)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = balltree.quantised(table(spark, sf_dir, "embeddings"))
+    return balltree.search(rows, rows.filter("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id"))
+
+
 @query("op9_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
