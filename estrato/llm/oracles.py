@@ -8,17 +8,17 @@ repeated AS (SELECT p FROM passages GROUP BY p HAVING count(*) > 1),
 gone AS (SELECT DISTINCT r, i + unnest(range(35)) AS i FROM passages JOIN repeated USING (p)),
 lost AS (SELECT r, list(i) AS places, count(*) AS n FROM gone GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
-       sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE list_filter(w, (x, i) -> NOT list_contains(places, i)) END, ' ')) AS kept_sha256
+       sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(places, i)) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN lost USING (r)
 """
 
 EXACT_TOPK = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(range(1, len(a.q) + 1), i -> a.q[i] * b.q[i])) AS BIGINT) AS score
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
   FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
