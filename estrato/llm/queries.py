@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estrato.llm import balltree, coding, kmeanstree, langid, oracles, packing, pii, quality, substring
+from estrato.llm import balltree, coding, kmeanstree, langid, neardup, oracles, packing, pii, quality, substring
 from estrato.llm.common import importable
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -64,6 +64,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(~learnable, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+@query("op7_near_duplicates")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("represents"))
+
+
 @query("op8_exact_topk", oracles.EXACT_TOPK)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = balltree.quantised(table(spark, sf_dir, "embeddings"))
