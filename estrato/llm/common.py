@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -23,14 +24,20 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/estrato-{uuid.uuid4().hex}"
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing holds any more: it does when the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared folder: cuts lineage and survives lost executors.
 
-    Then the shuffle files behind it are of no more use; a collection of the driver's garbage lets Spark delete them.
+    Tables written before made the shuffle files behind them useless; they go first.
     """
+    free_shuffles(df.sparkSession)
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    df.sparkSession._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from estrato.llm.common import WORD_BASES, drop_written, partitions, run_hashes, slices, text_buffers, word_hashes, word_spans, written
+from estrato.llm.common import WORD_BASES, drop_written, free_shuffles, partitions, run_hashes, slices, text_buffers, word_hashes, word_spans, written
 
 #: Perfect difference sets: every difference modulo the period occurs once.
 COVERS = {7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
@@ -86,9 +86,9 @@ def repeated_passages(docs: DataFrame, length: int = 35, period: int = 21) -> Da
     chunks = CHUNKS * partitions(docs.sparkSession)
     dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"))
     anchors = written(_repeated(dealt.groupBy("chunk").applyInArrow(_report_anchors(length, period), "chunk int, h long, n int"), "h"))
-    passages = dealt.groupBy("chunk").cogroup(anchors.groupBy("chunk")).applyInArrow(_report_windows(length, period), "chunk int, h long, g long, n int")
-    windows = written(_repeated(passages, "h", "g"))
+    windows = written(_repeated(dealt.groupBy("chunk").cogroup(anchors.groupBy("chunk")).applyInArrow(_report_windows(length, period), "chunk int, h long, g long, n int"), "h", "g"))
     drop_written(anchors)
+    free_shuffles(docs.sparkSession)
     return dealt.groupBy("chunk").cogroup(windows.groupBy("chunk")).applyInArrow(_keep(length), "doc_id long, n_words long, n_removed long, kept string")
 
 
