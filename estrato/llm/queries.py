@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estrato.llm import balltree, coding, kmeanstree, langid, neardup, oracles, packing, pii, quality, substring
+from estrato.llm import balltree, coding, kmeanstree, langid, linetemplates, neardup, oracles, packing, pii, quality, substring
 from estrato.llm.common import importable
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -56,6 +56,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmeanstree.search(index, rows.filter(asked).withColumnRenamed("vec_id", "query_id"))
 
 
+@query("op5_line_templates")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linetemplates.drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"), dropped="n_dropped")
+    return found.select("doc_id", "n_dropped", F.length("text").cast("long").alias("n_chars_kept"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query("op6_language_id")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
