@@ -72,7 +72,8 @@ def _folded(text: str) -> str:
 class _Automata:
     """Suffix automata of all languages as one table: ``table[state * symbols + symbol]`` is the next state.
 
-    Where the automaton has no such step, it is the complement of the state after a new phrase has begun.
+    Where the automaton has no such step, it is the complement of the state after a new phrase has begun.  An
+    additional state, before every text and after a letter that the sample has not, begins one with any symbol.
     """
 
     def __init__(self, model: Model):
@@ -86,10 +87,10 @@ class _Automata:
         self.gap = alphabet.index(" ")
         self.of_code = np.where(fold == 0, np.uint16(self.gap), known[fold])
         number = {c: i for i, c in enumerate(alphabet)}
-        tables, self.roots = [], []
+        tables, self.starts = [], []
         for sample in model.samples:
-            self.roots.append(sum(len(t) for t in tables))
-            tables.append(self._dense([number[c] for c in sample], self.roots[-1]))
+            tables.append(self._dense([number[c] for c in sample], sum(len(t) for t in tables)))
+            self.starts.append(sum(len(t) for t in tables) - 1)
         self.table = np.concatenate(tables).ravel()
         self.bits = np.log2([max(2, len(s)) for s in model.samples])
 
@@ -119,10 +120,10 @@ class _Automata:
                         steps[p][c] = copy
                         p = link[p]
             last = new
-        first = np.full(self.symbols, base, np.int32)
+        first = np.full(self.symbols, base + len(steps), np.int32)
         for c, s in steps[0].items():
             first[c] = base + s
-        table = np.tile(~first, (len(steps), 1))
+        table = np.tile(~first, (len(steps) + 1, 1))
         at = np.repeat(np.arange(len(steps)), [len(s) for s in steps])
         table[at, np.array([c for s in steps for c in s], np.int64)] = base + np.array([t for s in steps for t in s.values()], np.int32)
         return table
@@ -131,8 +132,8 @@ class _Automata:
         """Phrases of each block for each language (languages x blocks)."""
         order = np.argsort(-lengths, kind="stable")
         starts, sizes = starts[order], lengths[order]
-        count = np.zeros((len(self.roots), len(order)), np.int32)
-        state = np.repeat(np.array(self.roots, np.int32)[:, None], len(order), axis=1)
+        count = np.zeros((len(self.starts), len(order)), np.int32)
+        state = np.repeat(np.array(self.starts, np.int32)[:, None], len(order), axis=1)
         alive = np.searchsorted(-sizes, -np.arange(int(sizes[0]) if len(sizes) else 0), side="left")
         for t, n in enumerate(alive.tolist()):
             step = self.table[state[:, :n].astype(np.int64) * self.symbols + symbols[starts[:n] + t]]
@@ -140,7 +141,7 @@ class _Automata:
             count[:, :n] -= fresh
             state[:, :n] = step ^ fresh
         out = np.empty_like(count)
-        out[:, order] = count + (sizes > 0)
+        out[:, order] = count
         return out
 
 

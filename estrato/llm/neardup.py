@@ -31,6 +31,8 @@ BANDS, ROWS = 24, 6
 SLACK = 3.5
 #: Texts and shingles of a block.
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 19
+#: Words of 64 bits up to which bags are compared as bit sets; beyond, the same counts come from lists.
+BITS = 1 << 23
 
 
 def text_node(text: Column) -> Column:
@@ -141,14 +143,14 @@ def _bag(words: int):
 
 
 def overlap(bags: list[np.ndarray]) -> Callable[[int, np.ndarray], np.ndarray]:
-    """A function of one bag and others: how many elements it shares with each of them."""
+    """A function of one bag and others: how many elements it shares with each of these others."""
     sizes = np.array([len(b) for b in bags])
     values, number, often = np.unique(np.concatenate(bags), return_inverse=True, return_counts=True)
     shared = np.cumsum(often > 1) - 1  # elements of one bag alone are in no intersection
     kept = often[number] > 1
     owner, column = np.repeat(np.arange(len(bags)), sizes)[kept], shared[number[kept]]
     width = -(-int((often > 1).sum()) // 64)
-    if len(bags) * width <= 1 << 23:  # as bits, if they fit into 64 MB: the same counts, only faster
+    if len(bags) * width <= BITS:
         bits = np.zeros((len(bags), max(1, width)), np.uint64)
         np.bitwise_or.at(bits, (owner, column // 64), np.uint64(1) << (column % 64).astype(np.uint64))
         return lambda i, others: np.bitwise_count(bits[others] & bits[i]).sum(axis=1, dtype=np.int64)
