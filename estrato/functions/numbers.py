@@ -2,42 +2,47 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Doubles are summed as decimals of their shortest text: order-free, and free of binary noise.
+_EXACT = "decimal(38,15)"
+
 
 def stable_round(value: Column, scale: int) -> Column:
-    """Half-up rounding that ignores the noise of floating point sums.
+    """Half-up rounding, once.
 
-    The order in which tasks deliver partial sums changes the last bits of a
-    double, which is enough to move a value across a rounding tie.  Going
-    through a decimal with four spare digits removes that noise first.  NaN,
-    infinities and values too large for the decimal keep the plain rounding.
+    Meant for values that do not depend on the order of a sum: counts, extremes,
+    and what ``stable_sum`` and ``stable_mean`` deliver.
     """
-    guarded = F.round(value.try_cast(f"decimal(38,{scale + 4})"), scale).cast("double")
-    return F.coalesce(guarded, F.round(value, scale))
+    return F.round(value, scale)
 
 
-def stable_sum(value: Column, scale: int) -> Column:
-    """Sum of doubles, exact to a millionth per value, whatever the order; 0.0 for no values.
+def _total(value: Column) -> Column:
+    """Sum of doubles that is the same in any order; NULL for no values.
 
-    Sums of doubles lose cents once they are large, and differently for each
-    order of partial sums.  Whole parts and millionths are summed as integers
-    instead.  NaN, infinities and values or sums beyond that range fall back to
-    the plain sum.
+    Every value counts as the shortest decimal that stands for it, to 15 places.  With a NaN or an infinity
+    the plain sum is the answer in any order too.  The query fails on a finite value beyond 23 digits.
     """
     value = value.cast("double")
-    fits = F.abs(value) < 1e15
-    whole = F.when(fits, F.floor(value))
-    millionths = F.when(fits, F.round((value - F.floor(value)) * 1_000_000).cast("bigint"))
-    total = F.try_sum(whole).cast("decimal(20,0)") + F.try_sum(millionths).cast("decimal(20,0)") * F.lit(
-        Decimal("0.000001")
+    finite = ~F.isnan(value) & (F.abs(value) < float("inf"))
+    exact = F.when(finite, value.try_cast(_EXACT))
+    failed = F.raise_error("a value with more than 23 digits can't be summed exactly").cast("double")
+    return (
+        F.when(F.count_if(~finite) > 0, F.sum(value))
+        .when(F.count_if(finite & exact.isNull()) > 0, failed)
+        .otherwise(F.sum(exact).cast("double"))
     )
-    plain = stable_round(F.sum(value), scale)
-    exact = F.coalesce(F.round(total, scale).cast("double"), plain)
-    return F.coalesce(F.when(F.count_if(~fits) > 0, plain).otherwise(exact), F.lit(0.0))
+
+
+def stable_sum(value: Column, scale: int) -> Column:
+    """Sum of doubles whatever the order, rounded once; 0.0 for no values."""
+    return F.coalesce(F.round(_total(value), scale), F.lit(0.0))
+
+
+def stable_mean(value: Column, scale: int) -> Column:
+    """Mean of doubles whatever the order, rounded once; NULL for no values."""
+    return F.round(F.try_divide(_total(value), F.count(value)), scale)
 
 
 def percent(part: Column, whole: Column, scale: int = 2) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from estrato.functions.numbers import percent, stable_round, stable_sum
+from estrato.functions.numbers import percent, stable_mean, stable_round, stable_sum
 from estrato.operators.shape import require
 from estrato.session import cut_lineage
 
@@ -27,8 +27,9 @@ def entity_summary(
     """
     out = []
     for name, column in measures.items():
-        out += [stable_round(f(column), 2).alias(f"{p}_{name}") for p, f in (("avg", F.avg), ("max", F.max), ("min", F.min))]
-    out += [stable_round(F.avg(c), 6).alias(f"avg_{n}") for n, c in positions.items()]
+        out.append(stable_mean(F.col(column), 2).alias(f"avg_{name}"))
+        out += [stable_round(f(column), 2).alias(f"{p}_{name}") for p, f in (("max", F.max), ("min", F.min))]
+    out += [stable_mean(F.col(c), 6).alias(f"avg_{n}") for n, c in positions.items()]
     out += [n_rows().alias("total_events"), F.min(time).alias("first_event"), F.max(time).alias("last_event")]
     return df.groupBy(key).agg(*out)
 

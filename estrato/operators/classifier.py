@@ -25,13 +25,14 @@ def train_classifier(df: DataFrame, features: str, label: str, iterations: int =
     return Pipeline(stages=[index, model]).fit(data)
 
 
-def rank_classes(scores: Column, labels: Sequence[str], k: int | None = None) -> Column:
+def rank_classes(scores: Column, labels: Sequence[str] | Column, k: int | None = None) -> Column:
     """Classes by falling score as an array of (label, score); equal scores by label.
 
     ``scores[i]`` belongs to ``labels[i]``.  Sorting happens inside the row.
     """
+    names = labels if isinstance(labels, Column) else F.array(*[F.lit(x) for x in labels])
     pairs = F.transform(
-        F.arrays_zip(scores.alias("score"), F.array(*[F.lit(x) for x in labels]).alias("label")),
+        F.arrays_zip(scores.alias("score"), names.alias("label")),
         lambda p: F.struct((-p["score"]).alias("neg"), p["label"].alias("label")),
     )
     ranked = F.transform(

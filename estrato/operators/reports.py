@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estrato.functions.dates import day_part, month_label
-from estrato.functions.numbers import percent, stable_round, stable_sum
+from estrato.functions.numbers import percent, stable_mean, stable_round, stable_sum
 from estrato.operators.aggregates import counts, n_rows
 from estrato.operators.rules import Rule
 from estrato.operators.shape import require
@@ -64,11 +64,11 @@ def label_counts(df: DataFrame, column: str, null_label: str) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 20, cut: bool = False) -> DataFrame:
     """Equal bins over [min, max], the last one closed; empty bins are kept.
 
-    A constant column gets a range of width 1 around its value.  NULL and NaN
-    are left out.  The bounds are a scalar subquery, so the values are read
+    A constant column gets a range of width 1 around its value.  NULL, NaN and
+    infinities are left out.  The bounds are a scalar subquery, so the values are read
     twice; ``cut`` checkpoints them first if they are dear to compute.
     """
-    values = df.select(F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    values = df.select(F.col(column).cast("double").alias("x")).filter(~F.isnan("x") & (F.abs("x") < float("inf")))
     if cut:
         values = cut_lineage(values)
     lo, hi = F.min("x"), F.max("x")
@@ -93,7 +93,7 @@ def center(df: DataFrame, column: str, cut: bool = False) -> DataFrame:
         values = cut_lineage(values)
     median = exact_quantiles(values, {column: [0.5]})
     return values.agg(
-        stable_round(F.avg(column), 4).alias("mean"),
+        stable_mean(F.col(column), 4).alias("mean"),
         stable_round(median.select("value").scalar(), 4).alias("median"),
     )
 
@@ -104,7 +104,7 @@ def measure_spread(df: DataFrame, by: str, measure: str, scale: int = 6) -> Data
     return (
         require(df, by)
         .groupBy(by)
-        .agg(stable_round(F.avg(measure), scale).alias("mean"), stable_round(spread, scale).alias("std"))
+        .agg(stable_mean(F.col(measure), scale).alias("mean"), stable_round(spread, scale).alias("std"))
         .orderBy("mean", by)
     )
 
@@ -155,7 +155,7 @@ def measure_by_domain(df: DataFrame, by: str, measure: str, values: Sequence[str
     for mean, total, v in zip(means, totals, values):
         hit = F.when(F.col(by) == v, F.col(measure))
         some = F.count_if(F.col(by) == v) > 0
-        out.append(stable_round(F.avg(hit), scale).alias(mean))
+        out.append(stable_mean(hit, scale).alias(mean))
         out.append(F.when(some, stable_sum(hit, scale)).alias(total))
     return domain_rows(df.agg(*out), by, values, {"mean": means, "total": totals})
 
@@ -164,7 +164,7 @@ def mean_by(df: DataFrame, by: str, measure: str, scale: int = 4) -> DataFrame:
     return (
         require(df, by)
         .groupBy(by)
-        .agg(stable_round(F.avg(measure), scale).alias("mean"))
+        .agg(stable_mean(F.col(measure), scale).alias("mean"))
         .orderBy("mean", by)
     )
 
@@ -177,9 +177,9 @@ def executive_kpis(
         n_rows().alias("total"),
         *[F.count_if(F.col(decision) == d).alias(d.lower()) for d in decisions],
         F.count_if(F.col(label).isNotNull()).alias("with_prediction"),
-        stable_round(F.avg(score), 4).alias("mean_score"),
+        stable_mean(F.col(score), 4).alias("mean_score"),
         stable_sum(F.col(amount), 2).alias("total_amount"),
         stable_sum(F.when(F.col(decision) == decisions[-1], F.col(amount)), 2).alias("amount_at_risk"),
     )
-    parts = {f"{d.lower()}_pct": percent(F.col(d.lower()), F.col("total"), 1) for d in decisions}
+    parts = {f"{c}_pct": percent(F.col(c), F.col("total"), 1) for c in [*[d.lower() for d in decisions], "with_prediction"]}
     return row.withColumns(parts)

@@ -12,15 +12,19 @@ from pyspark.sql import functions as F
 from estrato.functions.text import has_text
 
 
-def conform(df: DataFrame, types: dict[str, str], keep_rest: bool = True) -> DataFrame:
+def conform(df: DataFrame, types: dict[str, str], keep_rest: bool = True, optional: Sequence[str] = ()) -> DataFrame:
     """Bring columns to declared types in one projection.
 
-    A value that does not convert becomes NULL; a declared column that is absent
-    becomes a NULL column.  Names match without regard to case.  Undeclared
-    columns stay behind the declared ones unless ``keep_rest`` is off.
+    A value that does not convert becomes NULL.  A declared column that is absent
+    raises ``ValueError``, unless it is ``optional``: then it is a NULL column.
+    Names match without regard to case.  Undeclared columns stay behind the
+    declared ones unless ``keep_rest`` is off.
     """
     present = {c.lower(): c for c in df.columns}
     declared = {c.lower() for c in types}
+    absent = declared - present.keys() - {c.lower() for c in optional}
+    if absent:
+        raise ValueError(f"declared columns are absent: {', '.join(sorted(absent))}")
     out = [
         (F.col(f"`{present[c.lower()]}`").try_cast(t) if c.lower() in present else F.lit(None).cast(t)).alias(c)
         for c, t in types.items()

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from estrato.functions.numbers import stable_round
+from estrato.functions.numbers import stable_mean, stable_round
 from estrato.schemas import literal_rows
 
 # Accuracy of the sketches that narrow the search of exact_quantiles, and the
@@ -45,7 +45,7 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, quartiles: bool
             F.count(col).alias("n_values"),
             F.count_if(col.isNull()).alias("n_null"),
             (F.count_if(F.isnan(col)) if c in floats else F.lit(0).cast("bigint")).alias("n_nan"),
-            stable_round(F.avg(x), 6).alias("mean"),
+            stable_mean(x, 6).alias("mean"),
             stable_round(F.stddev_samp(x), 6).alias("std"),
             F.min(x).alias("min_value"),
             F.max(x).alias("max_value"),

@@ -76,7 +76,7 @@ def as_of(
     """State of a table at a version or time, from its log of row changes.
 
     ``log`` holds one row per change with the whole new row, an orderable
-    ``version`` column and a ``deleted`` flag.  Per key the last change up to
+    ``version`` column and a ``deleted`` flag, which counts as not set if NULL.  Per key the last change up to
     ``at`` counts, as an aggregate that combines before the shuffle.
     """
     values = [c for c in log.columns if c not in (*keys, version, deleted)]
@@ -86,8 +86,12 @@ def as_of(
         .groupBy(*keys)
         .agg(F.max(F.struct(version, deleted, *values)).alias("_last"))
     )
-    return last.filter(~F.col(f"_last.`{deleted}`")).select(*keys, *[F.col(f"_last.`{c}`").alias(c) for c in values])
+    return last.filter(~F.coalesce(F.col(f"_last.`{deleted}`"), F.lit(False))).select(*keys, *[F.col(f"_last.`{c}`").alias(c) for c in values])
 
 
 def _as_table(rows: DataFrame, table: DataFrame) -> DataFrame:
-    return conform(rows, dict(table.dtypes), keep_rest=False)
+    """Rows with the table's columns; absent ones are NULL, a column that the table has not raises ``ValueError``."""
+    unknown = sorted({c.lower() for c in rows.columns} - {c.lower() for c in table.columns})
+    if unknown:
+        raise ValueError(f"the table has no such columns: {', '.join(unknown)}")
+    return conform(rows, dict(table.dtypes), keep_rest=False, optional=table.columns)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from estrato import schemas
 from estrato.fixed import FLIGHT_STATES
-from estrato.functions.numbers import percent, stable_round, stable_sum
+from estrato.functions.numbers import percent, stable_mean, stable_sum
 from estrato.operators.aggregates import state_counts
 from estrato.operators.dedup import dedup_by
 from estrato.operators.joins import enrich
@@ -72,7 +72,7 @@ def kpi_punctuality(flights: DataFrame, airports: DataFrame, aircraft: DataFrame
         .agg(
             F.count("vuelo_id").alias("total_vuelos"),
             *state_counts("estado", FLIGHT_STATES),
-            stable_round(F.avg("duracion_min"), 2).alias("duracaion_promedio_min"),
+            stable_mean(F.col("duracion_min"), 2).alias("duracaion_promedio_min"),
         )
         .withColumn("puntualidad_pct", percent(F.col("vuelos_a_tiempo"), F.col("total_vuelos")))
     )
@@ -89,7 +89,7 @@ def kpi_maintenance(maintenance: DataFrame, aircraft: DataFrame) -> DataFrame:
     out = [F.count("mantenimiento_id").alias("total_mantenimientos")]
     for name, (column, unit) in measures.items():
         out += [
-            stable_round(F.avg(column), 2).alias(f"{name}_promedio_{unit}"),
+            stable_mean(F.col(column), 2).alias(f"{name}_promedio_{unit}"),
             F.when(F.count(column) > 0, stable_sum(F.col(column), 2)).alias(f"{name}_total_{unit}"),
         ]
     grouped = maintenance.groupBy(

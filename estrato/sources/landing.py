@@ -17,15 +17,16 @@ def read_landing(
     """CSV file(s) with a header.
 
     Without a schema all columns are text, ready for ``conform``; ``infer=True``
-    pays one more scan to guess types.  With a schema, ``corrupt_column`` keeps
-    the raw text of lines that do not fit it.
+    pays one more scan to guess types.  With a schema, the header has to name its
+    columns in their order, else the query fails; ``corrupt_column`` keeps the
+    raw text of lines that do not fit it.
     """
     reader = spark.read.option("header", True).option("sep", separator)
     if schema is not None:
         if corrupt_column:
             schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
             reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
-        reader = reader.schema(schema)
+        reader = reader.schema(schema).option("enforceSchema", False)
     elif infer:
         reader = reader.option("inferSchema", True)
     return reader.csv(path)

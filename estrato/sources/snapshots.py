@@ -2,27 +2,38 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estrato.schemas import empty_table, struct_of
 
-HISTORY = {"version": "bigint", "committed_at": "timestamp", "operation": "string", "rows": "bigint"}
+HISTORY = {"version": "bigint", "committed_at": "timestamp", "operation": "string", "rows": "bigint", "folder": "string"}
 
 
 class SnapshotTable:
     """Versions 0, 1, ... of a table below ``path``.
 
-    The version folder is complete before its history row is appended, and
-    readers only trust the history: a commit that dies half way leaves a folder
-    nobody reads, which the next commit overwrites.
+    Every commit writes a folder of its own, then claims its version number by a
+    file that only one writer can create, then appends its history row.  Readers
+    only trust the history: a commit that fails leaves a folder nobody reads.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def _version_path(self, version: int) -> str:
-        return f"{self.path}/versions/version={version}"
+    def _claim(self, version: int, folder: str) -> None:
+        """Raise ``FileExistsError`` if another writer has this version."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/claims/version={version}")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        try:
+            out = files.create(path, False)
+        except Py4JJavaError as error:
+            raise FileExistsError(f"version {version} of {self.path} was committed by another writer") from error
+        out.write(bytearray(folder.encode()))
+        out.close()
 
     def history(self) -> DataFrame:
         """One row per version."""
@@ -37,18 +48,24 @@ class SnapshotTable:
         return past.agg(F.max("version")).first()[0]
 
     def commit(self, df: DataFrame, operation: str) -> int:
-        """Store ``df`` as the next version and return its number."""
+        """Store ``df`` as the next version and return its number.
+
+        Of two writers that saw the same last version one gets ``FileExistsError``.
+        """
         last = self._latest()
         version = 0 if last is None else last + 1
-        df.write.mode("overwrite").parquet(self._version_path(version))
+        folder = f"{self.path}/versions/{uuid.uuid4().hex}"
+        df.write.parquet(folder)
+        self._claim(version, folder)
         (
-            self.spark.read.parquet(self._version_path(version))
+            self.spark.read.parquet(folder)
             .agg(F.count(F.lit(1)).alias("rows"))
             .select(
                 F.lit(version).cast("bigint").alias("version"),
                 F.current_timestamp().alias("committed_at"),
                 F.lit(operation).alias("operation"),
                 "rows",
+                F.lit(folder).alias("folder"),
             )
             .write.mode("append")
             .parquet(f"{self.path}/history")
@@ -65,7 +82,8 @@ class SnapshotTable:
             found = self._latest()
         if found is None:
             raise ValueError(f"no such version of {self.path}")
-        return self.spark.read.parquet(self._version_path(found))
+        folder = self.history().filter(F.col("version") == found).first()["folder"]
+        return self.spark.read.parquet(folder)
 
     def restore(self, version: int) -> int:
         """Make an old version the newest one."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from estrato.operators.joins import unpartitioned
 from estrato.plans import airline as plan
-from estrato.workload.registry import Tables, best_row, pct, query, raw, rounded, summed
+from estrato.workload.registry import Tables, best_row, mean, pct, query, raw, summed
 from estrato.workload.standins import columns
 
 FLIGHTS = f"{raw('vuelos')}, flights AS ({best_row('vuelos', columns('vuelos'), ['vuelo_id'], ['fecha'])})"
@@ -66,7 +66,7 @@ def flight_enriched(t: Tables):
                count(*) FILTER (estado = 'a_tiempo') AS vuelos_a_tiempo,
                count(*) FILTER (estado = 'retrasado') AS vuelos_retrasados,
                count(*) FILTER (estado = 'cancelado') AS vuelos_cancelados,
-               {rounded('avg(duracion_min)', 2)} AS duracaion_promedio_min
+               {mean('duracion_min', 2)} AS duracaion_promedio_min
         FROM enriched GROUP BY modelo, fabricante, origen_pais, mes, anio)
     SELECT *, {pct('vuelos_a_tiempo', 'total_vuelos')} AS puntualidad_pct FROM kpi""",
 )
@@ -79,8 +79,8 @@ def kpi_punctuality(t: Tables):
     f"""WITH {JOBS}, {AIRCRAFT}
     SELECT j.aeronave_id, modelo, fabricante, tipo, CAST(month(fecha) AS INTEGER) AS mes,
            CAST(year(fecha) AS INTEGER) AS anio, count(mantenimiento_id) AS total_mantenimientos,
-           {rounded('avg(costo_usd)', 2)} AS costo_promedio_usd, {summed('costo_usd')} AS costo_total_usd,
-           {rounded('avg(duracion_hr)', 2)} AS duracion_promedio_hr,
+           {mean('costo_usd', 2)} AS costo_promedio_usd, {summed('costo_usd')} AS costo_total_usd,
+           {mean('duracion_hr', 2)} AS duracion_promedio_hr,
            {summed('duracion_hr')} AS duracion_total_hr
     FROM jobs j LEFT JOIN aircraft a ON j.aeronave_id = a.aeronave_id
     GROUP BY j.aeronave_id, modelo, fabricante, tipo, month(fecha), year(fecha)""",

@@ -9,7 +9,7 @@ from estrato.functions.sql import register_functions
 from estrato.operators.joins import split_join
 from estrato.operators.shape import conform, in_range, ordered, require, require_text, role
 from estrato.plans import airline, sales
-from estrato.workload.registry import Tables, query, raw, rounded, summed
+from estrato.workload.registry import Tables, mean, query, raw, rounded, summed
 
 
 @query("project_subset", f"WITH {raw('sales')} SELECT order_id, order_date, country, units_sold FROM sales")
@@ -50,7 +50,7 @@ def conform_types(t: Tables):
         "CASE WHEN o_orderstatus = 'P' THEN o_orderpriority ELSE CAST(o_custkey AS STRING) END AS quantity",
         "CASE WHEN o_orderstatus = 'O' THEN 'n/a' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS day",
     )
-    return conform(texts, {"id": "string", "quantity": "int", "day": "date", "absent": "double"})
+    return conform(texts, {"id": "string", "quantity": "int", "day": "date", "absent": "double"}, optional=["absent"])
 
 
 @query("filter_eq", f"WITH {raw('sales')} SELECT * FROM sales WHERE country = 'Country 7'")
@@ -110,7 +110,7 @@ def sql_function_filter(t: Tables):
 
 @query(
     "avg_price_param",
-    f"WITH {raw('productos')} SELECT {rounded('avg(precio)', 4)} AS precio_medio FROM productos "
+    f"WITH {raw('productos')} SELECT {mean('precio', 4)} AS precio_medio FROM productos "
     "WHERE producto = '2-HIGH' AND precio >= 1500",
 )
 def avg_price_param(t: Tables):
@@ -141,9 +141,9 @@ def sales_by_country(t: Tables):
     return _country(t)
 
 
-@query("sales_by_country_sorted", _COUNTRY_SQL + " ORDER BY total_sales_amount DESC, country LIMIT 10")
+@query("sales_by_country_sorted", _COUNTRY_SQL + " ORDER BY total_sales_amount DESC, country")
 def sales_by_country_sorted(t: Tables):
-    return _country(t).orderBy(F.desc("total_sales_amount"), "country").limit(10)
+    return _country(t).orderBy(F.desc("total_sales_amount"), "country")
 
 
 _ENRICHED_SQL = (

@@ -9,15 +9,15 @@ from estrato.operators.joins import join_audit, unpartitioned
 from estrato.plans import claims as plan
 from estrato.sources.layers import Layer
 from estrato.workload import cleaning
-from estrato.workload.registry import Tables, query, raw, rounded
+from estrato.workload.registry import Tables, mean, query, raw, rounded
 
 INSURED = f"""{cleaning.POLICIES}, {cleaning.CUSTOMERS}, insured AS (
     SELECT p.*, first_name, last_name, date_of_birth, address
     FROM policies_clean p LEFT JOIN customers_clean u ON p.CUST_ID = u.customer_id)"""
 VEHICLES = f"""{cleaning.TELEMATICS}, vehicles AS (
-    SELECT chassis_no, {rounded('avg(speed)', 2)} AS avg_speed, {rounded('max(speed)', 2)} AS max_speed,
-           {rounded('min(speed)', 2)} AS min_speed, {rounded('avg(latitude)', 6)} AS avg_latitude,
-           {rounded('avg(longitude)', 6)} AS avg_longitude, count(*) AS total_events,
+    SELECT chassis_no, {mean('speed', 2)} AS avg_speed, {rounded('max(speed)', 2)} AS max_speed,
+           {rounded('min(speed)', 2)} AS min_speed, {mean('latitude', 6)} AS avg_latitude,
+           {mean('longitude', 6)} AS avg_longitude, count(*) AS total_events,
            min(event_timestamp) AS first_event, max(event_timestamp) AS last_event
     FROM telematics_clean GROUP BY chassis_no)"""
 JOINED = f"""{cleaning.CLAIMS}, {INSURED}, joined AS (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from estrato.functions.numbers import stable_round
+from estrato.functions.numbers import stable_mean, stable_round
 from estrato.operators import labels
 from estrato.operators.aggregates import counts, imbalance, share
 from estrato.operators.classifier import rank_classes
@@ -93,20 +93,39 @@ def standardize_vectors(t: Tables):
     )
 
 
+# Every vector is scored against the mean vector of each label; all its entries count.
 _SCORED = (
-    "scored AS (SELECT 'img_' || CAST(vec_id AS VARCHAR) || '.jpg' AS image_name, CAST(label AS VARCHAR) AS truth, "
-    "CASE WHEN embedding[1] > 0 THEN CAST(label AS VARCHAR) ELSE '0' END AS guess, "
-    "least(abs(CAST(embedding[2] AS DOUBLE)) * 4, 1.0) AS score FROM embeddings)"
+    "means AS (SELECT label, pos, CAST(CAST(CAST(avg(x) AS VARCHAR) AS DECIMAL(38,6)) AS DOUBLE) AS m FROM (SELECT label, "
+    "unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings) GROUP BY label, pos), "
+    "centres AS (SELECT label, list(m ORDER BY pos) AS centre FROM means GROUP BY label), "
+    "near AS (SELECT vec_id, e.label AS truth, c.label AS guess, CAST(CAST(CAST(list_sum(list_transform("
+    "range(1, len(embedding) + 1), lambda i: CAST(embedding[i] AS DOUBLE) * centre[i])) AS VARCHAR) AS DECIMAL(38,6)) AS DOUBLE) AS closeness "
+    "FROM embeddings e CROSS JOIN centres c), "
+    "best AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY closeness DESC, guess) AS place FROM near), "
+    "scored AS (SELECT 'img_' || CAST(vec_id AS VARCHAR) || '.jpg' AS image_name, CAST(truth AS VARCHAR) AS truth, "
+    "CAST(guess AS VARCHAR) AS guess, least(greatest(closeness, 0.0::DOUBLE) * 3, 1.0::DOUBLE) AS score FROM best WHERE place = 1)"
 )
 
 
 def scored(t: Tables):
-    """Stand-in scores: sign and size of vector entries."""
-    return t.embeddings.selectExpr(
-        "'img_' || CAST(vec_id AS STRING) || '.jpg' AS image_name",
-        "CAST(label AS STRING) AS truth",
-        "CASE WHEN embedding[0] > 0 THEN CAST(label AS STRING) ELSE '0' END AS guess",
-        "least(abs(CAST(embedding[1] AS DOUBLE)) * 4, 1.0D) AS score",
+    """Stand-in scores: the label whose mean vector is closest by inner product, and how close it is."""
+    entries = t.embeddings.select("label", F.posexplode(F.col("embedding").cast("array<double>")).alias("pos", "x"))
+    means = entries.groupBy("label", "pos").agg(stable_mean(F.col("x"), 6).alias("m"))
+    centres = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("pos", "m")))["m"].alias("centre"))
+    # One row per label, as long as a vector: bounded by the classes, not by the rows.
+    every = centres.agg(F.collect_list(F.struct("label", "centre"))).scalar()
+    vector = F.col("embedding").cast("array<double>")
+
+    def close(centre):
+        return F.aggregate(F.zip_with(vector, centre, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
+
+    near = F.transform("every", lambda c: F.struct(stable_round(close(c["centre"]), 6).alias("closeness"), (-c["label"]).alias("neg")))
+    best = t.embeddings.withColumn("every", every).select("vec_id", "label", F.array_max(near).alias("best"))
+    return best.select(
+        F.concat(F.lit("img_"), F.col("vec_id").cast("string"), F.lit(".jpg")).alias("image_name"),
+        F.col("label").cast("string").alias("truth"),
+        (-F.col("best.neg")).cast("string").alias("guess"),
+        F.least(F.greatest(F.col("best.closeness"), F.lit(0.0)) * 3, F.lit(1.0)).alias("score"),
     )
 
 
@@ -138,25 +157,34 @@ def confusion_matrix(t: Tables):
     return labels.confusion(scored(t), "truth", "guess")
 
 
-# The first entries of each vector, taken as scores of these classes.
-_CLASSES = ("dent", "glass", "scratch", "tyre", "bumper")
-
-
 @query(
     "topk_classes",
-    "WITH s AS (SELECT vec_id, unnest(['dent', 'glass', 'scratch', 'tyre', 'bumper']) AS label, "
-    "CAST(unnest(embedding[1:5]) AS DOUBLE) AS score FROM embeddings), r AS (SELECT *, "
+    "WITH s AS (SELECT vec_id, 'c' || lpad(CAST(generate_subscripts(embedding, 1) - 1 AS VARCHAR), 3, '0') AS label, "
+    "CAST(unnest(embedding) AS DOUBLE) AS score FROM embeddings), r AS (SELECT *, "
     "row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, label) AS place FROM s) "
     f"SELECT vec_id, CAST(place - 1 AS INTEGER) AS pos, label, {rounded('score', 6)} AS score FROM r WHERE place <= 3",
 )
 def topk_classes(t: Tables):
-    scores = F.slice("embedding", 1, len(_CLASSES)).cast("array<double>")
-    ranked = t.embeddings.select("vec_id", F.posexplode(rank_classes(scores, _CLASSES, 3)).alias("pos", "class"))
+    """Each entry of a vector is the score of a class named by its position."""
+    scores = F.col("embedding").cast("array<double>")
+    names = F.transform(F.sequence(F.lit(0), F.size("embedding") - 1), lambda i: F.concat(F.lit("c"), F.lpad(i.cast("string"), 3, "0")))
+    ranked = t.embeddings.select("vec_id", F.posexplode(rank_classes(scores, names, 3)).alias("pos", "class"))
     return ranked.select("vec_id", "pos", "class.label", stable_round(F.col("class.score"), 6).alias("score"))
 
 
-@query("classifier_predictions")
+@query(
+    "classifier_predictions",
+    "SELECT vec_id AS image_name, TRUE AS known_label, TRUE AS level_fits, TRUE AS score_is_probability FROM embeddings",
+)
 def classifier_predictions(t: Tables):
-    """Fitted model, so there is no SQL twin."""
+    """What is certain of a fitted model: every row once, a known label, a level that fits its score."""
     predictions, _ = training.train_and_predict(t.embeddings, "vec_id", "embedding", "label")
-    return predictions
+    score, level = F.col("damage_score"), F.col("confidence_level")
+    known = t.embeddings.agg(F.collect_set(F.col("label").cast("string"))).scalar()
+    fits = F.when(score >= 0.8, level == "alta").when(score >= 0.5, level == "media").otherwise(level == "baja")
+    return predictions.select(
+        "image_name",
+        F.array_contains(known, F.col("damage_label")).alias("known_label"),
+        (fits & (F.col("is_reliable") == (score >= 0.5))).alias("level_fits"),
+        score.between(0, 1).alias("score_is_probability"),
+    )

@@ -77,14 +77,20 @@ def raw(name: str) -> str:
 
 
 def rounded(value: str, scale: int) -> str:
-    """Half-up rounding on a decimal, as a double."""
-    return f"CAST(ROUND(CAST(({value}) AS DECIMAL(38,{scale + 4})), {scale}) AS DOUBLE)"
+    """Half-up rounding of the shortest decimal text of a double, once."""
+    return f"CAST(CAST(CAST(CAST(({value}) AS DOUBLE) AS VARCHAR) AS DECIMAL(38,{scale})) AS DOUBLE)"
+
+
+def mean(value: str, scale: int) -> str:
+    """Mean of the shortest decimals of doubles, rounded once."""
+    total = f"CAST(sum(CAST(CAST(CAST({value} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE)"
+    return rounded(f"{total} / count({value})", scale)
 
 
 def summed(value: str, scale: int = 2, condition: str = "") -> str:
     """Sum in decimals, as a double."""
     keep = f" FILTER ({condition})" if condition else ""
-    return f"CAST(ROUND(SUM(CAST(({value}) AS DECIMAL(28,6))){keep}, {scale}) AS DOUBLE)"
+    return f"CAST(ROUND(SUM(CAST(({value}) AS DECIMAL(38,15))){keep}, {scale}) AS DOUBLE)"
 
 
 def pct(part: str, whole: str, scale: int = 2) -> str:

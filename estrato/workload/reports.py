@@ -14,7 +14,7 @@ from estrato.operators import reports as panel
 from estrato.operators.aggregates import share, top_share
 from estrato.plans.claims import CLAIM_RULES
 from estrato.workload.claims import DECIDED, decided
-from estrato.workload.registry import Tables, pct, query, rounded, summed
+from estrato.workload.registry import Tables, mean, pct, query, rounded, summed
 
 W = f"WITH {DECIDED}"
 
@@ -83,7 +83,7 @@ def amount_histogram(t: Tables):
 
 @query(
     "amount_center",
-    f"{W} SELECT {rounded('avg(claim_total)', 4)} AS mean, {rounded('median(claim_total)', 4)} AS median FROM decided",
+    f"{W} SELECT {mean('claim_total', 4)} AS mean, {rounded('median(claim_total)', 4)} AS median FROM decided",
 )
 def amount_center(t: Tables):
     return panel.center(decided(t, predictions=False), "claim_total", cut=True)
@@ -133,7 +133,7 @@ def coherence_share(t: Tables):
 
 @query(
     "score_by_label",
-    f"{W} SELECT damage_label, {rounded('avg(damage_score)', 6)} AS mean, "
+    f"{W} SELECT damage_label, {mean('damage_score', 6)} AS mean, "
     f"{rounded('coalesce(stddev_samp(damage_score), 0)', 6)} AS std FROM decided "
     "WHERE damage_label IS NOT NULL GROUP BY damage_label",
 )
@@ -193,7 +193,7 @@ def rule_failures(t: Tables):
 @query(
     "amount_by_decision",
     f"{W} SELECT CAST(position AS INTEGER) AS position, v AS decision_final, "
-    f"{rounded('avg(claim_total)', 2)} AS mean, {summed('claim_total')} AS total "
+    f"{mean('claim_total', 2)} AS mean, {summed('claim_total')} AS total "
     f"FROM (VALUES {_domain(DECISIONS)}) x(position, v) LEFT JOIN decided ON decision_final = v GROUP BY position, v",
 )
 def amount_by_decision(t: Tables):
@@ -202,7 +202,7 @@ def amount_by_decision(t: Tables):
 
 @query(
     "failures_by_severity",
-    f"{W} SELECT incident_severity, {rounded('avg(reglas_fallidas)', 4)} AS mean FROM decided "
+    f"{W} SELECT incident_severity, {mean('reglas_fallidas', 4)} AS mean FROM decided "
     "WHERE incident_severity IS NOT NULL GROUP BY incident_severity",
 )
 def failures_by_severity(t: Tables):
@@ -216,7 +216,7 @@ _N = {d: f"count(*) FILTER (decision_final = '{d}')" for d in DECISIONS}
     "executive_kpis",
     f"{W} SELECT count(*) AS total, "
     + ", ".join(f"{n} AS {d.lower()}, {pct(n, 'count(*)', 1)} AS {d.lower()}_pct" for d, n in _N.items())
-    + f", count(damage_label) AS with_prediction, {rounded('avg(damage_score)', 4)} AS mean_score, "
+    + f", count(damage_label) AS with_prediction, {pct('count(damage_label)', 'count(*)', 1)} AS with_prediction_pct, {mean('damage_score', 4)} AS mean_score, "
     f"{summed('claim_total')} AS total_amount, "
     + summed("claim_total", 2, "decision_final = 'INVESTIGAR'")
     + " AS amount_at_risk FROM decided",

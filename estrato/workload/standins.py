@@ -137,21 +137,21 @@ STANDINS: dict[str, tuple[str, dict[str, str], str | None]] = {
         },
         None,
     ),
-    # Only closed lines have a photograph.
+    # Photographs of open lines are filed under other names in the two tables: neither finds the other.
     "metadata": (
         "lineitem",
         {
-            "image_name": _IMAGE,
+            "image_name": f"CASE WHEN l_linestatus = 'F' THEN {_IMAGE} ELSE 'archivo_' || {_IMAGE} END",
             "image_id": "CAST(l_partkey AS STRING)",
             "claim_no": _CLAIM_NO,
             "chassis_no": "CAST(l_suppkey AS STRING)",
         },
-        "l_linestatus = 'F'",
+        None,
     ),
     "predictions": (
         "lineitem",
         {
-            "image_name": _IMAGE,
+            "image_name": f"CASE WHEN l_linestatus = 'F' THEN {_IMAGE} ELSE 'sin_ficha_' || {_IMAGE} END",
             "damage_label": "CASE l_returnflag WHEN 'A' THEN 'scratch' WHEN 'N' THEN 'dent' ELSE 'broken_glass' END",
             "damage_score": "l_discount * 10",
             "confidence_level": (
@@ -159,7 +159,7 @@ STANDINS: dict[str, tuple[str, dict[str, str], str | None]] = {
             ),
             "is_reliable": "l_discount * 10 >= 0.5",
         },
-        "l_linestatus = 'F'",
+        None,
     ),
     # --- tutorial
     "sales": (
@@ -174,11 +174,15 @@ STANDINS: dict[str, tuple[str, dict[str, str], str | None]] = {
         },
         None,
     ),
-    # Parts of the largest size are not in the product table.
+    # Parts of the largest size are in the product table under another number.
     "products": (
         "part",
-        {"product": "CAST(p_partkey AS STRING)", "category": "p_type", "brand": "p_brand"},
-        "p_size < 50",
+        {
+            "product": "CASE WHEN p_size < 50 THEN CAST(p_partkey AS STRING) ELSE 'P' || CAST(p_partkey AS STRING) END",
+            "category": "p_type",
+            "brand": "p_brand",
+        },
+        None,
     ),
     "productos": (
         "orders",

@@ -6,21 +6,21 @@ from pyspark.sql import functions as F
 
 from estrato.functions.numbers import stable_round
 from estrato.operators import stats
-from estrato.workload.registry import Tables, query, rounded
+from estrato.workload.registry import Tables, mean, query, rounded
 
 _LINE_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _PROFILED = {"c_custkey": True, "c_name": False, "c_nationkey": True, "c_acctbal": True, "c_mktsegment": False}
 
 
 def _profile(column: str, numeric: bool) -> str:
-    mean, std, low, high = (
-        (rounded(f"avg({column})", 6), rounded(f"stddev_samp({column})", 6), f"min({column})", f"max({column})")
+    middle, std, low, high = (
+        (mean(column, 6), rounded(f"stddev_samp({column})", 6), f"min({column})", f"max({column})")
         if numeric
         else ("NULL", "NULL", "NULL", "NULL")
     )
     return (
         f"SELECT '{column}' AS column_name, count({column}) AS n_values, count(*) - count({column}) AS n_null, "
-        f"CAST(0 AS BIGINT) AS n_nan, CAST({mean} AS DOUBLE) AS mean, CAST({std} AS DOUBLE) AS std, "
+        f"CAST(0 AS BIGINT) AS n_nan, CAST({middle} AS DOUBLE) AS mean, CAST({std} AS DOUBLE) AS std, "
         f"CAST({low} AS DOUBLE) AS min_value, CAST({high} AS DOUBLE) AS max_value FROM customer"
     )
 
@@ -65,10 +65,21 @@ def iqr_outliers(t: Tables):
     return stats.iqr_outliers(t.events, "value", exact=True).select("event_id", "user_id", "value")
 
 
-@query("iqr_outliers_approx")
+@query(
+    "iqr_outliers_approx",
+    "SELECT q, TRUE AS within_error FROM (VALUES (0.25::DOUBLE), (0.75::DOUBLE)) v(q)",
+)
 def iqr_outliers_approx(t: Tables):
-    """Sketched quartiles; their rank error is bounded, so there is no exact SQL twin."""
-    return stats.iqr_outliers(t.events, "value").select("event_id", "user_id", "value")
+    """Whether the fences of the sketched form come from quartiles within its rank error of 0.05."""
+    kept = stats.iqr_outliers(t.events, "value").agg(F.count(F.lit(1))).scalar()
+    quartiles = t.events.agg(F.percentile_approx("value", [0.25, 0.75], 20)).scalar()
+    x, q1, q3 = F.col("value"), quartiles[0], quartiles[1]
+    margin = (q3 - q1) * 1.5
+    ranks = {"below1": x < q1, "upto1": x <= q1, "below3": x < q3, "upto3": x <= q3}
+    outside = F.count_if((x < q1 - margin) | (x > q3 + margin))
+    row = t.events.agg(*[F.avg(c.cast("double")).alias(n) for n, c in ranks.items()], (outside == kept).alias("same"))
+    checks = [F.struct(F.lit(q).alias("q"), ((F.col(f"below{i}") <= q + 0.05) & (F.col(f"upto{i}") >= q - 0.05) & F.col("same")).alias("within_error")) for q, i in ((0.25, 1), (0.75, 3))]
+    return row.select(F.inline(F.array(*checks)))
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from estrato.functions.text import file_extension, file_name
 from estrato.operators.shape import conform
 from estrato.operators.tables import delete_where
+from estrato.schemas import struct_of
 from estrato.session import new_shared_folder
 from estrato.sources.landing import read_binary, read_landing
 from estrato.sources.layers import Layer
@@ -60,9 +61,36 @@ def table_restore(t: Tables):
     return customers_snapshots(t).read()
 
 
-@query("binary_files")
+@query(
+    "binary_files",
+    "SELECT n_nationkey, 'txt' AS extension, CAST(length(n_name) + 1 AS BIGINT) AS length, n_name AS content FROM nation",
+)
 def binary_files(t: Tables):
-    """The given files as binary rows; names and sizes only, so no bytes are read."""
-    files = read_binary(t.spark, t.folder, glob="*.parquet")
+    """One file per nation, read back as binary rows: name, size and bytes."""
+    path = f"{new_shared_folder(t.spark)}/nation"
+    t.nation.select(F.col("n_name").alias("value"), "n_nationkey").write.partitionBy("n_nationkey").text(path)
+    files = read_binary(t.spark, path, glob="*.txt")
     name = file_name(F.col("path"))
-    return files.select(name.alias("image_name"), file_extension(name).alias("extension"), "length")
+    return files.select(
+        F.regexp_extract("path", "n_nationkey=([0-9]+)", 1).cast("int").alias("n_nationkey"),
+        file_extension(name).alias("extension"),
+        "length",
+        F.trim(F.decode("content", "UTF-8"), F.lit("\n")).alias("content"),
+    )
+
+
+_LINES = "SELECT *, s_suppkey % 7 = 0 AS broken FROM supplier"
+
+
+@query(
+    "landing_csv_declared",
+    f"SELECT CASE WHEN NOT broken THEN s_suppkey END AS s_suppkey, s_name, s_acctbal, "
+    f"CASE WHEN broken THEN 'no ' || CAST(s_suppkey AS VARCHAR) || ';' || s_name || ';' || CAST(s_acctbal AS VARCHAR) END AS broken_line FROM ({_LINES})",
+)
+def landing_csv_declared(t: Tables):
+    """Declared types, a separator, and lines that do not fit kept as they are."""
+    path = f"{new_shared_folder(t.spark)}/supplier"
+    key = F.when(F.col("s_suppkey") % 7 == 0, F.concat(F.lit("no "), F.col("s_suppkey").cast("string"))).otherwise(F.col("s_suppkey").cast("string"))
+    t.supplier.select(key.alias("s_suppkey"), "s_name", "s_acctbal").write.option("header", True).option("sep", ";").csv(path)
+    schema = struct_of({"s_suppkey": "bigint", "s_name": "string", "s_acctbal": "double"})
+    return read_landing(t.spark, path, schema, separator=";", corrupt_column="broken_line")
