@@ -71,6 +71,7 @@ def main() -> None:
         f"local[{cpus}]",
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "8g"),
         spark__sql__shuffle__partitions=cpus,
+        spark__checkpoint__dir=os.environ.get("BENCH_SHARED", os.path.abspath("spark-warehouse")),
     )
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or HEADLINE

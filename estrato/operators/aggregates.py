@@ -56,7 +56,7 @@ def share(
 
     The total is a scalar subquery over the grouped counts and shares their
     shuffle.  Above joins, adaptive planning may run the two differently and
-    evaluate the input twice; ``cut`` checkpoints the counts (one row per group)
+    evaluate the input twice; ``cut`` writes the counts (one row per group)
     so that a dear input is evaluated once.
     """
     column = F.col(by) if null_label is None else F.coalesce(F.col(by).cast("string"), F.lit(null_label))

@@ -12,22 +12,24 @@ from estrato.fixed import CONFIDENCE_LEVELS, RELIABLE_LEVELS
 from estrato.functions.numbers import banded, percent, stable_round
 from estrato.operators.aggregates import n_rows
 from estrato.operators.shape import require
+from estrato.session import cut_lineage
 
 
 def label_index(df: DataFrame, label: str) -> DataFrame:
     """Distinct labels with ids 0, 1, ... in label order, as (label_id, label).
 
-    Ids are counted inside groups of equal first characters and shifted by the
-    size of the groups before, so no task sees all labels.
+    The distinct labels are written in ranges of about equal size, whatever they
+    start with.  Ids are counted inside a range and shifted by the ranges before,
+    so no task sees all labels.
     """
     labels = require(df, label).select(F.col(label).cast("string").alias("label")).distinct()
-    labels = labels.withColumn("_head", F.substring("label", 1, 2))
-    heads = labels.groupBy("_head").agg(n_rows().alias("_n"))
-    # One row per two-character head: bounded by the alphabet, not by the data.
-    before = W.orderBy("_head").rowsBetween(W.unboundedPreceding, -1)
-    offsets = heads.select("_head", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    within = F.row_number().over(W.partitionBy("_head").orderBy("label"))
-    return labels.join(offsets, "_head").select((F.col("_offset") + within - 1).cast("int").alias("label_id"), "label")
+    ranged = cut_lineage(labels.repartitionByRange("label").withColumn("_range", F.spark_partition_id()))
+    sizes = ranged.groupBy("_range").agg(n_rows().alias("_n"))
+    # One row per range: bounded by the number of shuffle partitions.
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    within = F.row_number().over(W.partitionBy("_range").orderBy("label"))
+    return ranged.join(offsets, "_range").select((F.col("_offset") + within - 1).cast("int").alias("label_id"), "label")
 
 
 def encode_labels(df: DataFrame, label: str, index: DataFrame, alias: str = "label_id") -> DataFrame:

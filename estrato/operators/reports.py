@@ -66,7 +66,7 @@ def histogram(df: DataFrame, column: str, bins: int = 20, cut: bool = False) ->
 
     A constant column gets a range of width 1 around its value.  NULL, NaN and
     infinities are left out.  The bounds are a scalar subquery, so the values are read
-    twice; ``cut`` checkpoints them first if they are dear to compute.
+    twice; ``cut`` writes them first if they are dear to compute.
     """
     values = df.select(F.col(column).cast("double").alias("x")).filter(~F.isnan("x") & (F.abs("x") < float("inf")))
     if cut:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from itertools import combinations_with_replacement
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,24 +61,37 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, quartiles: bool
 def correlations(df: DataFrame, columns: Sequence[str] | None = None, scale: int = 6) -> DataFrame:
     """Pearson correlation of each pair of numeric columns as (col_a, col_b, corr).
 
-    One aggregate computes all pairs of columns; a row counts for a pair if both
-    values are there.  A column without spread has no correlation: NULL.
+    A row counts for a pair if both values are there.  Tasks multiply blocks of rows with themselves, after a
+    shift by the means, and report one row of sums per pair and task; so a hundred columns are no dearer than
+    their products.  A column without spread, or with an infinity, has no correlation: NULL.
     """
     columns = list(columns or numeric_columns(df))
-    pairs = list(combinations_with_replacement(columns, 2))
-
-    def pearson(a: str, b: str) -> Column:
-        # corr() divides by the spread and fails under ANSI where it is 0.
-        y, x = _real(a), _real(b)
-        return F.try_divide(F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x)))
-
-    row = df.agg(*[stable_round(pearson(a, b), scale).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [
-        F.struct(F.lit(x).alias("col_a"), F.lit(y).alias("col_b"), F.col(f"r{i}").alias("corr"))
-        for i, (a, b) in enumerate(pairs)
-        for x, y in ([(a, b)] if a == b else [(a, b), (b, a)])
-    ]
-    return row.select(F.inline(F.array(*cells)))
+    size = len(columns)
+    reals = df.select(*[_real(c).alias(f"x{i}") for i, c in enumerate(columns)])
+    shift = reals.agg(*[F.avg(f"x{i}") for i in range(size)]).first()
+    shift = np.array([0.0 if v is None or not math.isfinite(v) else v for v in shift])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((6, size, size))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns], axis=1)
+            there = (~np.isnan(x)).astype(np.float64)
+            x = np.where(there > 0, x - shift, 0.0)
+            with np.errstate(invalid="ignore"):
+                sums += np.stack([there.T @ there, x.T @ there, there.T @ x, (x * x).T @ there, there.T @ (x * x), x.T @ x])
+        a, b = np.divmod(np.arange(size * size), size)
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (a, b, *sums.reshape(6, -1))], ["a", "b", "n", "sa", "sb", "qa", "qb", "p"])
+
+    found = reals.mapInArrow(work, "a long, b long, n double, sa double, sb double, qa double, qb double, p double")
+    total = found.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "qa", "qb", "p")])
+    n = F.when(F.col("n") > 0, F.col("n"))
+    spread = [F.col(q) - F.col(s) * F.col(s) / n for s, q in (("sa", "qa"), ("sb", "qb"))]
+    # What rounding leaves of a constant column is no spread.
+    real = [F.when(v > 1e-12 * F.col(q), v) for v, q in zip(spread, ("qa", "qb"))]
+    corr = F.try_divide(F.col("p") - F.col("sa") * F.col("sb") / n, F.sqrt(real[0]) * F.sqrt(real[1]))
+    names = F.array(*[F.lit(c) for c in columns])
+    corr = F.when(corr > 1, 1.0).when(corr < -1, -1.0).when(~F.isnan(corr), corr)
+    return total.select(F.get(names, F.col("a").cast("int")).alias("col_a"), F.get(names, F.col("b").cast("int")).alias("col_b"), stable_round(corr, scale).alias("corr"))
 
 
 class _Bracket:

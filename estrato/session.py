@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,29 +35,18 @@ def session(app: str = "estrato", master: str | None = None, **extra: str) -> Sp
     return builder.getOrCreate()
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a scratch folder: on a
-    cluster, files in a machine-local folder are lost together with the executor.
-    """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="estrato-checkpoint-")
-        context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
+def shared_root(spark: SparkSession) -> str:
+    """The folder that all machines share: ``spark.checkpoint.dir``, and only where it is unset the warehouse."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def new_shared_folder(spark: SparkSession) -> str:
     """A fresh path for written tables below the shared folder."""
-    return f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}"
+    return f"{shared_root(spark).rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read on from there."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` as a table below the shared folder and read on from there, only the columns that are used."""
+    path = new_shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

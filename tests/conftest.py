@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="6g",
         spark__sql__warehouse__dir=str(warehouse),
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     out.sparkContext.setLogLevel("ERROR")
     yield out

@@ -112,3 +112,17 @@ def test_pillow_decoder():
     buffer = io.BytesIO()
     Image.new("L", (7, 5), 128).save(buffer, "PNG")
     assert pillow_decoder(4)(buffer.getvalue()).shape == (4, 4, 3)
+
+
+def test_labels_with_one_prefix_are_dealt_out(spark):
+    """Ids follow the label order although all labels start alike, and no task gets more than its share."""
+    names = [f"img_2024_{i:05}" for i in range(4000)]
+    df = spark.createDataFrame([(n,) for n in names for _ in range(2)], "l string").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = labels.label_index(df, "l")
+        assert {r.label: r.label_id for r in out.collect()} == {n: i for i, n in enumerate(names)}
+        ranged = labels.require(df, "l").distinct().repartitionByRange("l")
+        assert max(r[1] for r in ranged.groupBy(F.spark_partition_id()).count().collect()) < 1500
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

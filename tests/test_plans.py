@@ -22,7 +22,7 @@ def exchanges(text: str) -> int:
     return len(re.findall(r"Exchange hashpartitioning", text))
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"classifier_predictions"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"classifier_predictions", "correlation_matrix"}))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, SMALL))
     assert "EvalPython" not in text and "InPandas" not in text

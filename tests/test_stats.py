@@ -4,10 +4,11 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from estrato.operators import stats
+from estrato.operators import reports, stats
 
 
 @pytest.fixture(scope="module")
@@ -92,3 +93,19 @@ def test_no_spread_gives_no_score(spark):
     df = spark.createDataFrame([(1.0,), (1.0,)], "x double")
     assert [r.zscore_x for r in stats.zscore(df, "x").collect()] == [None, None]
     assert stats.zscore_outliers(df, "x").count() == 0
+
+
+def test_correlations_of_many_columns(spark):
+    """A hundred columns are one pass; values far from 0 lose nothing."""
+    draw = np.random.default_rng(8)
+    base = draw.normal(size=(500, 1))
+    values = base * draw.normal(size=(1, 100)) + draw.normal(size=(500, 100)) + 1e6
+    names = [f"c{i}" for i in range(100)]
+    df = spark.createDataFrame(pd.DataFrame(values, columns=names)).repartition(5)
+    found = stats.correlations(df).toPandas().pivot(index="col_a", columns="col_b", values="corr").loc[names, names]
+    assert np.allclose(found.to_numpy(), np.corrcoef(values.T), atol=2e-6)
+
+
+def test_histogram_leaves_infinities_out(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(10)] + [(math.inf,), (-math.inf,), (math.nan,), (None,)], "v double")
+    assert [r.n for r in reports.histogram(df, "v", 3).orderBy("bin").collect()] == [3, 3, 4]

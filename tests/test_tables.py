@@ -136,10 +136,11 @@ def test_binary(spark, tmp_path):
     assert [(r.length, bytes(r.content)) for r in files.collect()] == [(3, b"123")]
 
 
-def test_checkpoint_uses_the_named_folder(spark, rows):
-    df = spark.range(3)
-    assert rows(cut_lineage(df)) == [(0,), (1,), (2,)]
-    assert "ExistingRDD" in cut_lineage(df)._jdf.queryExecution().executedPlan().toString()
+def test_lineage_is_cut_in_the_named_folder(spark, rows):
+    cut = cut_lineage(spark.range(3))
+    assert rows(cut) == [(0,), (1,), (2,)]
+    assert all(spark.conf.get("spark.checkpoint.dir") in f for f in cut.inputFiles())
+    assert "Range" not in cut._jdf.queryExecution().executedPlan().toString()
 
 
 def test_tutorial(spark, products, rows):
@@ -153,3 +154,40 @@ def test_tutorial(spark, products, rows):
     assert [tuple(r) for r in sales.by_country(sold).collect()] == [("ES", 3, 25.0), ("PT", 9, 9.0)]
     dim = spark.createDataFrame([("Mouse", "Accesorios")], "product string, categoria string")
     assert rows(sales.with_product(sold, dim), "order_id", "categoria") == [("1", "Accesorios"), ("2", None), ("3", "Accesorios")]
+
+
+def test_failed_and_self_reading_writes_keep_the_table(spark, products, rows, tmp_path):
+    layer = Layer(spark, "safe", str(tmp_path))
+    layer.write(products, "p")
+    before = rows(layer.read("p"))
+    with pytest.raises(Exception):
+        layer.write(products.withColumn("precio", F.raise_error("no").cast("double")), "p")
+    assert rows(layer.read("p")) == before
+    half = layer.read("p").filter("id IS NOT NULL")
+    assert rows(layer.write(half, "p")) == [r for r in before if r[0] is not None]
+    assert layer.tables() == ["p"]
+
+
+def test_two_writers_of_one_version(spark, products, rows, tmp_path):
+    first, second = (SnapshotTable(spark, str(tmp_path / "t")) for _ in range(2))
+    first.commit(products, "CREATE")
+    second._latest = lambda *a: None  # it looked before the first commit
+    with pytest.raises(FileExistsError):
+        second.commit(products.limit(1), "CREATE")
+    assert rows(first.read()) == rows(products) and first.history().count() == 1
+
+
+def test_as_of_takes_a_null_flag_as_not_deleted(spark):
+    log = spark.createDataFrame([(1, 1, None, "a"), (2, 1, False, "b"), (3, 1, True, "c")], "k int, version int, deleted boolean, v string")
+    assert sorted(r.k for r in tables.as_of(log, ["k"], 1).collect()) == [1, 2]
+
+
+def test_columns_that_the_table_has_not(spark, products):
+    with pytest.raises(ValueError, match="no such columns: preccio"):
+        tables.insert_rows(products, spark.createDataFrame([("A", 1.0)], "id string, preccio double"))
+
+
+def test_csv_header_has_to_fit_the_schema(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("b,a\nB1,A1\n")
+    with pytest.raises(Exception):
+        read_landing(spark, str(tmp_path / "x.csv"), schemas.struct_of({"a": "string", "b": "string"})).collect()
