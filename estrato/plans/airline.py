@@ -11,7 +11,9 @@ from estrato.functions.numbers import percent, stable_mean, stable_sum
 from estrato.operators.aggregates import state_counts
 from estrato.operators.dedup import dedup_by
 from estrato.operators.joins import enrich
+from estrato.operators.quality import expect_types
 from estrato.operators.shape import Check, conform, keep_valid, role
+from estrato.plans.audits import audit_airline
 from estrato.sources.landing import read_landing
 from estrato.sources.layers import Layer, stamp
 
@@ -101,7 +103,7 @@ def kpi_maintenance(maintenance: DataFrame, aircraft: DataFrame) -> DataFrame:
 def bronze(spark: SparkSession, landing: dict[str, str], layer: Layer) -> None:
     """Landing CSV files (``{table: path}``) to typed, stamped tables."""
     for table, types in TABLES.items():
-        layer.write(stamp(conform(read_landing(spark, landing[table]), types)), table)
+        expect_types(layer.write(stamp(conform(read_landing(spark, landing[table]), types)), table), types)
 
 
 def run(spark: SparkSession, landing: dict[str, str], root: str | None = None) -> dict[str, DataFrame]:
@@ -112,7 +114,9 @@ def run(spark: SparkSession, landing: dict[str, str], root: str | None = None) -
     airports = clean.write(silver_airports(raw.read("aeropuertos")), "aeropuertos")
     aircraft = clean.write(silver_aircraft(raw.read("aeronaves")), "aeronaves")
     jobs = clean.write(silver_maintenance(raw.read("mantenimientos")), "mantenimientos")
+    tables = {"vuelos": flights, "aeropuertos": airports, "aeronaves": aircraft, "mantenimientos": jobs}
     return {
+        "silver_audit": gold.write(audit_airline(tables), "silver_audit"),
         "kpi_puntualidad_vuelos": gold.write(
             kpi_punctuality(flights, airports, aircraft), "kpi_puntualidad_vuelos", partition_by=("anio", "mes")
         ),

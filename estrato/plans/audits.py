@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estrato.operators.quality import audit_long
+from estrato.operators.quality import audit_long, duplicate_keys
 
 
 def _empty(column: str) -> str:
@@ -66,6 +66,30 @@ SILVER_PROBLEMS = {
 }
 
 
+# The airline's silver tables; repeated keys are counted by ``repeated``.
+AIRLINE_PROBLEMS = {
+    "vuelos": {"nulos_vuelo_id": "vuelo_id IS NULL", "nulos_fecha": "fecha IS NULL"},
+    "aeropuertos": {"nulos_aeropuerto_id": "aeropuerto_id IS NULL"},
+    "aeronaves": {"nulos_aeronave_id": "aeronave_id IS NULL"},
+    "mantenimientos": {"nulos_mantenimiento_id": "mantenimiento_id IS NULL"},
+}
+AIRLINE_KEYS = {"vuelos": "vuelo_id", "aeropuertos": "aeropuerto_id", "aeronaves": "aeronave_id", "mantenimientos": "mantenimiento_id"}
+
+
+def repeated(tables: dict[str, DataFrame], keys: dict[str, str]) -> DataFrame:
+    """(table_name, check_name, n): keys of each table that several rows have; rows without a key count as of one key."""
+    parts = [
+        duplicate_keys(table, keys[name]).agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), F.lit("claves_repetidas").alias("check_name"), "n")
+        for name, table in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def audit_airline(tables: dict[str, DataFrame]) -> DataFrame:
+    """Missing and repeated keys of the airline's tables."""
+    return audit_tables(tables, AIRLINE_PROBLEMS).unionByName(repeated(tables, AIRLINE_KEYS))
+
+
 def audit_tables(tables: dict[str, DataFrame], problems: dict[str, dict[str, str]] = SILVER_PROBLEMS) -> DataFrame:
     """(table_name, check_name, n) for every figure of every given table.
 

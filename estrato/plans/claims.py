@@ -21,9 +21,12 @@ from estrato.functions.numbers import stable_round
 from estrato.functions.text import file_label, file_name, join_text, split_name
 from estrato.operators.aggregates import entity_summary, n_rows
 from estrato.operators.dedup import dedup_by
-from estrato.operators.joins import enrich
+from estrato.operators.joins import enrich, orphans
+from estrato.operators.quality import expect_types
 from estrato.operators.rules import Rule, apply_rules
 from estrato.operators.shape import Check, conform, keep_valid, role
+from estrato.plans import audits
+from estrato.plans.training import predict_images
 from estrato.sources.landing import read_binary, read_landing
 from estrato.sources.layers import Layer
 
@@ -310,11 +313,14 @@ IMAGE_TABLES = ("training_imgs", "claim_images")
 def bronze(spark: SparkSession, landing: dict[str, str], layer: Layer) -> None:
     """Landing files (``{table: path}``) to tables; images with their bytes."""
     for table, types in CSV_TABLES.items():
-        layer.write(conform(read_landing(spark, landing[table]), types), table)
+        expect_types(layer.write(conform(read_landing(spark, landing[table]), types), table), types)
     layer.write(spark.read.parquet(landing["telematics"]), "telematics")
     for table in IMAGE_TABLES:
         if table in landing:
             layer.write(read_binary(spark, landing[table]), table)
+    if "image_vectors" in landing:
+        vectors = layer.write(spark.read.parquet(landing["image_vectors"]), "image_vectors")
+        expect_types(vectors, {"image_name": "string", "vector": "array<double>"})
 
 
 def silver(raw: Layer, clean: Layer) -> None:
@@ -332,6 +338,23 @@ def silver(raw: Layer, clean: Layer) -> None:
             clean.write(clean_images(raw.read(source), labelled), table, evolve=False)
 
 
+def audit(clean: Layer, out: Layer) -> DataFrame:
+    """Every audit figure of the silver tables that are there, and their claims without a policy."""
+    tables = {t: clean.read(t) for t in audits.SILVER_PROBLEMS if clean.exists(t)}
+    figures = audits.audit_tables(tables)
+    lost = orphans(clean.read("claims_clean"), "policy_no", clean.read("policies_clean"), "POLICY_NO")
+    row = lost.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n"))
+    return out.write(figures.unionByName(row.selectExpr("'claims_clean' AS table_name", "'sin_poliza' AS check_name", "n")), "silver_audit")
+
+
+def predict(raw: Layer, clean: Layer, out: Layer) -> None:
+    """Write the predictions of the claim images, where vectors of the images have landed."""
+    if raw.exists("image_vectors") and clean.exists("training_images") and clean.exists("claim_images"):
+        images = clean.read("claim_images").select("image_name")
+        found = predict_images(clean.read("training_images"), images, raw.read("image_vectors"))
+        out.write(found, "claim_images_predictions")
+
+
 def gold(clean: Layer, out: Layer) -> dict[str, DataFrame]:
     """Joined and decided tables; each is written once and read back."""
     claims, policies, customers, metadata = (
@@ -355,4 +378,6 @@ def run(spark: SparkSession, landing: dict[str, str], root: str | None = None) -
     raw, clean, out = (Layer(spark, name, root) for name in ("bronze", "silver", "gold"))
     bronze(spark, landing, raw)
     silver(raw, clean)
-    return gold(clean, out)
+    audited = audit(clean, out)
+    predict(raw, clean, out)
+    return gold(clean, out) | {"silver_audit": audited}

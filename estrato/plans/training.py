@@ -32,8 +32,11 @@ def readiness(images: DataFrame) -> DataFrame:
     return images.agg(n_rows().alias("total"), *blanks).withColumn("ready", ready)
 
 
-def require_ready(images: DataFrame) -> dict:
-    """Raise ``ValueError`` for an empty table or blank labels."""
+def require_ready(images: DataFrame, expected=("path", "image_name", "label")) -> dict:
+    """Raise ``ValueError`` for absent columns, an empty table or blank labels."""
+    absent = missing_columns(images, expected)
+    if absent:
+        raise ValueError(f"columns are absent: {', '.join(absent)}")
     return gate(readiness(images), at_most={"blank_label": 0}, at_least={"total": 1})
 
 
@@ -42,6 +45,19 @@ def extension_counts(images: DataFrame) -> DataFrame:
     return counts(named, "extension").orderBy("extension")
 
 
+def predict_images(training: DataFrame, images: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Predictions for ``images`` by a classifier fitted on the labelled ``training`` images.
+
+    ``vectors`` holds (image_name, vector) of both.  Training is refused if the labelled images are not
+    ready; an image without a vector gets no prediction.
+    """
+    require_ready(training)
+    features = vectors.select("image_name", "vector")
+    model = train_classifier(training.select("image_name", "label").join(features, "image_name"), "vector", "label")
+    scored = score_topk(model, images.select("image_name").distinct().join(features, "image_name"), "vector", k=1)
+    return prediction_table(scored, "image_name", "predicted", "score")
+
+
 def train_and_predict(
     images: DataFrame, key: str, features: str, label: str, held_out: float = 0.2, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
