@@ -90,17 +90,15 @@ def prediction_table(df: DataFrame, image: str, label: str, score: str, levels=C
 def accuracy(df: DataFrame, label: str, predicted: str, overall: str = "(all)") -> DataFrame:
     """Share of right predictions per true label and overall, as (label, n, accuracy).
 
-    A rollup counts both in one aggregate.  Rows without a true label are left out.
+    Rows are counted once, by label; the overall row adds up the counts.  Rows without a true label are left out.
     """
     hit = F.coalesce(F.col(label) == F.col(predicted), F.lit(False))
     judged = require(df, label).select(F.col(label).cast("string").alias("label"), hit.alias("hit"))
-    rate = stable_round(F.try_divide(F.count_if("hit"), n_rows()), 4)
-    return (
-        judged.rollup("label")
-        .agg(F.grouping("label").alias("_all"), n_rows().alias("n"), rate.alias("accuracy"))
-        .filter("n > 0")
-        .select(F.when(F.col("_all") == 1, overall).otherwise(F.col("label")).alias("label"), "n", "accuracy")
-    )
+    by_label = judged.groupBy("label").agg(n_rows().alias("n"), F.count_if("hit").alias("hits"))
+    every = by_label.rollup("label").agg(F.grouping("label").alias("_all"), F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+    rate = stable_round(F.try_divide("hits", "n"), 4)
+    name = F.when(F.col("_all") == 1, overall).otherwise(F.col("label"))
+    return every.filter("n > 0").select(name.alias("label"), "n", rate.alias("accuracy"))
 
 
 def confusion(df: DataFrame, label: str, predicted: str) -> DataFrame:

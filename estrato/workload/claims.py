@@ -70,7 +70,8 @@ DECIDED = f"""{BASE}, judged AS (
 
 
 def rollup(t: Tables):
-    return plan.prediction_rollup(t.standin("predictions"), unpartitioned(cleaning.metadata(t)))
+    """Image names are unique in the metadata and none is hot, so both sides join on the partitioning they have."""
+    return plan.prediction_rollup(t.standin("predictions"), cleaning.metadata(t))
 
 
 def joined(t: Tables):
