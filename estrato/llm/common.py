@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -25,9 +26,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nothing holds any more: it does when the driver collects garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Let Spark delete the shuffle files of plans that nothing holds any more: it does when the driver collects garbage.
+
+    The first collection finds the plans, the second what they held.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def written(df: DataFrame) -> DataFrame:
