@@ -22,8 +22,8 @@ from estrato.llm.common import WORD_BASES, drop_written, free_shuffles, partitio
 
 #: Perfect difference sets: every difference modulo the period occurs once.
 COVERS = {7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
-#: Chunks for each shuffle partition.
-CHUNKS = 4
+#: Chunks for each shuffle partition at least, and bytes of text that a chunk holds on average at most.
+CHUNKS, CHUNK_BYTES = 4, 16 << 20
 
 
 class _Part:
@@ -83,7 +83,8 @@ def repeated_passages(docs: DataFrame, length: int = 35, period: int = 21) -> Da
     """
     if period not in COVERS or not period <= length:
         raise ValueError(f"period must be one of {sorted(COVERS)} and at most length")
-    chunks = CHUNKS * partitions(docs.sparkSession)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    chunks = max(CHUNKS * partitions(docs.sparkSession), -(-size // CHUNK_BYTES))
     dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"))
     anchors = written(_repeated(dealt.groupBy("chunk").applyInArrow(_report_anchors(length, period), "chunk int, h long, n int"), "h"))
     windows = written(_repeated(dealt.groupBy("chunk").cogroup(anchors.groupBy("chunk")).applyInArrow(_report_windows(length, period), "chunk int, h long, g long, n int"), "h", "g"))
