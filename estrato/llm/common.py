@@ -11,9 +11,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that a task works on at once; longer single texts are one slice of their own.
 SLICE_BYTES = 4 << 20
+#: Bits of a bitmap that drivers and tasks exchange: 4 MB.
+SIEVE = 1 << 25
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -69,6 +72,25 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def sieve(rows: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of bounded size (``SIEVE`` bits) in which the bit of every value of a column of hashes is set.
+
+    It lets tasks leave out most rows that a join would drop; the join that follows makes the result right.
+    """
+    place = (F.pmod(F.col(column), F.lit(SIEVE)) + 1).alias("place")  # Spark counts places in bitmaps from 1
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")
+    found = rows.select(place).groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(bits).collect()
+    out = np.zeros((SIEVE // 32768, 4096), np.uint8)
+    for bucket, row in found:
+        out[bucket - 1] = np.frombuffer(bytes(row), np.uint8)
+    return out.ravel()
+
+
+def in_sieve(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    place = hashes.view(np.uint64) % np.uint64(SIEVE)
+    return (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of ``batch`` with about ``limit`` bytes of ``column`` each."""
     if not batch.num_rows:

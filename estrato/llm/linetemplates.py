@@ -19,12 +19,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estrato.llm.common import drop_written, free_shuffles, mix, slices, text_buffers, word_hashes, word_spans, written
+from estrato.llm.common import drop_written, free_shuffles, in_sieve, mix, sieve, slices, text_buffers, word_hashes, word_spans, written
 
 #: Leading tokens of a path, texts in which a template recurs, and share of constant places in a leaf's template.
 DEPTH, TEXTS, CONSTANT = 3, 20, 0.6
-#: Bits of the bitmap of leaves: 4 MB.
-SIEVE = 1 << 25
 _WILD = np.uint64(0x5EED)
 
 
@@ -70,30 +68,18 @@ def _leaves(depth: int):
     return work
 
 
-def _lines(depth: int, sieve: np.ndarray):
+def _lines(depth: int, bits: np.ndarray):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 lines = _Lines(part, depth)
-                bit = lines.leaf.view(np.uint64) % np.uint64(SIEVE)
-                some = np.flatnonzero(sieve[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
+                some = np.flatnonzero(in_sieve(bits, lines.leaf))
                 doc = pa.array(lines.doc[some])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").take(doc), part.column("node").take(doc), pa.array(lines.number[some].astype(np.int32)), pa.array(lines.leaf[some]), lines.token_lists(some)], ["doc_id", "node", "line", "leaf", "tokens"])
 
     return work
 
 
-def _sieve(leaves: DataFrame) -> np.ndarray:
-    """A bitmap of bounded size in which the bit of every leaf is set."""
-    place = (F.pmod(F.col("leaf"), F.lit(SIEVE)) + 1).alias("place")  # Spark counts places in bitmaps from 1
-    bits = F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")
-    found = leaves.select(place).groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(bits).collect()
-    out = np.zeros((SIEVE // 32768, 4096), np.uint8)
-    for bucket, row in found:
-        out[bucket - 1] = np.frombuffer(bytes(row), np.uint8)
-    return out.ravel()
-
-
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.filter(F.col("text").isNotNull()).select("doc_id", "text", F.unhex(F.md5("text")).alias("node"), F.xxhash64("text").alias("hash"))
 
@@ -104,7 +90,7 @@ def recurring_lines(docs: DataFrame, depth: int = DEPTH, texts: int = TEXTS, con
     met = whole.mapInArrow(_leaves(depth), "leaf long, hash long").distinct()
     leaves = written(met.groupBy("leaf").agg(F.count("*").alias("texts")).filter(F.col("texts") >= texts).select("leaf"))
     del met
-    found = whole.mapInArrow(_lines(depth, _sieve(leaves)), "doc_id long, node binary, line int, leaf long, tokens array<int>")
+    found = whole.mapInArrow(_lines(depth, sieve(leaves, "leaf")), "doc_id long, node binary, line int, leaf long, tokens array<int>")
     once = found.groupBy("node", "line").agg(F.min("doc_id").alias("doc_id"), F.first("leaf").alias("leaf"), F.first("tokens").alias("tokens"))
     lines = written(once.join(leaves, "leaf"))
     del found, once

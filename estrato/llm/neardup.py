@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from estrato.llm import bagminhash
-from estrato.llm.common import drop_written, partitions, slices, written
+from estrato.llm.common import drop_written, in_sieve, partitions, sieve, slices, written
 from estrato.llm.components import components
 
 WORDS, SIMILARITY = 5, 0.8
@@ -130,14 +130,17 @@ def _suspects(least: float):
     return work
 
 
-def _bag(words: int):
+def _bag(words: int, bits: np.ndarray):
+    """The bags of the texts whose bits are set."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            able = batch.filter(pa.array(in_sieve(bits, batch.column("hash").to_numpy())))
+            for part in slices(able, "text"):
                 doc, hashes, weights = bagminhash.bags(part.column("text"), words)
                 cuts = np.searchsorted(doc, np.arange(part.num_rows + 1))
                 bags = [bagminhash.elements(hashes[a:b], weights[a:b]).tobytes() for a, b in zip(cuts, cuts[1:])]
-                yield pa.RecordBatch.from_arrays([part.column("node"), part.column("component"), pa.array(bags, pa.binary())], ["node", "component", "bag"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("node"), pa.array(bags, pa.binary())], ["doc_id", "n", "bag"])
 
     return work
 
@@ -207,8 +210,10 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY)
     suspects = components(dealt.mapInArrow(_suspects(similarity - SLACK * deviation), "a binary, b binary"))
 
     some = written(suspects.join(nodes.select("node", "first_id", "size"), "node"))
-    wanted = known.withColumnRenamed("node", "n").join(some.select("node", "component", "first_id"), (F.col("n") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
-    bags = written(wanted.select("node", "component", "text").mapInArrow(_bag(words), "node binary, component binary, bag binary").dropDuplicates(["node"]))
+    bits = sieve(some.select(F.xxhash64("node").alias("hash")), "hash")
+    able = known.filter("text IS NOT NULL").select("doc_id", "text", "node", F.xxhash64("node").alias("hash")).mapInArrow(_bag(words, bits), "doc_id long, n binary, bag binary")
+    wanted = able.join(some.select("node", "component", "first_id"), (F.col("n") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
+    bags = written(wanted.select("node", "component", "bag").dropDuplicates(["node"]))
     sizes = some.groupBy("component").agg(F.count("*").alias("texts"), F.sum("size").alias("shingles"))
     blocks = F.ceil(F.greatest(F.col("texts") / BLOCK, F.col("shingles") / BLOCK_SHINGLES))
     dealt = _dealt(bags.join(sizes, "component"), "component", blocks).select("component", "low", "high", "node", "bag")
