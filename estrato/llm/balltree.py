@@ -151,4 +151,4 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         return pa.table([pa.array(own[place]), pa.array(found.ids[place, column]), pa.array(found.scores[place, column])], names=["query_id", "vec_id", "score"])
 
     found = dealt.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(work, "query_id long, vec_id long, score long")
-    return ranked(found.dropDuplicates(["query_id", "vec_id", "score"]), k)
+    return ranked(found, k)

@@ -14,14 +14,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from estrato.llm.vectors import best, matrix, ranked, same_length, smallest_ids, usable
 
 #: Rows of the sample, children of a node, rows of the sample in a leaf, and rounds of k-means.
 SAMPLE, BRANCH, LEAF, ROUNDS = 16_384, 16, 64, 8
-#: Queries that calibrate and the recall that they have to reach; rows and queries of a leaf that a task holds.
+#: Queries that calibrate and the recall that they have to reach; rows, and queries, that a group of leaves holds.
 CALIBRATE, RECALL, ROWS = 256, 0.97, 8192
 
 
@@ -77,7 +77,7 @@ def grow(sample: np.ndarray, seed: int = 0) -> Tree:
         tree.centres.append(rows[:1])
         tree.children.append([])
         distinct = np.unique(rows, axis=0)
-        centres = distinct[draw.permutation(len(distinct))[:BRANCH]]
+        centres = distinct[draw.permutation(len(distinct))[: min(BRANCH, max(2, -(-len(rows) // LEAF)))]]
         for _ in range(ROUNDS):
             near = _nearest(rows, centres)
             centres = np.stack([rows[near == i].mean(axis=0) if (near == i).any() else c for i, c in enumerate(centres)])
@@ -108,12 +108,15 @@ def _score(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     return (rows * query).sum(axis=1)
 
 
-def _local(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple]:
-    """Query number, places of its ``k`` best rows, and their scores."""
+def _local(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, seen: np.ndarray | None = None) -> tuple:
+    """Of the rows that each query sees, its ``k`` best: query ids, places and scores, end to end."""
     first = smallest_ids(ids, rows, k + 1)
     ids, rows = ids[first], rows[first]
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
     for at in range(0, len(queries), 256):
         rough = rows @ queries[at : at + 256].T
+        if seen is not None:
+            rough[~seen[at : at + 256][:, first].T] = -np.inf
         for j in range(rough.shape[1]):
             column = np.where(ids == query_ids[at + j], -np.inf, rough[:, j])
             near = np.flatnonzero(column > -np.inf)
@@ -122,21 +125,23 @@ def _local(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np
                 near = np.flatnonzero(column >= limit - 1e-9 * (1 + abs(limit)))
             score = _score(rows[near], queries[at + j])
             chosen = best(ids[near], score, k)
-            yield at + j, first[near[chosen]], score[chosen]
+            out.append((np.full(len(chosen), query_ids[at + j]), first[near[chosen]], score[chosen]))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def true_neighbours(rows: DataFrame, query_ids: np.ndarray, queries: np.ndarray, k: int) -> DataFrame:
-    """(query_id, rank, vec_id, score) by comparing a bounded number of queries with every row; keeps ``leaf``."""
+    """(query_id, leaf) of the true neighbours of a bounded number of queries, by comparing them with every row."""
     dim = queries.shape[1]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, leaf = batch.column("vec_id").to_numpy(), batch.column("leaf").to_numpy()
-            for j, places, score in _local(ids, matrix(batch.column("vector"), dim), query_ids, queries, k):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(places), query_ids[j])), pa.array(ids[places]), pa.array(score), pa.array(leaf[places])], ["query_id", "vec_id", "score", "leaf"])
+            own, places, score = _local(ids, matrix(batch.column("vector"), dim), query_ids, queries, k)
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(ids[places]), pa.array(score), pa.array(leaf[places])], ["query_id", "vec_id", "score", "leaf"])
 
     found = rows.mapInArrow(work, "query_id long, vec_id long, score double, leaf int")
-    return ranked(found, k).join(found.select("query_id", "vec_id", "leaf").distinct(), ["query_id", "vec_id"])
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", "leaf")
+    return found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k).select("query_id", "leaf")
 
 
 @dataclass
@@ -181,7 +186,7 @@ def _visits(index: Index, able: DataFrame, k: int, recall: float) -> int:
         return index.tree.leaves
     ids, queries = some.column("vec_id").to_numpy(), matrix(some.column("vector"), index.dim)
     true: dict[int, list[int]] = {}
-    for row in true_neighbours(index.rows, ids, queries, k).select("query_id", "leaf").collect():
+    for row in true_neighbours(index.rows, ids, queries, k).collect():
         true.setdefault(row[0], []).append(row[1])
     places = []  # when each true neighbour's leaf is visited
     for i, query in zip(ids.tolist(), queries):
@@ -198,34 +203,57 @@ def search(index: Index, queries: DataFrame, k: int = 20) -> DataFrame:
     on until k + 1 rows are seen, so that all candidates come back where there are fewer than ``k``.
     """
     tree, dim, held, visits = index.tree, index.dim, index.held, index.visits
-    blocks = np.maximum(1, -(-held // ROWS))
+    group, blocks = _grouped(held)
     queries = queries.select("query_id", F.concat(F.col("vector"), F.array_repeat(F.lit(0.0), F.lit(dim) - F.size("vector"))).alias("vector"))
-    groups = max(1, -(-queries.count() // ROWS))
+    parts = max(1, -(-queries.count() // ROWS))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A query goes once to each group of leaves, with the leaves that it visits there."""
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                found = [[(leaf, b) for leaf in tree.visit(q, visits, held, k + 1) for b in range(blocks[leaf])] for q in matrix(part.column("vector"), dim)]
-                places = np.repeat(np.arange(len(found)), [len(f) for f in found])
-                leaf, block = np.array([x for f in found for x in f], np.int32).reshape(-1, 2).T
-                yield pa.RecordBatch.from_arrays([pa.array(leaf), pa.array(block), *part.take(pa.array(places)).columns], ["leaf", "block", "query_id", "vector"])
-
-    asked = queries.mapInArrow(route, "leaf int, block int, query_id long, vector array<double>").withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int"))
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                places, groups, leaves = [], [], []
+                for i, query in enumerate(matrix(some.column("vector"), dim)):
+                    there: dict[int, list[int]] = {}
+                    for leaf in tree.visit(query, visits, held, k + 1):
+                        for g in range(group[leaf], group[leaf] + blocks[leaf]):
+                            there.setdefault(g, []).append(leaf)
+                    places += [i] * len(there)
+                    groups += there.keys()
+                    leaves += there.values()
+                yield pa.RecordBatch.from_arrays([pa.array(groups, pa.int32()), pa.array(leaves, pa.list_(pa.int32())), *some.take(pa.array(places, pa.int32())).columns], ["group", "leaves", "query_id", "vector"])
+
+    asked = queries.mapInArrow(route, "group int, leaves array<int>, query_id long, vector array<double>").withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             leaf, ids = batch.column("leaf").to_numpy(), batch.column("vec_id").to_numpy()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((ids % blocks[leaf]).astype(np.int32))], [*batch.schema.names, "block"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((group[leaf] + ids % blocks[leaf]).astype(np.int32))], [*batch.schema.names, "group"])
 
-    items = index.rows.mapInArrow(deal, "vec_id long, vector array<double>, leaf int, block int").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    items = index.rows.mapInArrow(deal, "vec_id long, vector array<double>, leaf int, group int").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
     def work(rows: pa.Table, wanted: pa.Table) -> pa.Table:
-        ids, own = rows.column("vec_id").to_numpy(), wanted.column("query_id").to_numpy()
-        out = [(np.full(len(p), own[j]), ids[p], s) for j, p, s in _local(ids, matrix(rows.column("vector"), dim), own, matrix(wanted.column("vector"), dim), k)]
-        columns = [np.concatenate([np.zeros(0, t), *x]) for t, x in zip((np.int64, np.int64, np.float64), zip(*out) if out else ([], [], []))]
-        return pa.table([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
-
-    keys = ("leaf", "block", "part")
-    found = items.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(work, "query_id long, vec_id long, score double")
-    return ranked(found.dropDuplicates(), k)
+        ids, leaf, own = rows.column("vec_id").to_numpy(), rows.column("leaf").to_numpy(), wanted.column("query_id").to_numpy()
+        visited = np.zeros((len(own), len(held)), bool)
+        for i, leaves in enumerate(wanted.column("leaves").to_pylist()):
+            visited[i, leaves] = True
+        query, places, score = _local(ids, matrix(rows.column("vector"), dim), own, matrix(wanted.column("vector"), dim), k, visited[:, leaf])
+        return pa.table([pa.array(query), pa.array(ids[places]), pa.array(score)], names=["query_id", "vec_id", "score"])
+
+    found = items.groupBy("group", "part").cogroup(asked.groupBy("group", "part")).applyInArrow(work, "query_id long, vec_id long, score double")
+    return ranked(found, k)
+
+
+def _grouped(held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First group and number of groups of each leaf: neighbouring leaves share one, a large leaf is split into several."""
+    group, blocks = np.zeros(len(held), np.int64), np.maximum(1, -(-held // ROWS))
+    now, room = 0, ROWS
+    for leaf, rows in enumerate(held.tolist()):
+        if rows > room and room < ROWS:
+            now, room = now + 1, ROWS
+        group[leaf] = now
+        if blocks[leaf] > 1:
+            now, room = now + int(blocks[leaf]), ROWS
+        else:
+            room -= rows
+    return group, blocks

@@ -47,6 +47,8 @@ def smallest_ids(ids: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
     keys = np.ascontiguousarray(rows + 0.0).view(np.dtype((np.void, rows.dtype.itemsize * rows.shape[1]))).ravel() if rows.shape[1] else np.zeros(len(ids))
     group = np.unique(keys, return_inverse=True)[1].ravel()
     order = np.lexsort((ids, group))
+    once = (np.diff(group[order], prepend=-1) != 0) | (np.diff(ids[order], prepend=ids[order[0]]) != 0)  # repeated rows
+    order = order[once]
     heads = np.flatnonzero(np.diff(group[order], prepend=-1))
     place = np.arange(len(order)) - np.repeat(heads, np.diff(np.append(heads, len(order))))
     return order[place < count]
