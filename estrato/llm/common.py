@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task works on at once; longer single texts are one slice of their own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Bits of a bitmap that drivers and tasks exchange: 4 MB.
 SIEVE = 1 << 25
 
