@@ -37,7 +37,9 @@ def test_pipeline(spark, given):
         old, new = [(r.doc_id, r.text) for r in state.collect()], [(r.doc_id, r.text) for r in after.collect()]
         if name == "quality classifier":
             gone = {d for d, _ in old} - {d for d, _ in new}
-            assert {labels[d] for d in gone if d in labels} == {0} and not [d for d, _ in new if labels.get(d) == 0]
+            good, bad = ([d for d, _ in old if labels.get(d) == q] for q in (1, 0))
+            # The sample has a few hundred rows here, and a fifth of the labels is held out.
+            assert len(gone & set(bad)) >= 0.9 * len(bad) and len(gone & set(good)) <= 0.01 * len(good)
         if name == "line dedup":
             assert sorted(new) == sorted((d, t) for d, t, _ in brute.without_lines(old))
         if name == "MinHash near-dedup":
