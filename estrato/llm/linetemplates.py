@@ -108,9 +108,11 @@ def recurring_lines(docs: DataFrame, depth: int = DEPTH, texts: int = TEXTS, con
     counted = templates.groupBy("template", "node").agg(F.min("doc_id").alias("doc_id")).groupBy("template")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
     many = counted.agg(F.count("*").alias("texts"), F.min(order).alias("first")).filter(F.col("texts") >= texts)
-    gone = templates.join(many.select("template", F.col("first.node").alias("first")), "template").filter("node <> first")
+    # Written, so that Spark may split a template with many lines when it joins them.
+    many = written(many.select("template", F.col("first.node").alias("first")))
+    gone = templates.join(many, "template").filter("node <> first")
     out = written(gone.groupBy("node").agg(F.collect_set("line").alias("lines")))
-    for done in (leaves, lines, templates):
+    for done in (leaves, lines, templates, many):
         drop_written(done)
     return out
 
