@@ -2,28 +2,37 @@
 
 A line's path in a tree of fixed depth is its number of tokens and its first ``DEPTH`` tokens; a token with a
 digit is a variable field and counts as one wildcard.  At a leaf, places where one token holds at least half of
-the lines are constant and the others variable; if enough places are constant, the lines that agree with all of them are of
-the leaf's template.  Any other line is a template of its own, up to its wildcards.  Lines of a template that
-recurs in many texts go, except from the text where it comes first.
-
-Only the lines of leaves that recur so often can be of such a template.  They are found by counting, and are
-few: a bitmap of bounded size tells the second reading which lines to report at all, and a join which are right.
+the lines are constant and the others variable; if enough places behind the path are constant, the lines that
+agree with all of them are of one template.  The other lines are split by their tokens at the place where one is
+most frequent, and each part is looked at in the same way, until no token is frequent enough to split by: a leaf
+holds any number of templates.  Lines of ``SHORT`` tokens or fewer are never generalised.  Lines of a template
+that recurs in many texts go, except from the text where it comes first; so do lines that recur word for word,
+long ones from the second text on.
+
+Only the lines of leaves that recur so often, and long lines that are met twice, can go.  They are found by
+counting, and are few: a bitmap of bounded size tells the second reading which lines to report at all, and joins
+and counts which are right.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from estrato.llm.common import drop_written, free_shuffles, in_sieve, mix, sieve, slices, text_buffers, word_hashes, word_spans, written
+from estrato.llm.common import WORD_BASES, drop_written, free_shuffles, in_sieve, mix, run_hashes, shared_folder, sieve, slices, text_buffers, word_hashes, word_spans, written
 
 #: Leading tokens of a path, texts in which a template recurs, and share of constant places in a leaf's template.
 DEPTH, TEXTS, CONSTANT = 3, 20, 0.6
-_WILD = np.uint64(0x5EED)
+#: Tokens up to which only equal lines match, constant tokens without digits that a template has behind its path, tokens
+#: from which a line that recurs word for word goes from ``COPIES`` texts on, and parts that a round splits off a group.
+SHORT, LEAST, LONG, COPIES, PARTS = 5, 2, 20, 2, 64
+_WILD = np.uint64(0x5EED << 32)
+_WILD_TOKEN = 0x5EED
 
 
 class _Lines:
@@ -34,6 +43,7 @@ class _Lines:
         starts, ends, before = word_spans(data, offsets)
         tokens = word_hashes(data, starts, ends)
         digits = np.concatenate([[0], np.cumsum((data >= 48) & (data <= 57))])
+        whole = tokens.copy()
         tokens[digits[ends] > digits[starts]] = _WILD
         breaks = np.concatenate([[0], np.cumsum(data == 10)])
         doc = np.repeat(np.arange(len(before) - 1), np.diff(before))
@@ -48,34 +58,41 @@ class _Lines:
             there = self.counts > d
             leaf[there] = mix(leaf[there] ^ tokens[self.heads[there] + d])
         self.leaf = leaf.view(np.int64)
+        self.exact = run_hashes(whole, self.heads, self.heads + self.counts, WORD_BASES[1]).view(np.int64)
 
-    def token_lists(self, lines: np.ndarray) -> pa.Array:
-        """32 bits of each token of some lines."""
-        counts = self.counts[lines]
+    def token_lists(self, lines: np.ndarray, there: np.ndarray) -> pa.Array:
+        """32 bits of each token of some lines, nothing of those that are not ``there``."""
+        counts = np.where(there, self.counts[lines], 0)
         places = np.repeat(self.heads[lines] - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
         return pa.ListArray.from_arrays(offsets, (self.tokens[places] >> np.uint64(32)).astype(np.uint32).view(np.int32))
 
 
-def _leaves(depth: int):
+def _keys(depth: int, texts: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 lines = _Lines(part, depth)
-                text = part.column("hash").to_numpy()[lines.doc]
-                yield pa.RecordBatch.from_arrays([pa.array(lines.leaf), pa.array(text)], ["leaf", "hash"])
+                long = np.flatnonzero(lines.counts >= LONG)
+                doc = np.concatenate([lines.doc, lines.doc[long]])
+                least = np.repeat(np.array([texts, min(texts, COPIES)], np.int32), [len(lines.doc), len(long)])
+                key = np.concatenate([lines.leaf, lines.exact[long]])
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(least), pa.array(part.column("hash").to_numpy()[doc])], ["leaf", "least", "hash"])
 
     return work
 
 
-def _lines(depth: int, bits: np.ndarray):
+def _lines(depth: int, texts: int, bits: np.ndarray):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 lines = _Lines(part, depth)
-                some = np.flatnonzero(in_sieve(bits, lines.leaf))
+                leaf, long = in_sieve(bits, lines.leaf), lines.counts >= LONG
+                some = np.flatnonzero(leaf | long & in_sieve(bits, lines.exact))
                 doc = pa.array(lines.doc[some])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(doc), part.column("node").take(doc), pa.array(lines.number[some].astype(np.int32)), pa.array(lines.leaf[some]), lines.token_lists(some)], ["doc_id", "node", "line", "leaf", "tokens"])
+                least = np.where(long[some], min(texts, COPIES), texts).astype(np.int32)
+                tokens = lines.token_lists(some, leaf[some] & (lines.counts[some] > max(SHORT, depth)))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(doc), part.column("node").take(doc), pa.array(lines.number[some].astype(np.int32)), pa.array(lines.leaf[some]), pa.array(lines.exact[some]), pa.array(least), tokens], ["doc_id", "node", "line", "leaf", "exact", "least", "tokens"])
 
     return work
 
@@ -84,35 +101,77 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.filter(F.col("text").isNotNull()).select("doc_id", "text", F.unhex(F.md5("text")).alias("node"), F.xxhash64("text").alias("hash"))
 
 
+def _saved(df: DataFrame) -> DataFrame:
+    """As ``written``, but shuffle files behind earlier tables stay: for the small tables of a round."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _recurring(lines: DataFrame, key: str, least: Column) -> DataFrame:
+    """(key, first) of the values of ``key`` in ``least`` texts or more, and the text where each comes first."""
+    counted = lines.groupBy(key, "node").agg(F.min("doc_id").alias("doc_id"), F.first(least).alias("least")).groupBy(key)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
+    many = counted.agg(F.count("*").alias("texts"), F.min(order).alias("first"), F.min("least").alias("least")).filter("texts >= least")
+    # Written, so that Spark may split a key with many lines when it joins them.
+    return _saved(many.select(key, F.col("first.node").alias("first")))
+
+
+def _split(lines: DataFrame, depth: int, texts: int, constant: float) -> tuple[DataFrame, list[DataFrame]]:
+    """One round: the lines of each group with whether they agree with its skeleton (``agrees``), and the part that
+    they are in otherwise (``part``); and the tables written for it."""
+    votes = lines.select("leaf", F.posexplode("tokens").alias("place", "token")).groupBy("leaf", "place", "token").agg(F.count("*").alias("n"))
+    often = _saved(votes.filter(F.col("n") >= texts))  # no other token can be constant in a template
+    sizes = lines.groupBy("leaf").agg(F.count("*").alias("all"), F.first(F.size("tokens")).alias("size")).filter(F.col("all") >= texts)
+    tops = often.groupBy("leaf", "place").agg(F.max(F.struct("n", "token")).alias("top"))
+    shapes = tops.groupBy("leaf").agg(F.collect_list(F.struct("place", "top.n", "top.token")).alias("tops")).join(sizes, "leaf")
+    behind = F.col("size") - depth
+    held = F.filter("tops", lambda t: t["n"] * 2 >= F.col("all"))
+    fixed = F.size(F.filter(held, lambda t: t["place"] >= depth))
+    words = F.size(F.filter(held, lambda t: (t["place"] >= depth) & (t["token"] != _WILD_TOKEN)))
+    usable = (fixed >= constant * behind) & (words >= LEAST)
+    at = F.array_max(F.transform(F.filter("tops", lambda t: t["n"] < F.col("all")), lambda t: F.struct(t["n"], (-t["place"]).alias("p"))))
+    possible = F.size(F.filter("tops", lambda t: t["place"] >= depth)) >= F.greatest(constant * behind, F.lit(LEAST))
+    shapes = _saved(shapes.filter(possible).select("leaf", F.when(usable, F.transform(held, lambda t: F.struct(t["place"], t["token"]))).alias("held"), (-at["p"]).alias("at")))
+    small = [often, shapes]
+    rank = F.row_number().over(Window.partitionBy("leaf").orderBy(F.desc("n"), "token"))
+    parts = often.join(shapes.select("leaf", F.col("at").alias("place")), ["leaf", "place"]).withColumn("rank", rank).filter(F.col("rank") <= PARTS)
+    shapes = shapes.join(parts.groupBy("leaf").agg(F.collect_list("token").alias("parts")), "leaf", "left")
+    token = F.get("tokens", F.col("at"))
+    part = F.when(F.col("at").isNotNull(), F.xxhash64("leaf", "at", F.when(F.array_contains("parts", token), token)))
+    agrees = F.coalesce(F.forall("held", lambda t: F.get("tokens", t["place"]) == t["token"]), F.lit(False))
+    found = _saved(lines.join(shapes, "leaf").select(*lines.columns, agrees.alias("agrees"), part.alias("part")))
+    return found, small
+
+
 def recurring_lines(docs: DataFrame, depth: int = DEPTH, texts: int = TEXTS, constant: float = CONSTANT) -> DataFrame:
     """(node, lines): for each text, by its MD5 digest, the numbers of its lines that go, from 0."""
     whole = _texts(docs)
-    met = whole.mapInArrow(_leaves(depth), "leaf long, hash long").distinct()
-    leaves = written(met.groupBy("leaf").agg(F.count("*").alias("texts")).filter(F.col("texts") >= texts).select("leaf"))
+    met = whole.mapInArrow(_keys(depth, texts), "leaf long, least int, hash long").distinct()
+    leaves = written(met.groupBy("leaf", "least").agg(F.count("*").alias("texts")).filter("texts >= least").select("leaf"))
     del met
-    found = whole.mapInArrow(_lines(depth, sieve(leaves, "leaf")), "doc_id long, node binary, line int, leaf long, tokens array<int>")
-    once = found.groupBy("node", "line").agg(F.min("doc_id").alias("doc_id"), F.first("leaf").alias("leaf"), F.first("tokens").alias("tokens"))
-    lines = written(once.join(leaves, "leaf"))
+    found = whole.mapInArrow(_lines(depth, texts, sieve(leaves, "leaf")), "doc_id long, node binary, line int, leaf long, exact long, least int, tokens array<int>")
+    once = found.groupBy("node", "line").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("leaf", "exact", "least", "tokens")])
+    every = written(once)
     del found, once
 
-    votes = lines.select("leaf", F.posexplode("tokens").alias("place", "token")).groupBy("leaf", "place", "token").agg(F.count("*").alias("n"))
-    places = votes.groupBy("leaf", "place").agg(F.max(F.struct("n", "token")).alias("top"), F.sum("n").alias("all"))
-    held = F.when(F.col("top.n") * 2 >= F.col("all"), F.col("top.token"))
-    skeletons = places.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("place", held.alias("token")))).alias("skeleton"))
-    skeletons = skeletons.select("leaf", F.col("skeleton.token").alias("skeleton"))
-    fixed = F.size(F.filter("skeleton", lambda t: t.isNotNull()))
-    agrees = F.forall(F.arrays_zip("tokens", "skeleton"), lambda p: p["skeleton"].isNull() | (p["skeleton"] == p["tokens"]))
-    own = F.when((fixed >= constant * F.size("skeleton")) & agrees, F.lit(0).cast("long")).otherwise(F.xxhash64("tokens"))
-    templates = written(lines.join(skeletons, "leaf").select("node", "doc_id", "line", F.struct("leaf", own.alias("own")).alias("template")))
-
-    counted = templates.groupBy("template", "node").agg(F.min("doc_id").alias("doc_id")).groupBy("template")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
-    many = counted.agg(F.count("*").alias("texts"), F.min(order).alias("first")).filter(F.col("texts") >= texts)
-    # Written, so that Spark may split a template with many lines when it joins them.
-    many = written(many.select("template", F.col("first.node").alias("first")))
-    gone = templates.join(many, "template").filter("node <> first")
-    out = written(gone.groupBy("node").agg(F.collect_set("line").alias("lines")))
-    for done in (leaves, lines, templates, many):
+    many = _recurring(every, "exact", F.col("least"))
+    gone = [written(every.join(many, "exact").filter("node <> first").select("node", "line"))]
+    spent = [leaves, every, many, *gone]
+    lines = written(every.filter(F.size("tokens") > 0).select("node", "doc_id", "line", "leaf", "tokens").join(leaves.distinct(), "leaf"))
+    while not lines.isEmpty():
+        judged, used = _split(lines, depth, texts, constant)
+        many = _recurring(judged.filter("agrees"), "leaf", F.lit(texts))
+        settled = judged.join(many, "leaf", "left")
+        gone.append(_saved(settled.filter("agrees AND node <> first").select("node", "line")))
+        rest = settled.filter("NOT (agrees AND first IS NOT NULL) AND part IS NOT NULL")
+        before, lines = lines, written(rest.select("node", "doc_id", "line", F.col("part").alias("leaf"), "tokens"))
+        spent.append(gone[-1])
+        for done in (before, judged, many, *used):
+            drop_written(done)
+    everything = functools.reduce(DataFrame.union, gone)
+    out = written(everything.groupBy("node").agg(F.collect_set("line").alias("lines")))
+    for done in (*spent, lines):
         drop_written(done)
     return out
 
@@ -127,7 +186,8 @@ def drop_recurring(docs: DataFrame, depth: int = DEPTH, texts: int = TEXTS, cons
     """``docs``, all columns and rows, without the recurring lines in ``text``; ``dropped`` names a column for their number.
 
     Lines end at a line feed, tokens at ASCII white space.  Lines without a token stay and are never counted.
-    A template goes that is in ``texts`` different texts or more: exact copies count once and are treated
+    A template goes that is in ``texts`` different texts or more, and a line of ``LONG`` tokens or more that is
+    word for word the same in ``COPIES``: exact copies count once and are treated
     alike, so repeated rows stay equal.  It stays in the text with the smallest doc_id (nulls last), and by
     digest of equal ones.  A null or empty text stays as it is.
     """
