@@ -38,12 +38,13 @@ def learnable(doc_id: Column) -> Column:
 def fit(labelled: DataFrame, documents: int = DOCUMENTS, passage: int = PASSAGE, letters: int = LETTERS) -> Model:
     """Learn from rows (text, lang) with both.
 
-    The sample is bounded: of each language the ``documents`` texts with the smallest hashes, of each of them a
+    The sample is bounded: of each language the ``documents`` different texts with the smallest hashes, of each of them a
     passage of ``passage`` characters at a place drawn by the hash, and ``letters`` folded letters in all.
     """
     draw = F.xxhash64("text")
     place = F.pmod(F.xxhash64(F.reverse("text")), F.greatest(F.length("text") - passage, F.lit(1))) + 1
     ranked = labelled.filter("text IS NOT NULL AND lang IS NOT NULL").select("lang", draw.alias("draw"), F.substring(F.col("text"), place.cast("int"), F.lit(passage)).alias("passage"))
+    ranked = ranked.groupBy("lang", "draw").agg(F.min("passage").alias("passage"))  # exact copies are one text
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "passage"))
     rows = ranked.withColumn("rank", rank).filter(F.col("rank") <= documents).orderBy("lang", "rank").select("lang", "passage").collect()
     samples: dict[str, str] = {}

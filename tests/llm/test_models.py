@@ -51,6 +51,15 @@ def test_language_edges(docs, spark, given):
     assert langid.predict(docs([]), model).count() == 0
 
 
+def test_copies_do_not_fill_the_sample(spark):
+    importable(spark)
+    rows = [(f"text {chr(97 + i % 26)}{chr(97 + i // 26)} of its own", "xx") for i in range(100)]
+    table = spark.createDataFrame(rows, "text string, lang string")
+    first = table.orderBy(F.xxhash64("text")).first()
+    copies = spark.range(500).select(F.lit(first.text).alias("text"), F.lit("xx").alias("lang"))
+    assert langid.fit(table.union(copies)) == langid.fit(table)
+
+
 def test_quality_held_out(spark, given):
     found = QUERIES["op10_quality"](spark, given("0.01"))
     labels = spark.read.parquet(f"{given('0.01')}/labels.parquet")
