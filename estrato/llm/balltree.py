@@ -107,8 +107,9 @@ class _Search:
 
 
 def _floors(queries: DataFrame, rows: DataFrame, dim: int, k: int) -> DataFrame:
-    """``queries`` with the k-th score among a bounded sample of ``rows``, at most the k-th score among all."""
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow()
+    """``queries`` with the k-th score among a bounded sample of distinct ``rows``, at most the k-th score among all."""
+    some = rows.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE)
+    sample = rows.join(some, "vec_id", "left_semi").distinct().orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(SAMPLE).toArrow()
     ids, values = sample.column("vec_id").to_numpy(), matrix(sample.column("vector"), dim)
     schema = queries.withColumn("floor", F.lit(0).cast("long")).schema
 

@@ -57,6 +57,31 @@ def test_all_candidates_if_few(spark, size):
     assert kmeanstree.search(index, rows.withColumnRenamed("vec_id", "query_id")).count() == size * (size - 1)
 
 
+@pytest.mark.parametrize("size", [10, 30, 500])
+def test_exact_with_every_row_twice(spark, size):
+    importable(spark)
+    draw = np.random.default_rng(size)
+    rows = [(i, draw.normal(size=4).tolist()) for i in range(size)]
+    items = balltree.quantised(spark.createDataFrame(rows * 2, "vec_id long, embedding array<double>").repartition(5))
+    asked = items.filter("vec_id % 10 = 0").distinct().withColumnRenamed("vec_id", "query_id")
+    values = np.floor(1024 * np.array([r[1] for r in rows])).astype(np.int64)
+    want = brute.top(np.arange(size), values, range(0, size, 10), 10, lambda a, q: a @ q)
+    assert _found(balltree.search(items, asked)) == want
+
+
+def test_one_row_many_times_does_not_fill_the_sample(spark):
+    importable(spark)
+    draw = np.random.default_rng(1)
+    vectors = draw.normal(size=(200, 4))
+    first = spark.range(200).orderBy(F.xxhash64("id")).first().id
+    rows = [(i, vectors[i].tolist()) for i in range(200)] + [(first, vectors[first].tolist())] * 3000
+    items = balltree.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    asked = items.filter("vec_id % 10 = 0").distinct().withColumnRenamed("vec_id", "query_id")
+    values = np.floor(1024 * vectors).astype(np.int64)
+    want = brute.top(np.arange(200), values, range(0, 200, 10), 10, lambda a, q: a @ q)
+    assert _found(balltree.search(items, asked)) == want
+
+
 def test_nearest(vectors):
     df, rows, _ = vectors
     items = kmeanstree.vectors(df)
