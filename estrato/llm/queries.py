@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estrato.llm import balltree, coding, kmeanstree, langid, linetemplates, neardup, oracles, packing, pii, quality, substring
+from estrato.llm import balltree, coding, counting, fim, hardneg, kmeanstree, langid, linetemplates, neardup, oracles, packing, pii, quality, substring
 from estrato.llm.common import importable
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,3 +97,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query("op11_hard_negatives", oracles.HARD_NEGATIVES)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(hardneg.quantised(given.withColumn("label", label)), F.col("vec_id") % 50 == 0)
+
+
+@query("op12_token_counts")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counting.token_counts(table(spark, sf_dir, "documents"), PIECES, keep=["doc_id"])
+
+
+@query("op13_fill_in_middle", oracles.FILL_IN_MIDDLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)

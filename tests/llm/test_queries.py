@@ -23,7 +23,7 @@ def test_runs(spark, given, name):
 
 def test_registered():
     entry = importlib.import_module("__spark_entry__")
-    assert sorted(n.split("_")[0] for n in QUERIES) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(n.split("_")[0] for n in QUERIES) == sorted(f"op{i}" for i in range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
