@@ -9,7 +9,8 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from estrato.llm import bagminhash
+from estrato.llm import bagminhash, linetemplates
+from estrato.llm.common import word_hashes
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -77,39 +78,54 @@ def near_classes(rows, words=5, similarity=0.8):
     return [(d, min((x for x in members[find(i)] if x is not None), default=None) if bags[i] else d) for i, (d, _) in enumerate(rows)]
 
 
-def without_lines(rows, depth=3, texts=20, constant=0.6):
-    """(doc_id, kept text, lines gone) by an in-memory tree."""
+def without_lines(rows, depth=3, texts=20, constant=0.6, short=5, least=2, long=20, copies=2):
+    """(doc_id, kept text, lines gone) by an in-memory tree of words."""
 
     def masked(line):
-        return tuple("<*>" if re.search("[0-9]", w) else w for w in re.findall(WORD, line))
+        return tuple("0" if re.search("[0-9]", w) else w for w in line)
 
     first_id = {}
     for doc, text in rows:
         if text is not None:
             known = [x for x in (first_id.get(text), doc) if x is not None]
             first_id[text] = min(known, default=None)
+    lines = {(t, i): re.findall(WORD, line) for t in first_id for i, line in enumerate(t.split("\n"))}
+    lines = {at: words for at, words in lines.items() if words}
+    groups = collections.defaultdict(list)
+    for at, words in lines.items():
+        groups["equal", tuple(words)].append(at)
     leaves = collections.defaultdict(list)
-    for text in first_id:
-        for number, line in enumerate(text.split("\n")):
-            tokens = masked(line)
-            if tokens:
-                leaves[len(tokens), tokens[:depth]].append((text, number, tokens))
-    templates = collections.defaultdict(list)
-    for leaf, lines in leaves.items():
-        if len({t for t, _, _ in lines}) < texts:
+    for at, words in lines.items():
+        leaves[len(words), masked(words[:depth])].append(at)
+    for leaf, members in leaves.items():
+        if leaf[0] <= max(short, depth) or len({t for t, _ in members}) < texts:
             continue
-        tops = [collections.Counter(tokens[p] for _, _, tokens in lines).most_common(1)[0] for p in range(leaf[0])]
-        skeleton = [token if 2 * n >= len(lines) else None for token, n in tops]
-        usable = sum(t is not None for t in skeleton) >= constant * len(skeleton)
-        for text, number, tokens in lines:
-            agrees = usable and all(a is None or a == b for a, b in zip(skeleton, tokens))
-            templates[leaf, None if agrees else tokens].append((text, number))
+        often = collections.Counter((p, w) for at in members for p, w in enumerate(masked(lines[at])))
+        shapes = {at: tuple(w if often[p, w] >= texts else None for p, w in enumerate(masked(lines[at])))[depth:] for at in members}
+
+        def enough(words):
+            return sum(w is not None for w in words) >= constant * (leaf[0] - depth) and sum(w not in (None, "0") for w in words) >= least
+
+        shapes = {at: s for at, s in shapes.items() if enough(s)}
+        counts = collections.Counter(shapes.values())
+        head = _hashes(leaf[1])
+        found = []
+        for shape in sorted(counts, key=lambda s: (-counts[s], head + _hashes(s))):
+            shared = [tuple(a if a == b else None for a, b in zip(t, shape)) for t in found]
+            best = max(range(len(found)), key=lambda i: (enough(shared[i]), sum(w is not None for w in shared[i]), -i), default=None)
+            if best is not None and enough(shared[best]):
+                found[best] = shared[best]
+            else:
+                found.append(shape)
+        for at, shape in shapes.items():
+            fits = [t for t in found if all(a is None or a == b for a, b in zip(t, shape))]
+            groups["template", leaf, max(fits, key=lambda t: sum(w is not None for w in t))].append(at)
     gone = collections.defaultdict(set)
-    for lines in templates.values():
-        where = {t for t, _ in lines}
-        if len(where) >= texts:
+    for (kind, *key), members in groups.items():
+        where = {t for t, _ in members}
+        if len(where) >= (copies if kind == "equal" and len(key[0]) >= long else texts):
             first = min(where, key=lambda t: (first_id[t] is None, first_id[t] or 0, hashlib.md5(t.encode()).digest()))
-            for text, number in lines:
+            for text, number in members:
                 if text != first:
                     gone[text].add(number)
 
@@ -119,6 +135,16 @@ def without_lines(rows, depth=3, texts=20, constant=0.6):
     return [(d, kept(t), len(gone.get(t, ()))) for d, t in rows]
 
 
+def _hashes(words):
+    """Only to order shapes that are as frequent: the operator has no words, but their hashes."""
+    out = []
+    for w in words:
+        data = np.frombuffer((w or "").encode(), np.uint8)
+        known = {None: linetemplates.VARIABLE, "0": linetemplates.WILD}
+        out.append(known[w] if w in known else int(word_hashes(data, np.array([0]), np.array([len(data)])).view(np.int64)[0]))
+    return out
+
+
 def top(ids, rows, query_ids, k, score):
     """{query: [(id, score)]} by comparing with everything."""
     out = {}
