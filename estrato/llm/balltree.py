@@ -15,11 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estrato.llm.common import partitions
+from estrato.llm.common import meet, partitions
 from estrato.llm.vectors import matrix, ranked, same_length, smallest_ids, usable
 
-#: Rows of a leaf, of the sample that gives the first k-th scores, of a shard, and queries that a task holds.
-LEAF, SAMPLE, SHARD, QUERIES = 64, 2048, 50_000, 16_384
+#: Rows of a leaf, of the sample that gives the first k-th scores, and of a shard.
+LEAF, SAMPLE, SHARD = 64, 2048, 200_000
 #: Below any score.
 NONE = np.iinfo(np.int64).min
 
@@ -129,27 +129,27 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
     ``rows`` has vec_id and vector (integers), ``queries`` query_id and vector.  Rows with the query's id are
     not candidates; ties go to the smaller vec_id; all candidates come back if there are fewer than ``k``.
-    Shorter vectors count as filled up with zeros.  Two rows of one id and one vector count as one.  An
-    empty table gives no rows.
+    Shorter vectors count as filled up with zeros.  Repeated rows, of both tables, count as one; a candidate
+    comes once with each of its scores.  An empty table gives no rows.
     """
-    rows = rows.select("vec_id", "vector")
-    rows, dim = same_length(rows, "vector", 0)
+    rows, dim = same_length(rows.select("vec_id", "vector").distinct(), "vector", 0)
     count = rows.count()
     if not count or not dim:
         return ranked(rows.select(F.col("vec_id").alias("query_id"), "vec_id", F.lit(0).cast("long").alias("score")).filter("false"), k)
-    queries = queries.select("query_id", F.concat(F.col("vector"), F.array_repeat(F.lit(0).cast("long"), F.lit(dim) - F.size("vector"))).alias("vector"))
-    shards, blocks = max(partitions(rows.sparkSession), -(-count // SHARD)), -(-queries.count() // QUERIES)
-    known = _floors(queries, rows, dim, k)
-    dealt = rows.select(F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(max(1, blocks) - 1))).alias("block"), "vec_id", "vector")
-    asked = known.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.pmod(F.xxhash64("query_id"), F.lit(max(1, blocks))).cast("int").alias("block"), "query_id", "vector", "floor")
+    queries = queries.select("query_id", F.concat(F.col("vector"), F.array_repeat(F.lit(0).cast("long"), F.lit(dim) - F.size("vector"))).alias("vector")).distinct()
+    shards = max(partitions(rows.sparkSession), -(-count // SHARD))
+    dealt = rows.withColumn("place", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).cast("int"))
+    asked = _floors(queries, rows, dim, k).withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
 
-    def work(items: pa.Table, wanted: pa.Table) -> pa.Table:
+    def build(items: pa.Table) -> _Tree:
         ids, values = items.column("vec_id").to_numpy(), matrix(items.column("vector"), dim)
         first = smallest_ids(ids, values, k + 1)
+        return _Tree(ids[first], values[first])
+
+    def answer(tree: _Tree, wanted: pa.RecordBatch) -> pa.RecordBatch:
         own = wanted.column("query_id").to_numpy()
-        found = _Search(_Tree(ids[first], values[first]), own, matrix(wanted.column("vector"), dim), wanted.column("floor").to_numpy(), k)
+        found = _Search(tree, own, matrix(wanted.column("vector"), dim), wanted.column("floor").to_numpy(), k)
         place, column = np.nonzero(found.scores > NONE)
-        return pa.table([pa.array(own[place]), pa.array(found.ids[place, column]), pa.array(found.scores[place, column])], names=["query_id", "vec_id", "score"])
+        return pa.RecordBatch.from_arrays([pa.array(own[place]), pa.array(found.ids[place, column]), pa.array(found.scores[place, column])], ["query_id", "vec_id", "score"])
 
-    found = dealt.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(work, "query_id long, vec_id long, score long")
-    return ranked(found, k)
+    return ranked(meet(dealt, asked, shards, build, answer, "query_id long, vec_id long, score long"), k)

@@ -6,7 +6,7 @@ import gc
 import os
 import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +20,17 @@ SIEVE = 1 << 25
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh path below the folder that all machines share.
+    """A fresh path below the folder that all machines share; it goes when the application ends.
 
     That is ``spark.checkpoint.dir``; only where it is unset, as in tests, the warehouse.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/estrato-{uuid.uuid4().hex}"
+    own = f"{root.rstrip('/')}/estrato-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{own}/estrato-{uuid.uuid4().hex}"
 
 
 def free_shuffles(spark: SparkSession) -> None:
@@ -50,6 +55,13 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def saved(df: DataFrame) -> DataFrame:
+    """As ``written``, but shuffle files behind earlier tables stay until Spark's own cleaning."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_written(df: DataFrame) -> None:
     """Delete a table made by ``written`` that nothing will read again."""
     jvm = df.sparkSession._jvm
@@ -72,6 +84,41 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def meet(rows: DataFrame, queries: DataFrame, places: int, build: Callable, answer: Callable, schema: str) -> DataFrame:
+    """``answer(build(rows of a place), queries of the place)`` for all places from 0 to ``places`` - 1, their column ``place``.
+
+    Every row moves once, every query to the places it names.  In a partition the rows of a place come first and are
+    built once; the queries follow as a stream, and are answered batch by batch.  So a task holds the rows of one
+    place and one batch of queries, however many queries there are.  Rows without queries give nothing, and neither do
+    queries without rows.  Columns that only one of the two has are null for the other.
+    """
+    both = rows.withColumn("asks", F.lit(False)).unionByName(queries.withColumn("asks", F.lit(True)), allowMissingColumns=True)
+    # Each partition is one place, so no hash deals two of them to one task.
+    placed = both.repartitionById(places, F.col("place")).sortWithinPartitions("place", "asks")
+    names = rows.columns
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, current, built = [], None, None
+        for batch in batches:
+            place, asks = batch.column("place").to_numpy(), batch.column("asks").to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero((np.diff(place) != 0) | (np.diff(asks.astype(np.int8)) != 0)) + 1
+            for start, end in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+                if start == end:
+                    continue
+                if place[start] != current:
+                    held, current, built = [], place[start], None
+                part = batch.slice(start, end - start)
+                if not asks[start]:
+                    held.append(part.select(names))
+                    continue
+                if built is None and held:
+                    built, held = build(pa.Table.from_batches(held)), []
+                if built is not None:
+                    yield answer(built, part)
+
+    return placed.mapInArrow(work, schema)
+
+
 def sieve(rows: DataFrame, column: str) -> np.ndarray:
     """A bitmap of bounded size (``SIEVE`` bits) in which the bit of every value of a column of hashes is set.
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from estrato.llm.common import partitions, written
+from estrato.llm.common import meet, partitions, saved
 from estrato.llm.vectors import matrix, usable
 
 #: Bytes of the columns of a shard, columns read between two looks at the bitmap, and candidates that are read to the end.
@@ -132,41 +132,6 @@ def _floor(value: int, part: int) -> int:
     return value * part // 100
 
 
-def _shards(items: pa.RecordBatch | pa.Table, dim: int, kind: type) -> _Shard:
-    return _Shard(items.column("vec_id").to_numpy(), items.column("label").to_numpy(), matrix(items.column("vector"), dim), kind)
-
-
-def _scan(dealt: DataFrame, asked: DataFrame, shards: int, dim: int, kind: type, found: Callable, schema: str) -> DataFrame:
-    """``found(shard, anchors)`` for every shard and every batch of anchors, as one stream per task.
-
-    Rows and anchors of a shard meet in one partition, the rows first.  A task holds the rows of one shard and a
-    batch of anchors, however many anchors there are.
-    """
-    both = dealt.withColumn("anchor", F.lit(None).cast("long")).unionByName(asked, allowMissingColumns=True)
-    placed = both.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", F.col("anchor").isNotNull())
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, current, shard = [], None, None
-        for batch in batches:
-            numbers, asks = batch.column("shard").to_numpy(), batch.column("anchor").is_valid().to_numpy(zero_copy_only=False)
-            edges = np.flatnonzero((np.diff(numbers) != 0) | (np.diff(asks.astype(np.int8)) != 0)) + 1
-            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
-                if a == b:
-                    continue
-                if numbers[a] != current:
-                    rows, current, shard = [], numbers[a], None
-                part = batch.slice(a, b - a)
-                if not asks[a]:
-                    rows.append(part.select(["vec_id", "label", "vector"]))
-                    continue
-                if shard is None and rows:
-                    shard, rows = _shards(pa.Table.from_batches(rows), dim, kind), []
-                if shard is not None:
-                    yield from found(shard, part)
-
-    return placed.mapInArrow(work, schema)
-
-
 def mine(
     rows: DataFrame, anchors: Column, positives: int = 5, negatives: int = 3, low: int = 50, high: int = 95
 ) -> DataFrame:
@@ -197,28 +162,31 @@ def mine(
     filled = F.concat(F.col("vector"), F.array_repeat(F.lit(0).cast("long"), F.lit(dim) - F.size("vector")))
     rows = rows.withColumn("vector", filled.cast(f"array<{stored}>")).distinct()
 
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    dealt = rows.withColumn("place", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
     # Different rows of one id are different anchors.
-    asked = written(rows.filter(anchors).withColumn("anchor", F.xxhash64("label", "vector")))
-    everywhere = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+    asked = saved(rows.filter(anchors).withColumn("anchor", F.xxhash64("label", "vector")))
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("place")
+
+    def build(items: pa.Table) -> _Shard:
+        return _Shard(items.column("vec_id").to_numpy(), items.column("label").to_numpy(), matrix(items.column("vector"), dim), kind)
 
-    def nearest(shard: _Shard, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def nearest(shard: _Shard, part: pa.RecordBatch) -> pa.RecordBatch:
         own, labels, vectors = part.column("vec_id"), part.column("label").to_pylist(), matrix(part.column("vector"), dim).astype(kind)
         found = [shard.nearest(i, l, v, positives) for i, l, v in zip(own.to_pylist(), labels, vectors)]
         at = pa.array(np.repeat(np.arange(len(found)), [len(ids) for ids, _ in found]))
         ids, scores = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-        yield pa.RecordBatch.from_arrays([own.take(at), part.column("anchor").take(at), pa.array(ids), pa.array(scores)], ["anchor_id", "anchor", "positive_id", "positive_score"])
+        return pa.RecordBatch.from_arrays([own.take(at), part.column("anchor").take(at), pa.array(ids), pa.array(scores)], ["anchor_id", "anchor", "positive_id", "positive_score"])
 
     key = ["anchor_id", "anchor"]
-    near = _scan(dealt, asked.select("*", everywhere), shards, dim, kind, nearest, "anchor_id long, anchor long, positive_id long, positive_score long")
-    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("positive_score"), "positive_id"))
-    first = written(near.withColumn("place", place - 1).filter(F.col("place") < positives))
+    near = meet(dealt, asked.select("*", everywhere), shards, build, nearest, "anchor_id long, anchor long, positive_id long, positive_score long")
+    number = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("positive_score"), "positive_id"))
+    first = saved(near.withColumn("number", number - 1).filter(F.col("number") < positives))
 
-    scores = first.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("place", "positive_score"))).alias("scores"))
+    scores = first.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("number", "positive_score"))).alias("scores"))
     opened = asked.withColumnRenamed("vec_id", "anchor_id").join(scores, key)
     opened = opened.select(F.col("anchor_id").alias("vec_id"), "anchor", "label", "vector", F.col("scores.positive_score").alias("scores"), everywhere)
 
-    def inside(shard: _Shard, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def inside(shard: _Shard, part: pa.RecordBatch) -> pa.RecordBatch:
         own, labels, vectors = part.column("vec_id"), part.column("label").to_pylist(), matrix(part.column("vector"), dim).astype(kind)
         at, numbers, ids, found = [], [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i, (row, label, vector, open_) in enumerate(zip(own.to_pylist(), labels, vectors, part.column("scores").to_pylist())):
@@ -229,9 +197,9 @@ def mine(
                 ids.append(some)
                 found.append(score)
         at = pa.array(at, pa.int64())
-        yield pa.RecordBatch.from_arrays([own.take(at), part.column("anchor").take(at), pa.array(numbers, pa.int32()), pa.array(np.concatenate(ids)), pa.array(np.concatenate(found))], ["anchor_id", "anchor", "place", "negative_id", "negative_score"])
+        return pa.RecordBatch.from_arrays([own.take(at), part.column("anchor").take(at), pa.array(numbers, pa.int32()), pa.array(np.concatenate(ids)), pa.array(np.concatenate(found))], ["anchor_id", "anchor", "number", "negative_id", "negative_score"])
 
-    hard = _scan(dealt.withColumn("scores", F.lit(None).cast("array<long>")), opened, shards, dim, kind, inside, "anchor_id long, anchor long, place int, negative_id long, negative_score long")
-    rank = F.row_number().over(Window.partitionBy(*key, "place").orderBy(F.desc("negative_score"), "negative_id"))
+    hard = meet(dealt, opened, shards, build, inside, "anchor_id long, anchor long, number int, negative_id long, negative_score long")
+    rank = F.row_number().over(Window.partitionBy(*key, "number").orderBy(F.desc("negative_score"), "negative_id"))
     best = hard.withColumn("rank", rank).filter(F.col("rank") <= negatives)
-    return best.join(first, [*key, "place"]).select("anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), "negative_id", "positive_score", "negative_score")
+    return best.join(first, [*key, "number"]).select("anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), "negative_id", "positive_score", "negative_score")

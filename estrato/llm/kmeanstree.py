@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from estrato.llm.common import meet
 from estrato.llm.vectors import best, matrix, ranked, same_length, smallest_ids, usable
 
 #: Rows of the sample, children of a node, rows of the sample in a leaf, and rounds of k-means.
@@ -158,9 +159,9 @@ class Index:
 def build(rows: DataFrame, calibrate: Column, k: int = 20, recall: float = RECALL, sample: int = SAMPLE) -> Index:
     """Index every row of ``rows`` (vec_id, vector); ``calibrate`` tells which of them may serve to calibrate.
 
-    The tree is learned from the ``sample`` rows with the smallest hashes of their ids.
+    Repeated rows count as one.  The tree is learned from the ``sample`` rows with the smallest hashes of their ids.
     """
-    rows, dim = same_length(rows.select("vec_id", "vector"), "vector", 0.0)
+    rows, dim = same_length(rows.select("vec_id", "vector").distinct(), "vector", 0.0)
     drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vector").toArrow()
     tree = grow(matrix(drawn.column("vector"), dim) if dim else np.zeros((0, 1)))
 
@@ -199,13 +200,12 @@ def search(index: Index, queries: DataFrame, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest rows found for each query, by inner product.
 
     ``queries`` has query_id and vector.  Rows with the query's id are not candidates; ties go to the smaller
-    vec_id.  Copies of a vector are all indexed; of each, the k + 1 smallest ids can be results.  Visits go
+    vec_id.  Repeated queries count as one; a candidate comes once with each of its scores.  Copies of a vector are all indexed; of each, the k + 1 smallest ids can be results.  Visits go
     on until k + 1 rows are seen, so that all candidates come back where there are fewer than ``k``.
     """
     tree, dim, held, visits = index.tree, index.dim, index.held, index.visits
     group, blocks = _grouped(held)
-    queries = queries.select("query_id", F.concat(F.col("vector"), F.array_repeat(F.lit(0.0), F.lit(dim) - F.size("vector"))).alias("vector"))
-    parts = max(1, -(-queries.count() // ROWS))
+    queries = queries.select("query_id", F.concat(F.col("vector"), F.array_repeat(F.lit(0.0), F.lit(dim) - F.size("vector"))).alias("vector")).distinct()
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A query goes once to each group of leaves, with the leaves that it visits there."""
@@ -221,27 +221,27 @@ def search(index: Index, queries: DataFrame, k: int = 20) -> DataFrame:
                     places += [i] * len(there)
                     groups += there.keys()
                     leaves += there.values()
-                yield pa.RecordBatch.from_arrays([pa.array(groups, pa.int32()), pa.array(leaves, pa.list_(pa.int32())), *some.take(pa.array(places, pa.int32())).columns], ["group", "leaves", "query_id", "vector"])
+                yield pa.RecordBatch.from_arrays([pa.array(groups, pa.int32()), pa.array(leaves, pa.list_(pa.int32())), *some.take(pa.array(places, pa.int32())).columns], ["place", "leaves", "query_id", "vector"])
 
-    asked = queries.mapInArrow(route, "group int, leaves array<int>, query_id long, vector array<double>").withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
+    asked = queries.mapInArrow(route, "place int, leaves array<int>, query_id long, vector array<double>")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             leaf, ids = batch.column("leaf").to_numpy(), batch.column("vec_id").to_numpy()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((group[leaf] + ids % blocks[leaf]).astype(np.int32))], [*batch.schema.names, "group"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((group[leaf] + ids % blocks[leaf]).astype(np.int32))], [*batch.schema.names, "place"])
 
-    items = index.rows.mapInArrow(deal, "vec_id long, vector array<double>, leaf int, group int").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    items = index.rows.mapInArrow(deal, "vec_id long, vector array<double>, leaf int, place int")
 
-    def work(rows: pa.Table, wanted: pa.Table) -> pa.Table:
+    def answer(rows: pa.Table, wanted: pa.RecordBatch) -> pa.RecordBatch:
         ids, leaf, own = rows.column("vec_id").to_numpy(), rows.column("leaf").to_numpy(), wanted.column("query_id").to_numpy()
         visited = np.zeros((len(own), len(held)), bool)
         for i, leaves in enumerate(wanted.column("leaves").to_pylist()):
             visited[i, leaves] = True
         query, places, score = _local(ids, matrix(rows.column("vector"), dim), own, matrix(wanted.column("vector"), dim), k, visited[:, leaf])
-        return pa.table([pa.array(query), pa.array(ids[places]), pa.array(score)], names=["query_id", "vec_id", "score"])
+        return pa.RecordBatch.from_arrays([pa.array(query), pa.array(ids[places]), pa.array(score)], ["query_id", "vec_id", "score"])
 
-    found = items.groupBy("group", "part").cogroup(asked.groupBy("group", "part")).applyInArrow(work, "query_id long, vec_id long, score double")
-    return ranked(found, k)
+    groups = int((group + blocks).max(initial=1))
+    return ranked(meet(items, asked, groups, lambda rows: rows.combine_chunks(), answer, "query_id long, vec_id long, score double"), k)
 
 
 def _grouped(held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

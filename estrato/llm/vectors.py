@@ -55,7 +55,7 @@ def smallest_ids(ids: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
 
 
 def ranked(found: DataFrame, count: int) -> DataFrame:
-    """The ``count`` best of (query_id, vec_id, score) per query, with their rank."""
+    """The ``count`` best of (query_id, vec_id, score) per query, each once, with their rank."""
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    out = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= count)
+    out = found.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= count)
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

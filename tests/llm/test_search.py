@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import brute
 from estrato.llm import balltree, kmeanstree
 from estrato.llm.common import importable
+from estrato.llm.queries import QUERIES
 
 
 @pytest.fixture
@@ -63,7 +64,7 @@ def test_exact_with_every_row_twice(spark, size):
     draw = np.random.default_rng(size)
     rows = [(i, draw.normal(size=4).tolist()) for i in range(size)]
     items = balltree.quantised(spark.createDataFrame(rows * 2, "vec_id long, embedding array<double>").repartition(5))
-    asked = items.filter("vec_id % 10 = 0").distinct().withColumnRenamed("vec_id", "query_id")
+    asked = items.filter("vec_id % 10 = 0").withColumnRenamed("vec_id", "query_id")
     values = np.floor(1024 * np.array([r[1] for r in rows])).astype(np.int64)
     want = brute.top(np.arange(size), values, range(0, size, 10), 10, lambda a, q: a @ q)
     assert _found(balltree.search(items, asked)) == want
@@ -76,7 +77,7 @@ def test_one_row_many_times_does_not_fill_the_sample(spark):
     first = spark.range(200).orderBy(F.xxhash64("id")).first().id
     rows = [(i, vectors[i].tolist()) for i in range(200)] + [(first, vectors[first].tolist())] * 3000
     items = balltree.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
-    asked = items.filter("vec_id % 10 = 0").distinct().withColumnRenamed("vec_id", "query_id")
+    asked = items.filter("vec_id % 10 = 0").withColumnRenamed("vec_id", "query_id")
     values = np.floor(1024 * vectors).astype(np.int64)
     want = brute.top(np.arange(200), values, range(0, 200, 10), 10, lambda a, q: a @ q)
     assert _found(balltree.search(items, asked)) == want
@@ -114,3 +115,12 @@ def test_empty_tables(spark):
     items, rows = balltree.quantised(df), kmeanstree.vectors(df)
     assert balltree.search(items, items.withColumnRenamed("vec_id", "query_id")).count() == 0
     assert kmeanstree.search(kmeanstree.build(rows, F.lit(True)), rows.withColumnRenamed("vec_id", "query_id")).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op4_nearest_neighbours", "op8_exact_topk", "op11_hard_negatives"])
+def test_queries_answer_alike_on_a_doubled_table(spark, given, tmp_path, name):
+    importable(spark)
+    table = spark.read.parquet(f"{given('0.001')}/embeddings.parquet")
+    table.unionByName(table).unionByName(table.limit(1)).repartition(3).write.parquet(str(tmp_path / "embeddings.parquet"))
+    single, double = (sorted(map(tuple, QUERIES[name](spark, folder).collect())) for folder in (given("0.001"), str(tmp_path)))
+    assert single == double != []
