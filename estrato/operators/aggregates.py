@@ -9,7 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from estrato.functions.numbers import percent, stable_mean, stable_round, stable_sum
+from estrato.functions.numbers import percent, stable_mean, stable_round
+from estrato.operators.exact import exact_sums
 from estrato.operators.shape import require
 from estrato.session import cut_lineage
 
@@ -76,19 +77,19 @@ def imbalance(df: DataFrame, by: str, floor_pct: float = 5.0) -> DataFrame:
 
 def top_share(df: DataFrame, by: str, measure: str, k: int = 5, scale: int = 2) -> DataFrame:
     """The ``k`` groups with the largest sum, and their percentage of these k sums."""
-    top = (
-        require(df, by)
-        .groupBy(by)
-        .agg(stable_sum(F.col(measure), scale).alias("total"))
-        .orderBy(F.desc("total"), F.asc(by))
-        .limit(k)
-    )
+    sums = exact_sums(require(df, by), [by], {"total": measure})
+    totals = sums.withColumn("total", F.coalesce(stable_round(F.col("total"), scale), F.lit(0.0)))
+    top = totals.orderBy(F.desc("total"), F.asc(by)).limit(k)
     # The unpartitioned window sees the k rows of the limit, nothing else.
     return top.withColumn("pct", percent(F.col("total"), F.sum("total").over(W.partitionBy()), 1))
 
 
 def grouped_sums(df: DataFrame, by: Sequence[str], measures: dict[str, str]) -> DataFrame:
-    """Sum of each ``{alias: column}`` per group; doubles to six decimals, in any order."""
+    """Sum of each ``{alias: column}`` per group; those of doubles are exact in any order, 0.0 for no values."""
     doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    sums = [(stable_sum(F.col(c), 6) if c in doubles else F.sum(c)).alias(a) for a, c in measures.items()]
-    return df.groupBy(*by).agg(*sums)
+    real = {a: c for a, c in measures.items() if c in doubles}
+    whole = {a: ("sum", c) for a, c in measures.items() if c not in doubles}
+    if not real:
+        return df.groupBy(*by).agg(*[F.sum(c).alias(a) for a, (_, c) in whole.items()])
+    sums = exact_sums(df, by, real, whole)
+    return sums.select(*by, *[F.coalesce(a, F.lit(0.0)).alias(a) if a in real else F.col(a) for a in measures])

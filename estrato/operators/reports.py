@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from estrato.functions.dates import day_part, month_label
 from estrato.functions.numbers import percent, stable_mean, stable_round, stable_sum
 from estrato.operators.aggregates import counts, n_rows
+from estrato.operators.exact import exact_sums
 from estrato.operators.rules import Rule
 from estrato.operators.shape import require
 from estrato.operators.stats import exact_quantiles
@@ -38,12 +39,8 @@ def domain_counts(df: DataFrame, column: str, values: Sequence[str]) -> DataFram
 
 def sum_by(df: DataFrame, by: str, measure: str, scale: int = 2) -> DataFrame:
     """Sum per group, smallest first; a NULL group is left out, NULL values add 0."""
-    return (
-        require(df, by)
-        .groupBy(by)
-        .agg(stable_sum(F.col(measure), scale).alias("total"))
-        .orderBy("total", by)
-    )
+    sums = exact_sums(require(df, by), [by], {"total": measure})
+    return sums.withColumn("total", F.coalesce(stable_round(F.col("total"), scale), F.lit(0.0))).orderBy("total", by)
 
 
 def hour_counts(df: DataFrame, hour: str) -> DataFrame:

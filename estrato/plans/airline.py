@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from estrato import schemas
 from estrato.fixed import FLIGHT_STATES
-from estrato.functions.numbers import percent, stable_mean, stable_sum
+from estrato.functions.numbers import percent, stable_round
 from estrato.operators.aggregates import state_counts
 from estrato.operators.dedup import dedup_by
+from estrato.operators.exact import exact_sums
 from estrato.operators.joins import enrich
 from estrato.operators.quality import expect_types
 from estrato.operators.shape import Check, conform, keep_valid, role
@@ -67,17 +68,24 @@ def flights_enriched(flights: DataFrame, airports: DataFrame, aircraft: DataFram
 
 
 def kpi_punctuality(flights: DataFrame, airports: DataFrame, aircraft: DataFrame) -> DataFrame:
-    """Flights per state, mean duration and share on time, by model, maker, country, month."""
-    return (
-        flights_enriched(flights, airports, aircraft)
-        .groupBy("modelo", "fabricante", "origen_pais", "mes", "anio")
-        .agg(
-            F.count("vuelo_id").alias("total_vuelos"),
-            *state_counts("estado", FLIGHT_STATES),
-            stable_mean(F.col("duracion_min"), 2).alias("duracaion_promedio_min"),
-        )
-        .withColumn("puntualidad_pct", percent(F.col("vuelos_a_tiempo"), F.col("total_vuelos")))
+    """Flights per state, mean duration and share on time, by model, maker, country, month.
+
+    Country, model and maker follow from the flight's keys, so flights are counted per pair of keys and month first:
+    a hot airport is combined before any shuffle, and both joins see counts, not flights.
+    """
+    month = [F.month("fecha").alias("mes"), F.year("fecha").alias("anio")]
+    first = flights.groupBy("origen_id", "aeronave_id", *month).agg(
+        F.count("vuelo_id").alias("total_vuelos"),
+        *state_counts("estado", FLIGHT_STATES),
+        F.sum("duracion_min").alias("_minutes"),
+        F.count("duracion_min").alias("_timed"),
     )
+    located = enrich(first, role(airports, {"origen_id": "aeropuerto_id", "origen_pais": "pais"}), ["origen_id"])
+    named = enrich(located, aircraft.select("aeronave_id", "modelo", "fabricante"), ["aeronave_id"])
+    summed = [F.sum(c).alias(c) for c in ("total_vuelos", *FLIGHT_STATES)]
+    mean = stable_round(F.try_divide(F.sum("_minutes").cast("double"), F.sum("_timed")), 2)
+    out = named.groupBy("modelo", "fabricante", "origen_pais", "mes", "anio").agg(*summed, mean.alias("duracaion_promedio_min"))
+    return out.withColumn("puntualidad_pct", percent(F.col("vuelos_a_tiempo"), F.col("total_vuelos")))
 
 
 def kpi_maintenance(maintenance: DataFrame, aircraft: DataFrame) -> DataFrame:
@@ -88,15 +96,16 @@ def kpi_maintenance(maintenance: DataFrame, aircraft: DataFrame) -> DataFrame:
     the join sees one row per group instead of every job.
     """
     measures = {"costo": ("costo_usd", "usd"), "duracion": ("duracion_hr", "hr")}
-    out = [F.count("mantenimiento_id").alias("total_mantenimientos")]
-    for name, (column, unit) in measures.items():
+    dated = maintenance.withColumns({"mes": F.month("fecha"), "anio": F.year("fecha")})
+    counted = {"total_mantenimientos": ("count", "mantenimiento_id")} | {f"_n_{n}": ("count", c) for n, (c, _) in measures.items()}
+    grouped = exact_sums(dated, ["aeronave_id", "tipo", "mes", "anio"], {n: c for n, (c, _) in measures.items()}, counted)
+    out = [F.col("total_mantenimientos")]
+    for name, (_, unit) in measures.items():
         out += [
-            stable_mean(F.col(column), 2).alias(f"{name}_promedio_{unit}"),
-            F.when(F.count(column) > 0, stable_sum(F.col(column), 2)).alias(f"{name}_total_{unit}"),
+            stable_round(F.try_divide(name, f"_n_{name}"), 2).alias(f"{name}_promedio_{unit}"),
+            stable_round(F.col(name), 2).alias(f"{name}_total_{unit}"),
         ]
-    grouped = maintenance.groupBy(
-        "aeronave_id", "tipo", F.month("fecha").alias("mes"), F.year("fecha").alias("anio")
-    ).agg(*out)
+    grouped = grouped.select("aeronave_id", "tipo", "mes", "anio", *out)
     return enrich(grouped, aircraft.select("aeronave_id", "modelo", "fabricante"), ["aeronave_id"])
 
 

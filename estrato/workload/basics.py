@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from estrato.functions.numbers import stable_round
 from estrato.functions.sql import register_functions
+from estrato.operators.exact import exact_sums
 from estrato.operators.joins import split_join
 from estrato.operators.shape import conform, in_range, ordered, require, require_text, role
 from estrato.plans import airline, sales
@@ -162,3 +163,20 @@ def sales_enriched(t: Tables):
 def sales_enriched_hot_keys(t: Tables):
     out = split_join(sales.with_total(t.standin("sales")), t.standin("products"), "product")
     return out.withColumn("total_sales", stable_round(F.col("total_sales"), 2))
+
+
+# Prices around 1e-16, 1e23 and as they are: the texts differ in the exponent only, so the sums do too.
+_SCALES = {0: "E-16", 1: "E23", 2: ""}
+
+
+@query(
+    "sums_of_any_magnitude",
+    "WITH s AS (SELECT l_linenumber % 3 AS scale, sum(CAST(l_extendedprice AS DECIMAL(38,2))) AS total, count(*) AS n FROM lineitem GROUP BY 1) "
+    "SELECT CAST(scale AS INTEGER) AS scale, CAST(CAST(total AS VARCHAR) || CASE scale "
+    + " ".join(f"WHEN {k} THEN '{e}'" for k, e in _SCALES.items())
+    + " END AS DOUBLE) AS total, n FROM s",
+)
+def sums_of_any_magnitude(t: Tables):
+    scale = F.col("l_linenumber") % 3
+    text = F.concat(F.col("l_extendedprice").cast("string"), F.get(F.array(*[F.lit(e) for e in _SCALES.values()]), scale.cast("int")))
+    return exact_sums(t.lineitem.select(scale.cast("int").alias("scale"), text.cast("double").alias("price")), ["scale"], {"total": "price"}, {"n": ("count", "price")})
