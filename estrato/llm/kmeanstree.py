@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from estrato.llm.common import meet
+from estrato.llm.common import meet, saved
 from estrato.llm.vectors import best, matrix, ranked, same_length, smallest_ids, usable
 
 #: Rows of the sample, children of a node, rows of the sample in a leaf, and rounds of k-means.
@@ -170,7 +170,7 @@ def build(rows: DataFrame, calibrate: Column, k: int = 20, recall: float = RECAL
             leaf = tree.assign(matrix(batch.column("vector"), dim))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf, pa.int32())], ["vec_id", "vector", "leaf"])
 
-    placed = rows.mapInArrow(work, "vec_id long, vector array<double>, leaf int")
+    placed = saved(rows.mapInArrow(work, "vec_id long, vector array<double>, leaf int"))
     held = np.zeros(max(1, tree.leaves), np.int64)
     for leaf, count in placed.groupBy("leaf").count().collect():  # one row per leaf of the tree
         held[leaf] = count
