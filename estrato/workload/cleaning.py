@@ -31,8 +31,7 @@ CUSTOMERS = f"""{raw('customers')}, customers_typed AS (
         WHERE date_of_birth IS NOT NULL AND trim(name) <> '' AND first_name <> '' AND last_name <> '')"""
 POLICIES = f"""{raw('policies')}, policies_clean AS (SELECT * FROM policies
     WHERE POLICY_NO IS NOT NULL AND CUST_ID IS NOT NULL AND PREMIUM >= 0 AND POL_EFF_DATE <= POL_EXPIRY_DATE)"""
-CLAIMS = f"""{raw('claims')}, claims_once AS ({best_row('claims', columns('claims'), ['claim_no'], ['total'])}),
-    claims_clean AS (SELECT * FROM claims_once
+CLAIMS = f"""{raw('claims')}, claims_clean AS (SELECT * FROM claims
         WHERE claim_no IS NOT NULL AND policy_no IS NOT NULL AND total >= 0 AND age > 0)"""
 TELEMATICS = f"""{raw('telematics')}, telematics_clean AS (SELECT * FROM telematics
     WHERE chassis_no IS NOT NULL AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND speed >= 0)"""
@@ -49,13 +48,9 @@ def policies(t: Tables):
     return plan.clean_policies(t.standin("policies"))
 
 
-def claims_once(t: Tables):
-    """The stand-in claims repeat claim numbers; the largest amount counts."""
-    return dedup_by(t.standin("claims"), ["claim_no"], ["total"])
-
-
 def claims(t: Tables):
-    return plan.clean_claims(claims_once(t))
+    """All claims: a claim may have several rows, each with an amount of its own."""
+    return plan.clean_claims(t.standin("claims"))
 
 
 def telematics(t: Tables):

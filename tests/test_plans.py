@@ -55,6 +55,13 @@ def test_image_bytes_stay_out_of_name_queries(spark):
     assert "html" not in plan(names)
 
 
+def test_all_claims_are_cleaned(spark):
+    """Nothing is dropped before the checks, which need no shuffle."""
+    t = Tables(spark, SMALL)
+    cleaned = QUERIES["clean_claims"](spark, SMALL)
+    assert "Exchange" not in plan(cleaned) and cleaned.count() == t.lineitem.filter("l_extendedprice >= 2000 AND l_quantity > 2").count()
+
+
 def test_scan_reads_only_needed_columns(spark):
     schema = re.search(r"ReadSchema: struct<(.*?)>", plan(QUERIES["table_update"](spark, SMALL)))[1]
     assert schema == "o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_totalprice:double"
@@ -102,7 +109,7 @@ def test_results_do_not_depend_on_partitioning(spark, rows, name):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-@pytest.mark.parametrize("name", ["silver_flights", "dedup_latest", "clean_claims", "clean_metadata"])
+@pytest.mark.parametrize("name", ["silver_flights", "dedup_latest", "clean_metadata"])
 def test_dedup_limits_groups_before_the_shuffle(spark, name):
     steps = re.findall(r"WindowGroupLimit|Exchange", plan(QUERIES[name](spark, SMALL)))
     assert steps == ["WindowGroupLimit", "Exchange", "WindowGroupLimit"]
