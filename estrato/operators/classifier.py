@@ -22,7 +22,10 @@ def train_classifier(df: DataFrame, features: str, label: str, iterations: int =
     model = LogisticRegression(
         featuresCol="features", labelCol="label_id", maxIter=iterations, family="multinomial", regParam=0.01
     )
-    return Pipeline(stages=[index, model]).fit(data)
+    fitted = Pipeline(stages=[index, model]).fit(data)
+    # The training summary holds the session and the data; tasks that score would have to take them along.
+    fitted.stages[-1]._java_obj.setSummary(df.sparkSession._jvm.scala.Option.empty())
+    return fitted
 
 
 def rank_classes(scores: Column, labels: Sequence[str] | Column, k: int | None = None) -> Column:

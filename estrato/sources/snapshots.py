@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime
+import json
 import uuid
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estrato.schemas import empty_table, struct_of
+from estrato.sources.files import Files
 
 HISTORY = {"version": "bigint", "committed_at": "timestamp", "operation": "string", "rows": "bigint", "folder": "string"}
 
@@ -16,32 +18,19 @@ HISTORY = {"version": "bigint", "committed_at": "timestamp", "operation": "strin
 class SnapshotTable:
     """Versions 0, 1, ... of a table below ``path``.
 
-    Every commit writes a folder of its own, then claims its version number by a
-    file that only one writer can create, then appends its history row.  Readers
-    only trust the history: a commit that fails leaves a folder nobody reads.
+    A commit writes a folder of its own and then publishes its history row, under the number of its version, as a file
+    that appears whole and that only one writer can make.  That file is the commit: a writer lost before it leaves a
+    folder nobody reads, one lost after it has committed, and neither is in the way of the next one.
     """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-
-    def _claim(self, version: int, folder: str) -> None:
-        """Raise ``FileExistsError`` if another writer has this version."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/claims/version={version}")
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        try:
-            out = files.create(path, False)
-        except Py4JJavaError as error:
-            raise FileExistsError(f"version {version} of {self.path} was committed by another writer") from error
-        out.write(bytearray(folder.encode()))
-        out.close()
+        self.spark, self.path, self.files = spark, path, Files(spark, path)
 
     def history(self) -> DataFrame:
         """One row per version."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/history")
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(path):
+        if not self.files.exists("history"):
             return empty_table(self.spark, HISTORY)
-        return self.spark.read.schema(struct_of(HISTORY)).parquet(f"{self.path}/history")
+        return self.spark.read.schema(struct_of(HISTORY)).json(f"{self.path}/history")
 
     def _latest(self, condition=None) -> int | None:
         past = self.history() if condition is None else self.history().filter(condition)
@@ -56,20 +45,10 @@ class SnapshotTable:
         version = 0 if last is None else last + 1
         folder = f"{self.path}/versions/{uuid.uuid4().hex}"
         df.write.parquet(folder)
-        self._claim(version, folder)
-        (
-            self.spark.read.parquet(folder)
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .select(
-                F.lit(version).cast("bigint").alias("version"),
-                F.current_timestamp().alias("committed_at"),
-                F.lit(operation).alias("operation"),
-                "rows",
-                F.lit(folder).alias("folder"),
-            )
-            .write.mode("append")
-            .parquet(f"{self.path}/history")
-        )
+        rows = self.spark.read.schema(df.schema).parquet(folder).count()
+        now = datetime.datetime.now(datetime.UTC).isoformat(timespec="microseconds")
+        row = {"version": version, "committed_at": now, "operation": operation, "rows": rows, "folder": folder}
+        self.files.publish(f"history/version={version:020d}.json", json.dumps(row), replace=False)
         return version
 
     def read(self, version: int | None = None, timestamp: str | None = None) -> DataFrame:

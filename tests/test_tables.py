@@ -1,5 +1,7 @@
 """Table changes, as-of reads, layers, snapshots, landing files."""
 
+import threading
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -177,6 +179,96 @@ def test_two_writers_of_one_version(spark, products, rows, tmp_path):
     assert rows(first.read()) == rows(products) and first.history().count() == 1
 
 
+def test_writers_lost_at_any_step_of_a_commit(spark, products, rows, tmp_path, monkeypatch):
+    """Before its history row a commit does not count, behind it it does; the next one works either way."""
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table.commit(products, "CREATE")
+
+    def lost(*args, **kwargs):
+        raise KeyboardInterrupt
+
+    for step in ("publish", "_rename", "after"):
+        lost_one = SnapshotTable(spark, str(tmp_path / "t"))
+        if step == "publish":
+            lost_one.files.publish = lost
+        elif step == "_rename":
+            lost_one.files._rename = lost
+        try:
+            lost_one.commit(products.limit(1), step)
+        except KeyboardInterrupt:
+            pass
+        committed = 1 if step == "after" else 0
+        assert table.history().count() == 1 + committed and table.read().count() == (1 if committed else 3)
+    assert table.commit(products, "NEXT") == 2 and rows(table.read()) == rows(products)
+    assert rows(table.history(), "operation") == [("CREATE",), ("NEXT",), ("after",)]
+
+
+def test_other_errors_are_not_taken_for_another_writer(spark, products, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "history").write_text("a file where the folder should be")
+    table._latest = lambda *a: None
+    with pytest.raises(Exception) as error:
+        table.commit(products, "CREATE")
+    assert not isinstance(error.value, FileExistsError)
+
+
+@pytest.mark.parametrize("in_folder", [True, False])
+def test_readers_never_miss_a_table_that_is_overwritten(spark, products, tmp_path, in_folder):
+    root = str(tmp_path) if in_folder else None
+    layer, reader = Layer(spark, f"swapped_{in_folder}".lower(), root), Layer(spark, f"swapped_{in_folder}".lower(), root)
+    layer.write(products.withColumn("n", F.lit(0)), "p")
+    found, stop = [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                found.append(reader.read("p").agg(F.count("*"), F.min("n") == F.max("n")).first())
+            except Exception as error:
+                found.append(error)
+
+    thread = threading.Thread(target=read)
+    thread.start()
+    for n in range(1, 6):
+        layer.write(products.withColumn("n", F.lit(n)), "p")
+    stop.set()
+    thread.join()
+    assert found and [f for f in found if isinstance(f, Exception) or tuple(f) != (3, True)] == []
+    assert layer.tables() == ["p"]
+
+
+@pytest.mark.parametrize("in_folder", [True, False])
+def test_old_generations_go(spark, products, rows, tmp_path, in_folder):
+    layer = Layer(spark, f"kept_{in_folder}".lower(), str(tmp_path) if in_folder else None, keep=0)
+    for n in range(4):
+        layer.write(products.limit(n), "p")
+    # The last one replaced stays for its readers until it has been out for a while.
+    assert len(layer._generations("p")) <= 2 and layer.read("p").count() == 3
+
+
+def test_a_lost_writer_leaves_the_table(spark, products, rows, tmp_path):
+    layer = Layer(spark, "lost", str(tmp_path))
+    layer.write(products, "p")
+
+    def lost(*args, **kwargs):
+        raise KeyboardInterrupt
+
+    publish, layer.files.publish = layer.files.publish, lost
+    for table in ("p", "q"):
+        with pytest.raises(KeyboardInterrupt):
+            layer.write(products.limit(1), table)
+    assert rows(layer.read("p")) == rows(products) and layer.tables() == ["p"] and not layer.exists("q")
+    layer.files.publish = publish
+    assert layer.write(products.limit(1), "p").count() == 1 and layer.write(products, "q").count() == 3
+
+
+def test_buckets_and_figures(spark, products, rows):
+    layer = Layer(spark, "bucketed")
+    written = layer.write(products, "p", bucket_by=(4, ["id"]), figures={"n": F.count("*"), "without": F.count_if(F.col("id").isNull())})
+    assert layer.figures["p"] == {"n": 3, "without": 1} and rows(written) == rows(products)
+    assert "Exchange hashpartitioning" not in written.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+
+
 def test_as_of_takes_a_null_flag_as_not_deleted(spark):
     log = spark.createDataFrame([(1, 1, None, "a"), (2, 1, False, "b"), (3, 1, True, "c")], "k int, version int, deleted boolean, v string")
     assert sorted(r.k for r in tables.as_of(log, ["k"], 1).collect()) == [1, 2]
