@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estrato.operators.quality import audit_long, duplicate_keys
@@ -76,6 +76,15 @@ AIRLINE_PROBLEMS = {
 AIRLINE_KEYS = {"vuelos": "vuelo_id", "aeropuertos": "aeropuerto_id", "aeronaves": "aeronave_id", "mantenimientos": "mantenimiento_id"}
 
 
+# Columns of audit figures.
+FIGURES = {"table_name": "string", "check_name": "string", "n": "bigint"}
+
+
+def audit_figures(table: str) -> dict[str, Column]:
+    """The figures of a silver table as aggregates, to be taken while it is written."""
+    return {name: F.count_if(F.expr(condition)) for name, condition in SILVER_PROBLEMS[table].items()}
+
+
 def repeated(tables: dict[str, DataFrame], keys: dict[str, str]) -> DataFrame:
     """(table_name, check_name, n): keys of each table that several rows have; rows without a key count as of one key."""
     parts = [

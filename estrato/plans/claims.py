@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from estrato import schemas
@@ -21,12 +23,13 @@ from estrato.functions.numbers import stable_round
 from estrato.functions.text import file_label, file_name, join_text, split_name
 from estrato.operators.aggregates import entity_summary, n_rows
 from estrato.operators.dedup import dedup_by
-from estrato.operators.joins import enrich, orphans
-from estrato.operators.quality import expect_types
+from estrato.operators.joins import enrich, hot_keys, orphans
+from estrato.operators.quality import expect_types, reject_figures
 from estrato.operators.rules import Rule, apply_rules
 from estrato.operators.shape import Check, conform, keep_valid, role
 from estrato.plans import audits
 from estrato.plans.training import predict_images
+from estrato.schemas import literal_rows
 from estrato.sources.landing import read_binary, read_landing
 from estrato.sources.layers import Layer
 
@@ -114,9 +117,13 @@ def clean_claims(claims: DataFrame) -> DataFrame:
     return keep_valid(type_claims(claims), CLAIM_CHECKS)
 
 
+def type_telematics(telematics: DataFrame) -> DataFrame:
+    return conform(telematics, schemas.TELEMATICS)
+
+
 def clean_telematics(telematics: DataFrame) -> DataFrame:
     """Events with a vehicle, valid position and speed; a missing time is kept."""
-    return keep_valid(conform(telematics, schemas.TELEMATICS), TELEMATICS_CHECKS)
+    return keep_valid(type_telematics(telematics), TELEMATICS_CHECKS)
 
 
 def clean_images(images: DataFrame, labelled: bool = False) -> DataFrame:
@@ -173,9 +180,9 @@ def insured(policies: DataFrame, customers: DataFrame | None) -> DataFrame:
     return enrich(policies, role(customers, {"cust_id": "customer_id", **{c: c for c in CUSTOMER_COLUMNS}}), ["cust_id"])
 
 
-def claim_policy_customer(claims: DataFrame, policies: DataFrame, customers: DataFrame) -> DataFrame:
-    """Claims that have a policy, with policy and, where known, customer."""
-    dimension = insured(policies, customers).select(
+def claim_policy(claims: DataFrame, insured: DataFrame) -> DataFrame:
+    """Claims that have a policy, with policy and, where known, customer (``insured``)."""
+    dimension = insured.select(
         "_policy",
         "chassis_no",
         "premium",
@@ -188,6 +195,11 @@ def claim_policy_customer(claims: DataFrame, policies: DataFrame, customers: Dat
     return facts.join(dimension, facts["policy_no"] == dimension["_policy"], "inner").drop("_policy")
 
 
+def claim_policy_customer(claims: DataFrame, policies: DataFrame, customers: DataFrame) -> DataFrame:
+    """Claims that have a policy, with policy and, where known, customer."""
+    return claim_policy(claims, insured(policies, customers))
+
+
 def claim_telematics(joined: DataFrame, vehicles: DataFrame) -> DataFrame:
     """The joined claims with the driving summary of the vehicle."""
     return enrich(joined, vehicles, ["chassis_no"])
@@ -249,17 +261,25 @@ def decision_base(
 ) -> DataFrame:
     """Every claim with policy, customer and best prediction, where there are any.
 
-    The prediction comes first: claims and roll-up may both be partitioned by claim.
     ``customers`` and ``rollup`` may be left out, their columns are NULL then.
     """
+    return insured_claims(claims, insured(policies, customers), rollup)
+
+
+def insured_claims(claims: DataFrame, insured: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
+    """Every claim with its insured policy and best prediction, where there are any.
+
+    The policy comes first: claims and insured policies may both be bucketed by policy.
+    """
     facts = role(claims, INCIDENT).select("*", *[F.lit(None).cast("string").alias(c) for c in UNKNOWN])
     predicted = {c: t for c, t in schemas.CLAIM_PREDICTIONS.items() if c not in ("claim_no", "chassis_no")}
+    dimension = insured.drop("cust_id", "address")
+    joined = facts.join(dimension, facts["policy_no"] == dimension["_policy"], "left").drop("_policy")
     if rollup is None:
-        facts = facts.select("*", *[F.lit(None).cast(t).alias(c) for c, t in predicted.items()])
+        joined = joined.select("*", *[F.lit(None).cast(t).alias(c) for c, t in predicted.items()])
     else:
-        facts = enrich(facts, rollup.select("claim_no", *predicted), ["claim_no"])
-    dimension = insured(policies, customers).drop("cust_id", "address")
-    return facts.join(dimension, facts["policy_no"] == dimension["_policy"], "left").drop("_policy")
+        joined = enrich(joined, rollup.select("claim_no", *predicted), ["claim_no"])
+    return joined.select(*facts.columns, *predicted, *[c for c in dimension.columns if c != "_policy"])
 
 
 # --- decisions ----------------------------------------------------------------
@@ -323,28 +343,63 @@ def bronze(spark: SparkSession, landing: dict[str, str], layer: Layer) -> None:
         expect_types(vectors, {"image_name": "string", "vector": "array<double>"})
 
 
+# What makes a silver table of a bronze one: columns, checks, and the columns its rows are dealt by where joins want it.
+SILVER = {
+    "customers_clean": ("customers", derive_customers, CUSTOMER_CHECKS, None),
+    "policies_clean": ("policies", type_policies, POLICY_CHECKS, None),
+    "claims_clean": ("claims", type_claims, CLAIM_CHECKS, "policy_no"),
+    "telematics_clean": ("telematics", type_telematics, TELEMATICS_CHECKS, None),
+}
+
+
+def buckets(df: DataFrame, key: str) -> tuple[int, list[str]] | None:
+    """How to deal a table into buckets by ``key``: not at all if a key holds more rows than a bucket should.
+
+    Joins of bucketed tables need no exchange, but Spark can't split a bucket with a hot key.
+    """
+    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return None if hot_keys(df, key, max(2 / count, 0.001)) else (count, [key])
+
+
 def silver(raw: Layer, clean: Layer) -> None:
-    steps = {
-        "customers_clean": (clean_customers, "customers"),
-        "policies_clean": (clean_policies, "policies"),
-        "claims_clean": (clean_claims, "claims"),
-        "telematics_clean": (clean_telematics, "telematics"),
-        "claim_images_metadata_clean": (clean_metadata, "claim_images_metadata"),
-    }
-    for table, (step, source) in steps.items():
-        clean.write(step(raw.read(source)), table, evolve=False)
-    for source, table, labelled in (("training_imgs", "training_images", True), ("claim_images", "claim_images", False)):
+    """Cleaned tables; audits and rejects are counted while the rows are written."""
+    for table, (source, derive, checks, key) in SILVER.items():
+        figures = audits.audit_figures(table) | {"filas": n_rows()}
+        rejects = Observation(f"rejects_{uuid.uuid4().hex}")
+        rows = derive(raw.read(source)).observe(rejects, *reject_figures(checks))
+        valid = keep_valid(rows, checks)
+        dealt = buckets(raw.read(source), key) if key and clean.root is None else None
+        if dealt:
+            valid = valid.repartition(dealt[0], key)
+        clean.write(valid, table, evolve=False, bucket_by=dealt, figures=figures)
+        clean.rejects[table] = rejects.get
+    images = (("training_imgs", "training_images", True), ("claim_images", "claim_images", False))
+    steps = [(source, table, lambda df, labelled=labelled: clean_images(df, labelled)) for source, table, labelled in images]
+    for source, table, step in [("claim_images_metadata", "claim_images_metadata_clean", clean_metadata), *steps]:
         if raw.exists(source):
-            clean.write(clean_images(raw.read(source), labelled), table, evolve=False)
+            figures = audits.audit_figures(table) | {"filas": n_rows()}
+            clean.write(step(raw.read(source)), table, evolve=False, figures=figures)
 
 
 def audit(clean: Layer, out: Layer) -> DataFrame:
-    """Every audit figure of the silver tables that are there, and their claims without a policy."""
-    tables = {t: clean.read(t) for t in audits.SILVER_PROBLEMS if clean.exists(t)}
-    figures = audits.audit_tables(tables)
+    """Every audit figure of the silver tables that are there, and their claims without a policy.
+
+    Figures counted while a table was written are taken as they are; only tables written by another run are scanned.
+    """
+    counted = {t: clean.figures[t] for t in audits.SILVER_PROBLEMS if t in clean.figures}
+    tables = {t: clean.read(t) for t in audits.SILVER_PROBLEMS if t not in counted and clean.exists(t)}
+    figures = [(t, check, found[check]) for t, found in counted.items() for check in audits.SILVER_PROBLEMS[t]]
+    parts = [literal_rows(clean.spark, audits.FIGURES, figures), *([audits.audit_tables(tables)] if tables else [])]
     lost = orphans(clean.read("claims_clean"), "policy_no", clean.read("policies_clean"), "POLICY_NO")
     row = lost.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n"))
-    return out.write(figures.unionByName(row.selectExpr("'claims_clean' AS table_name", "'sin_poliza' AS check_name", "n")), "silver_audit")
+    parts.append(row.selectExpr("'claims_clean' AS table_name", "'sin_poliza' AS check_name", "n"))
+    return out.write(reduce(DataFrame.unionByName, parts), "silver_audit")
+
+
+def rejected(clean: Layer, out: Layer) -> DataFrame:
+    """(table_name, check_name, n): rows that broke each check when the silver tables were written, and all rows read."""
+    found = [(t, check, n) for t, counts in clean.rejects.items() for check, n in counts.items()]
+    return out.write(literal_rows(clean.spark, audits.FIGURES, found), "silver_rejects")
 
 
 def predict(raw: Layer, clean: Layer, out: Layer) -> None:
@@ -361,11 +416,17 @@ def gold(clean: Layer, out: Layer) -> dict[str, DataFrame]:
         clean.read(t) for t in ("claims_clean", "policies_clean", "customers_clean", "claim_images_metadata_clean")
     )
     vehicles = out.write(telematics_by_vehicle(clean.read("telematics_clean")), "aggregated_telematics", evolve=False)
-    joined = out.write(claim_policy_customer(claims, policies, customers), "customer_claim_policy", evolve=False)
+    dimension = insured(policies, customers)
+    dealt = buckets(policies, "POLICY_NO") if out.root is None else None
+    if dealt:
+        dimension = dimension.repartition(dealt[0], "_policy")
+    # Both joins of the claims read it.
+    dimension = out.write(dimension, "insured_policies", bucket_by=dealt and (dealt[0], ["_policy"]))
+    joined = out.write(claim_policy(claims, dimension), "customer_claim_policy", evolve=False)
     driven = out.write(claim_telematics(joined, vehicles), "customer_claim_policy_telematics", evolve=False)
     predictions = out.read_or_empty("claim_images_predictions", schemas.PREDICTIONS)
     best = out.write(prediction_rollup(predictions, metadata), "claim_predictions")
-    decided = out.write(decide(decision_base(claims, policies, customers, best)), "claim_insights_final")
+    decided = out.write(decide(insured_claims(claims, dimension, best)), "claim_insights_final")
     return {
         "aggregated_telematics": vehicles,
         "customer_claim_policy": joined,
@@ -380,4 +441,4 @@ def run(spark: SparkSession, landing: dict[str, str], root: str | None = None) -
     silver(raw, clean)
     audited = audit(clean, out)
     predict(raw, clean, out)
-    return gold(clean, out) | {"silver_audit": audited}
+    return gold(clean, out) | {"silver_audit": audited, "silver_rejects": rejected(clean, out)}
