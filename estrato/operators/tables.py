@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from estrato.operators.dedup import unique_on
@@ -89,6 +89,47 @@ def as_of(
     return last.filter(~F.coalesce(F.col(f"_last.`{deleted}`"), F.lit(False))).select(*keys, *[F.col(f"_last.`{c}`").alias(c) for c in values])
 
 
+def intervals(
+    log: DataFrame, keys: Sequence[str], block: Column, version: str = "version", deleted: str = "deleted"
+) -> DataFrame:
+    """The log of row changes as rows with the time they are valid: from ``valid_from`` until before ``valid_to``.
+
+    ``log`` is as in ``as_of``.  The last state of a key has no ``valid_to``; a deletion ends the state before it.
+    ``block`` is a coarse version (a month of a time, a thousand of numbers) that grows with the version.  The next
+    change of a row is looked for within the key's block, and only for the last row of a block in the blocks behind
+    it, so that a hot key is no more rows in one task than a block holds of it, and one row per block.
+
+    Partitioned by ``with_ends``, the table is read as of a version by ``valid_at``, which skips the folders of all
+    states that had ended before.
+    """
+    values = [c for c in log.columns if c not in (*keys, version, deleted)]
+    state = F.max(F.struct(F.coalesce(F.col(deleted), F.lit(False)).alias("gone"), deleted, *values)).alias("_state")
+    changes = log.groupBy(*keys, block.alias("_block"), version).agg(state)
+    firsts = changes.groupBy(*keys, "_block").agg(F.min(version).alias("_first"))
+    behind = Window.partitionBy(*keys).orderBy("_block")
+    later = firsts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_block").alias("_b"), F.lead("_first").over(behind).alias("_later"))
+    within = Window.partitionBy(*keys, "_block").orderBy(version)
+    nexts = changes.withColumn("_next", F.lead(version).over(within))
+    same = F.col("_b").eqNullSafe(F.col("_block"))
+    for i, k in enumerate(keys):
+        same &= F.col(f"_k{i}").eqNullSafe(F.col(k))
+    joined = nexts.join(later, same, "left").withColumn("valid_to", F.coalesce("_next", "_later"))
+    kept = [F.col(f"_state.`{c}`").alias(c) for c in values]
+    return joined.filter("NOT _state.gone").select(*keys, *kept, F.col(version).alias("valid_from"), "valid_to")
+
+
+def with_ends(rows: DataFrame, block: Callable[[Column], Column], last) -> DataFrame:
+    """Intervals with ``ends``, the block of their end, to partition a table by; ``last`` stands for no end."""
+    return rows.withColumn("ends", F.coalesce(block(F.col("valid_to")), F.lit(last)))
+
+
+def valid_at(rows: DataFrame, at, block: Callable[[Column], Column]) -> DataFrame:
+    """Rows of a table of intervals that are valid at a version; only folders that end later are read."""
+    at = at if isinstance(at, Column) else F.lit(at)
+    valid = rows.filter((F.col("ends") >= block(at)) & (F.col("valid_from") <= at) & (F.col("valid_to").isNull() | (F.col("valid_to") > at)))
+    return valid.drop("valid_from", "valid_to", "ends")
+
+
 def _as_table(rows: DataFrame, table: DataFrame) -> DataFrame:
     """Rows with the table's columns; absent ones are NULL, a column that the table has not raises ``ValueError``."""
     unknown = sorted({c.lower() for c in rows.columns} - {c.lower() for c in table.columns})

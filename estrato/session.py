@@ -40,9 +40,21 @@ def shared_root(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
 
+def _delete(spark: SparkSession, path: str, at_exit: bool = False) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if at_exit:
+        files.mkdirs(place)
+        files.deleteOnExit(place)
+    else:
+        files.delete(place, True)
+
+
 def new_shared_folder(spark: SparkSession) -> str:
-    """A fresh path for written tables below the shared folder."""
-    return f"{shared_root(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    """A fresh path for written tables below the shared folder; what is left of them goes when the application ends."""
+    own = f"{shared_root(spark).rstrip('/')}/tables-{spark.sparkContext.applicationId}"
+    _delete(spark, own, at_exit=True)
+    return f"{own}/cut-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -50,3 +62,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = new_shared_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_cut(df: DataFrame) -> None:
+    """Delete a table made by ``cut_lineage`` that nothing will read again."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/cut-" in folder:
+            _delete(df.sparkSession, folder)
