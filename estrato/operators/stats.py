@@ -30,32 +30,69 @@ def _real(column: str):
     return F.when(~F.isnan(x), x)
 
 
-def profile(df: DataFrame, columns: Sequence[str] | None = None, quartiles: bool = False) -> DataFrame:
-    """One row per column: values, NULLs, NaNs; mean, deviation, min, max of numbers.
+def profile(df: DataFrame, columns: Sequence[str] | None = None, error: float = 0.001) -> DataFrame:
+    """One row per column: values, NULLs, NaNs; mean, deviation, extremes and quartiles of numbers; extremes of text.
 
-    All columns share one aggregate.  ``quartiles`` adds approximate quartiles
-    from a sketch of bounded size.
+    All columns share one aggregate.  The quartiles come from sketches of bounded size, with the given error of ranks.
     """
     numeric = set(numeric_columns(df))
     floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     columns = list(columns or df.columns)
-    measures: dict[str, list] = {}
-    for c in columns:
+    names = ["n_values", "n_null", "n_nan", "mean", "std", "min_value", "max_value", "min_text", "max_text", "n", "sketch"]
+    measures = []
+    for i, c in enumerate(columns):
         col, x = F.col(f"`{c}`"), _real(c) if c in numeric else F.lit(None).cast("double")
-        measures[c] = [
-            F.count(col).alias("n_values"),
-            F.count_if(col.isNull()).alias("n_null"),
-            (F.count_if(F.isnan(col)) if c in floats else F.lit(0).cast("bigint")).alias("n_nan"),
-            stable_mean(x, 6).alias("mean"),
-            stable_round(F.stddev_samp(x), 6).alias("std"),
-            F.min(x).alias("min_value"),
-            F.max(x).alias("max_value"),
+        text = col if c in texts else F.lit(None).cast("string")
+        found = [
+            F.count(col),
+            F.count_if(col.isNull()),
+            F.count_if(F.isnan(col)) if c in floats else F.lit(0).cast("bigint"),
+            stable_mean(x, 6),
+            stable_round(F.stddev_samp(x), 6),
+            F.min(x),
+            F.max(x),
+            F.min(text),
+            F.max(text),
+            F.count(x),
+            quantile_sketch(x, error) if c in numeric else F.lit(None).cast("binary"),
         ]
-        if quartiles:
-            q = F.percentile_approx(x, [0.25, 0.5, 0.75], SKETCH)
-            measures[c] += [F.get(q, F.lit(i)).alias(n) for i, n in enumerate(("q1", "median", "q3"))]
-    row = df.agg(*[F.struct(F.lit(c).alias("column_name"), *m).alias(f"p{i}") for i, (c, m) in enumerate(measures.items())])
-    return row.select(F.inline(F.array(*[F.col(f"p{i}") for i in range(len(columns))])))
+        measures.append(F.struct(F.lit(c).alias("column_name"), *[m.alias(n) for m, n in zip(found, names)]).alias(f"p{i}"))
+    rows = df.agg(*measures).select(F.inline(F.array(*[F.col(f"p{i}") for i in range(len(columns))])))
+    quartiles = [_of_sketch("sketch", q, F.col("n")).alias(n) for n, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))]
+    return rows.select("column_name", *names[:-2], *quartiles)
+
+
+def quantile_sketch(x: Column, error: float = 0.01) -> Column:
+    """Aggregate: a mergeable sketch of numbers of bounded size; NULL and NaN are left out.
+
+    Ranks of its quantiles are off by about ``error``; up to ``sketch_size`` values they are exact.
+    """
+    return F.kll_sketch_agg_double(x, F.lit(sketch_size(error)))
+
+
+def sketch_size(error: float) -> int:
+    return max(8, min(65_535, math.ceil(4 / error)))
+
+
+def _of_sketch(sketch: str, q: float, n: Column) -> Column:
+    """The smallest value that a share ``q`` of the values does not exceed; NULL of none."""
+    return F.when(n > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(q)))
+
+
+def sketched(df: DataFrame, by: Sequence[str], columns: Sequence[str], error: float = 0.01) -> DataFrame:
+    """(by..., column_name, n, sketch): one sketch per group and column, to be stored and merged later."""
+    found = [F.struct(F.lit(c).alias("column_name"), F.count(_real(c)).alias("n"), quantile_sketch(_real(c), error).alias("sketch")).alias(f"s{i}") for i, c in enumerate(columns)]
+    wide = df.groupBy(*by).agg(*found)
+    return wide.select(*by, F.inline(F.array(*[F.col(f"s{i}") for i in range(len(columns))])))
+
+
+def merged_quantiles(sketches: DataFrame, quantiles: Sequence[float] = (0.25, 0.5, 0.75), error: float = 0.01) -> DataFrame:
+    """(column_name, n, q, value) over all groups of a table of ``sketched`` that a filter has left: no row is read again."""
+    some = sketches.filter("n > 0").groupBy("column_name")
+    merged = some.agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", F.lit(sketch_size(error))).alias("sketch"))
+    each = [F.struct(F.lit(float(q)).alias("q"), _of_sketch("sketch", q, F.col("n")).alias("value")) for q in quantiles]
+    return merged.select("column_name", "n", F.inline(F.array(*each)))
 
 
 def correlations(df: DataFrame, columns: Sequence[str] | None = None, scale: int = 6) -> DataFrame:
@@ -239,7 +276,8 @@ def iqr_outliers(df: DataFrame, column: str, k: float = 1.5, error: float = 0.05
         q = exact_quantiles(df, {column: [0.25, 0.75]})
         q1, q3 = [F.lit(r["value"]) for r in q.orderBy("q").collect()]
     else:
-        q = df.agg(F.percentile_approx(x, [0.25, 0.75], math.ceil(1 / error)).alias("q")).scalar()
+        row = df.agg(F.count(x).alias("n"), quantile_sketch(x, error).alias("s"))
+        q = row.select(F.array(*[_of_sketch("s", p, F.col("n")) for p in (0.25, 0.75)]).alias("q")).scalar()
         q1, q3 = q[0], q[1]
     margin = (q3 - q1) * k
     return df.filter((x < q1 - margin) | (x > q3 + margin))

@@ -45,7 +45,7 @@ def test_quantiles_of_nothing(spark):
 
 def test_profile(spark):
     df = spark.createDataFrame([(1, 1.0, "a"), (2, float("nan"), None), (None, 3.0, "c")], "i int, d double, s string")
-    out = {r.column_name: r for r in stats.profile(df, quartiles=True).collect()}
+    out = {r.column_name: r for r in stats.profile(df).collect()}
     assert (out["i"].n_values, out["i"].n_null, out["i"].n_nan, out["i"].mean) == (2, 1, 0, 1.5)
     assert (out["d"].n_values, out["d"].n_null, out["d"].n_nan, out["d"].mean, out["d"].std) == (3, 0, 1, 2.0, 1.414214)
     assert (out["s"].n_values, out["s"].n_null, out["s"].mean, out["s"].min_value) == (2, 1, None, None)
@@ -109,3 +109,34 @@ def test_correlations_of_many_columns(spark):
 def test_histogram_leaves_infinities_out(spark):
     df = spark.createDataFrame([(float(i),) for i in range(10)] + [(math.inf,), (-math.inf,), (math.nan,), (None,)], "v double")
     assert [r.n for r in reports.histogram(df, "v", 3).orderBy("bin").collect()] == [3, 3, 4]
+
+
+@pytest.mark.parametrize("parts", [1, 13])
+def test_merged_sketches_keep_the_error_of_ranks(spark, parts):
+    draw = random.Random(3)
+    table = [(i % 20, draw.choice([draw.gauss(0, 1), draw.random() ** 9 * 1000, 5.0])) for i in range(60_000)]
+    df = spark.createDataFrame(table, "g int, x double").repartition(parts)
+    sketches = stats.sketched(df, ["g"], ["x"], error=0.02)
+    assert sketches.count() == 20 and max(len(r.sketch) for r in sketches.collect()) < 20_000
+    for chosen in (range(20), range(0, 20, 3), [7]):
+        found = {r.q: r for r in stats.merged_quantiles(sketches.filter(F.col("g").isin(list(chosen))), error=0.02).collect()}
+        values = np.sort([x for g, x in table if g in chosen])
+        for q, row in found.items():
+            low, high = np.searchsorted(values, row.value, "left") / len(values), np.searchsorted(values, row.value, "right") / len(values)
+            assert row.n == len(values) and low - 0.05 <= q <= high + 0.05
+
+
+def test_outliers_by_sketch_are_those_within_the_error(spark):
+    values = [float(i) for i in range(20_000)] + [1e6, -1e6]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert sorted(r.x for r in stats.iqr_outliers(df, "x").collect()) == [-1e6, 1e6]
+    assert stats.iqr_outliers(df.filter("false"), "x").count() == 0
+
+
+def test_sketches_of_nothing(spark):
+    df = spark.createDataFrame([(1, None), (1, float("nan")), (2, 3.0)], "g int, x double")
+    sketches = stats.sketched(df, ["g"], ["x"])
+    assert {r.g: r.n for r in sketches.collect()} == {1: 0, 2: 1}
+    assert [tuple(r) for r in stats.merged_quantiles(sketches, [0.5]).collect()] == [("x", 1, 0.5, 3.0)]
+    assert stats.merged_quantiles(sketches.filter("g = 1")).count() == 0
+    assert stats.profile(df.filter("false")).filter("column_name = 'x'").first().median is None
