@@ -44,3 +44,40 @@ NO_PREDICTION = "Sin predicción"
 NO_LEVEL = "sin datos"
 NO_DECISION = "SIN DECISIÓN"
 NO_MONTH = "NaT"
+
+# Names of what a prediction says about the reported severity.
+COHERENT = "Coherente"
+INCOHERENT = "Incoherente"
+
+# Claim columns that others have replaced.
+SUPERSEDED_CLAIM_COLUMNS = ("date", "date_1", "date_2")
+
+# Policy columns under the names of the joined tables.
+POLICY_COLUMNS = {
+    "_policy": "POLICY_NO",
+    "cust_id": "CUST_ID",
+    "chassis_no": "CHASSIS_NO",
+    "premium": "PREMIUM",
+    "policy_start": "POL_EFF_DATE",
+    "policy_end": "POL_EXPIRY_DATE",
+    "auto_make": "MAKE",
+    "auto_model": "MODEL",
+    "auto_year": "MODEL_YEAR",
+}
+
+# Claim columns under the names of the decision table, and columns it has that no source fills.
+INCIDENT = {
+    "claim_no": "claim_no",
+    "policy_no": "policy_no",
+    "claim_date": "claim_date",
+    "incident_date": "claim_date",
+    "claim_total": "total",
+    "incident_type": "type",
+    "collision_type": "collision_type",
+    "incident_severity": "severity",
+    "incident_hour": "hour",
+    "number_of_vehicles_involved": "number_of_vehicles_involved",
+    "bodily_injuries": "injury",
+    "witnesses": "number_of_witnesses",
+}
+UNKNOWN = ("authorities_contacted", "police_report_available")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +37,34 @@ def domain_counts(df: DataFrame, column: str, values: Sequence[str]) -> DataFram
     return domain_rows(row, column, values, {"n": cells})
 
 
+def panels(
+    df: DataFrame, sets: dict[str, Sequence[str]], measures: dict[str, Column], required: Collection[str] = ()
+) -> DataFrame:
+    """Many grouped panels in one pass: (panel, key, other, measures...), a row per group of every panel.
+
+    ``sets`` names the one or two columns that each panel groups by (none: one row for all rows).  All are grouping
+    sets of one aggregate, combined before its only shuffle.  Keys are text; a panel in ``required`` leaves out groups
+    without a first key.
+    """
+    columns = list(dict.fromkeys(c for s in sets.values() for c in s))
+    # Spark numbers a grouping set by the columns that it leaves out.
+    number = {n: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in s) for n, s in sets.items()}
+    if len(set(number.values())) < len(sets):
+        raise ValueError("two panels group by the same columns")
+    grouped = df.groupingSets([[F.col(c) for c in s] for s in sets.values()], *columns)
+    found = grouped.agg(F.grouping_id().alias("_set"), *[m.alias(n) for n, m in measures.items()])
+
+    def of_set(values: dict[str, Column]) -> Column:
+        out = F
+        for name, value in values.items():
+            out = out.when(F.col("_set") == number[name], value)
+        return out.otherwise(None) if values else F.lit(None)
+
+    keys = [of_set({n: F.col(s[i]).cast("string") for n, s in sets.items() if len(s) > i}).cast("string") for i in range(2)]
+    long = found.select(of_set({n: F.lit(n) for n in sets}).alias("panel"), keys[0].alias("key"), keys[1].alias("other"), *measures)
+    return long.filter(~F.col("panel").isin(*required) | F.col("key").isNotNull()) if required else long
+
+
 def sum_by(df: DataFrame, by: str, measure: str, scale: int = 2) -> DataFrame:
     """Sum per group, smallest first; a NULL group is left out, NULL values add 0."""
     sums = exact_sums(require(df, by), [by], {"total": measure})

@@ -11,20 +11,30 @@ from pyspark.sql import functions as F
 
 from estrato import schemas
 from estrato.fixed import (
+    COHERENT,
     DECISIONS,
     HEAVY_SEVERITIES,
+    INCIDENT,
+    INCOHERENT,
     LIGHT_DAMAGE,
+    NO_DECISION,
+    NO_LEVEL,
+    NO_PREDICTION,
+    POLICY_COLUMNS,
     PREMIUM_MULTIPLE,
     REASONS,
     RELIABLE_LEVELS,
+    SUPERSEDED_CLAIM_COLUMNS,
+    UNKNOWN,
 )
-from estrato.functions.dates import parse_date
-from estrato.functions.numbers import stable_round
+from estrato.functions.dates import month_label, parse_date
+from estrato.functions.numbers import stable_round, stable_sum
 from estrato.functions.text import file_label, file_name, join_text, split_name
 from estrato.operators.aggregates import entity_summary, n_rows
 from estrato.operators.dedup import dedup_by
 from estrato.operators.joins import enrich, hot_keys, orphans
 from estrato.operators.quality import expect_types, reject_figures
+from estrato.operators.reports import panels
 from estrato.operators.rules import Rule, apply_rules
 from estrato.operators.shape import Check, conform, keep_valid, role
 from estrato.plans import audits
@@ -73,7 +83,6 @@ METADATA_CHECKS = (
     Check("image_name", "image_name IS NOT NULL"),
     Check("claim_no", "claim_no IS NOT NULL"),
 )
-SUPERSEDED_CLAIM_COLUMNS = ("date", "date_1", "date_2")
 
 
 def derive_customers(customers: DataFrame) -> DataFrame:
@@ -153,17 +162,6 @@ def telematics_by_vehicle(telematics: DataFrame) -> DataFrame:
     )
 
 
-POLICY_COLUMNS = {
-    "_policy": "POLICY_NO",
-    "cust_id": "CUST_ID",
-    "chassis_no": "CHASSIS_NO",
-    "premium": "PREMIUM",
-    "policy_start": "POL_EFF_DATE",
-    "policy_end": "POL_EXPIRY_DATE",
-    "auto_make": "MAKE",
-    "auto_model": "MODEL",
-    "auto_year": "MODEL_YEAR",
-}
 CUSTOMER_COLUMNS = ("first_name", "last_name", "date_of_birth", "address")
 
 
@@ -234,25 +232,6 @@ def prediction_rollup(predictions: DataFrame, metadata: DataFrame) -> DataFrame:
     )
 
 
-# Claim columns under the names of the decision table.
-INCIDENT = {
-    "claim_no": "claim_no",
-    "policy_no": "policy_no",
-    "claim_date": "claim_date",
-    "incident_date": "claim_date",
-    "claim_total": "total",
-    "incident_type": "type",
-    "collision_type": "collision_type",
-    "incident_severity": "severity",
-    "incident_hour": "hour",
-    "number_of_vehicles_involved": "number_of_vehicles_involved",
-    "bodily_injuries": "injury",
-    "witnesses": "number_of_witnesses",
-}
-# Columns the decision table has, but no source fills.
-UNKNOWN = ("authorities_contacted", "police_report_available")
-
-
 def decision_base(
     claims: DataFrame,
     policies: DataFrame,
@@ -319,6 +298,57 @@ def decide(base: DataFrame) -> DataFrame:
     return apply_rules(base, CLAIM_RULES, DECISIONS)
 
 
+# --- panels -----------------------------------------------------------------------
+
+PANELS = {
+    "severity_counts": ["incident_severity"],
+    "loss_by_type": ["incident_type"],
+    "claims_by_hour": ["incident_hour"],
+    "loss_by_make": ["auto_make"],
+    "claims_by_month": ["_month"],
+    "prediction_counts": ["_label"],
+    "confidence_share": ["_level"],
+    "coherence_share": ["_coherent"],
+    "decision_share": ["_decision"],
+    "label_decision_crosstab": ["damage_label", "decision_final"],
+    "all_claims": [],
+}
+# Panels that have no row for claims without their key.
+_KEYED = ("severity_counts", "loss_by_type", "claims_by_hour", "loss_by_make", "label_decision_crosstab")
+
+
+def claim_panels(decided: DataFrame) -> DataFrame:
+    """All panels that count or add claims, in long form: (panel, key, other, n, total, failed).
+
+    One pass over the written decision table: ``n`` claims, their ``total`` amount and the rules they ``failed``.  The
+    claims failing each rule, and those with a prediction and with a reliable one, are rows of panels of their own.
+    """
+    labels = {
+        "_month": month_label(F.col("claim_date"), "NaT"),
+        "_label": F.coalesce("damage_label", F.lit(NO_PREDICTION)),
+        "_level": F.coalesce("confidence_level", F.lit(NO_LEVEL)),
+        "_coherent": F.when(F.coalesce("r5_coherencia_severidad", F.lit(True)), COHERENT).otherwise(INCOHERENT),
+        "_decision": F.coalesce("decision_final", F.lit(NO_DECISION)),
+    }
+    extra = {("rule_failures", r.name): r.failed() for r in CLAIM_RULES} | {
+        ("prediction_coverage", "with_prediction"): F.col("damage_label").isNotNull(),
+        ("prediction_coverage", "without_prediction"): F.col("damage_label").isNull(),
+        ("prediction_coverage", "reliable"): F.coalesce(F.col("confidence_level").isin(*RELIABLE_LEVELS), F.lit(False)),
+        ("prediction_coverage", "not_reliable"): ~F.coalesce(F.col("confidence_level").isin(*RELIABLE_LEVELS), F.lit(False)),
+    }
+    measures = {
+        "n": n_rows(),
+        "total": stable_sum(F.col("claim_total"), 2),
+        "failed": F.coalesce(F.sum("reglas_fallidas"), F.lit(0)).cast("bigint"),
+    }
+    counted = {f"_x{i}": F.count_if(condition) for i, condition in enumerate(extra.values())}
+    long = panels(decided.withColumns(labels), PANELS, measures | counted, _KEYED)
+    own = F.struct("panel", "key", "other", "n", "total", "failed")
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("total", "double"), ("failed", "bigint"))]
+    rows = [F.struct(F.lit(p).alias("panel"), F.lit(k).alias("key"), F.lit(None).cast("string").alias("other"), F.col(f"_x{i}").alias("n"), *none) for i, (p, k) in enumerate(extra)]
+    return long.select(F.inline(F.when(F.col("panel") == "all_claims", F.array(own, *rows)).otherwise(F.array(own))))
+
+
 # --- layers ---------------------------------------------------------------------
 
 CSV_TABLES = {
@@ -432,6 +462,7 @@ def gold(clean: Layer, out: Layer) -> dict[str, DataFrame]:
         "customer_claim_policy": joined,
         "customer_claim_policy_telematics": driven,
         "claim_insights_final": decided,
+        "claim_panels": out.write(claim_panels(decided), "claim_panels"),
     }
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from estrato.fixed import (
+    COHERENT,
     DECISIONS,
+    INCOHERENT,
     NO_DECISION,
     NO_LEVEL,
     NO_PREDICTION,
@@ -12,7 +14,9 @@ from estrato.fixed import (
 )
 from estrato.operators import reports as panel
 from estrato.operators.aggregates import share, top_share
+from estrato.plans import claims as plan
 from estrato.plans.claims import CLAIM_RULES
+from estrato.session import cut_lineage
 from estrato.workload.claims import DECIDED, decided
 from estrato.workload.registry import Tables, mean, pct, query, rounded, summed
 
@@ -122,11 +126,11 @@ def confidence_share(t: Tables):
 
 @query(
     "coherence_share",
-    _share_sql("CASE WHEN r5_coherencia_severidad THEN 'Coherente' ELSE 'Incoherente' END", "coherente"),
+    _share_sql(f"CASE WHEN r5_coherencia_severidad THEN '{COHERENT}' ELSE '{INCOHERENT}' END", "coherente"),
 )
 def coherence_share(t: Tables):
     named = decided(t).selectExpr(
-        "CASE WHEN coalesce(r5_coherencia_severidad, true) THEN 'Coherente' ELSE 'Incoherente' END AS coherente"
+        f"CASE WHEN coalesce(r5_coherencia_severidad, true) THEN '{COHERENT}' ELSE '{INCOHERENT}' END AS coherente"
     )
     return share(named, "coherente", cut=True)
 
@@ -225,3 +229,46 @@ def executive_kpis(t: Tables):
     return panel.executive_kpis(
         decided(t), "decision_final", DECISIONS, "damage_label", "damage_score", "claim_total"
     )
+
+
+# --- all panels at once -----------------------------------------------------------------
+
+
+def _panel(name: str, key: str, other: str = "NULL", condition: str = "TRUE") -> str:
+    return (
+        f"SELECT '{name}' AS panel, CAST({key} AS VARCHAR) AS key, CAST({other} AS VARCHAR) AS other, count(*) AS n, "
+        f"CAST(coalesce({summed('claim_total')}, 0) AS DOUBLE) AS total, CAST(coalesce(sum(reglas_fallidas), 0) AS BIGINT) AS failed "
+        f"FROM decided WHERE {condition} GROUP BY 1, 2, 3"
+    )
+
+
+def _count(name: str, key: str, condition: str) -> str:
+    return (
+        f"SELECT '{name}' AS panel, '{key}' AS key, CAST(NULL AS VARCHAR) AS other, count(*) FILTER ({condition}) AS n, "
+        "CAST(NULL AS DOUBLE) AS total, CAST(NULL AS BIGINT) AS failed FROM decided"
+    )
+
+
+_ALL_PANELS = " UNION ALL ".join(
+    [
+        *[_panel(n, c, condition=f"{c} IS NOT NULL") for n, c in (("severity_counts", "incident_severity"), ("loss_by_type", "incident_type"), ("claims_by_hour", "incident_hour"), ("loss_by_make", "auto_make"))],
+        _panel("claims_by_month", "coalesce(strftime(claim_date, '%Y-%m'), 'NaT')"),
+        _panel("prediction_counts", f"coalesce(damage_label, '{NO_PREDICTION}')"),
+        _panel("confidence_share", f"coalesce(confidence_level, '{NO_LEVEL}')"),
+        _panel("coherence_share", f"CASE WHEN r5_coherencia_severidad THEN '{COHERENT}' ELSE '{INCOHERENT}' END"),
+        _panel("decision_share", f"coalesce(decision_final, '{NO_DECISION}')"),
+        _panel("label_decision_crosstab", "damage_label", "decision_final", "damage_label IS NOT NULL"),
+        _panel("all_claims", "NULL"),
+        *[_count("rule_failures", r.name, f"NOT {r.name}") for r in CLAIM_RULES],
+        _count("prediction_coverage", "with_prediction", "damage_label IS NOT NULL"),
+        _count("prediction_coverage", "without_prediction", "damage_label IS NULL"),
+        _count("prediction_coverage", "reliable", "confidence_level IN ('alta', 'media')"),
+        _count("prediction_coverage", "not_reliable", "confidence_level IS NULL OR confidence_level NOT IN ('alta', 'media')"),
+    ]
+)
+
+
+@query("claim_panels", f"{W} {_ALL_PANELS}")
+def claim_panels(t: Tables):
+    """Every panel that counts or adds, from one scan of the written decision table."""
+    return plan.claim_panels(cut_lineage(decided(t)))

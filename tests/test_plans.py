@@ -55,6 +55,24 @@ def test_image_bytes_stay_out_of_name_queries(spark):
     assert "html" not in plan(names)
 
 
+def test_all_panels_are_one_scan_and_equal_the_single_ones(spark):
+    found = QUERIES["claim_panels"](spark, SMALL)
+    text = plan(found)
+    assert text.count("FileScan") == 1 and text.count("Expand") == 1 and exchanges(text) == 1
+    long = {}
+    for r in found.collect():
+        long.setdefault(r.panel, {})[r.key, r.other] = r
+    single = {n: QUERIES[n](spark, SMALL).collect() for n in ("severity_counts", "claims_by_month", "decision_share", "rule_failures", "prediction_coverage", "loss_by_type", "label_decision_crosstab")}
+    assert {r.incident_severity: r.n for r in single["severity_counts"]}.items() <= {k: r.n for (k, _), r in long["severity_counts"].items()}.items()
+    assert {r.month: r.n for r in single["claims_by_month"]} == {k: r.n for (k, _), r in long["claims_by_month"].items()}
+    assert {r.decision_final: r.n for r in single["decision_share"]} == {k: r.n for (k, _), r in long["decision_share"].items()}
+    assert {r.rule: r.n for r in single["rule_failures"]} == {k: r.n for (k, _), r in long["rule_failures"].items()}
+    assert {r.category: r.n for r in single["prediction_coverage"]} == {k: r.n for (k, _), r in long["prediction_coverage"].items()}
+    assert {r.incident_type: r.total for r in single["loss_by_type"]} == {k: r.total for (k, _), r in long["loss_by_type"].items()}
+    crossed = {(r.damage_label, d): r[d] for r in single["label_decision_crosstab"] for d in ("LIBERADO", "REVISION_MENOR", "INVESTIGAR") if r[d]}
+    assert crossed == {k: r.n for k, r in long["label_decision_crosstab"].items()}
+
+
 def test_all_claims_are_cleaned(spark):
     """Nothing is dropped before the checks, which need no shuffle."""
     t = Tables(spark, SMALL)
