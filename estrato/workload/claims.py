@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from estrato import schemas
 from estrato.operators.joins import join_audit, unpartitioned
+from estrato.operators.quality import reject_figures
+from estrato.operators.shape import keep_valid
 from estrato.plans import claims as plan
+from estrato.plans.audits import FIGURES
+from estrato.session import new_shared_folder
 from estrato.sources.layers import Layer
 from estrato.workload import cleaning
 from estrato.workload.registry import Tables, mean, query, raw, rounded
@@ -152,3 +159,46 @@ def decision_counts(t: Tables):
     return decided(t).groupBy("decision_final").agg(F.count(F.lit(1)).alias("n")).orderBy("decision_final")
 
 
+
+
+@query("star_join_buckets", f"WITH {JOINED} SELECT * FROM joined")
+def star_join_buckets(t: Tables):
+    """Claims and insured policies written bucketed by policy, so that their join has no exchange."""
+    lake = Layer(t.spark, f"estrato_{uuid.uuid4().hex}")
+    count = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    dimension = plan.insured(cleaning.policies(t), cleaning.customers(t)).repartition(count, "_policy")
+    facts = cleaning.claims(t).repartition(count, "policy_no")
+    insured = lake.write(dimension, "insured_policies", bucket_by=(count, ["_policy"]))
+    return plan.claim_policy(lake.write(facts, "claims_clean", bucket_by=(count, ["policy_no"])), insured)
+
+
+_SILVER_SQL = {
+    "customers_clean": ("customers_typed", "date_of_birth IS NOT NULL AND trim(name) <> '' AND first_name <> '' AND last_name <> ''"),
+    "policies_clean": ("policies", "POLICY_NO IS NOT NULL AND CUST_ID IS NOT NULL AND PREMIUM >= 0 AND POL_EFF_DATE <= POL_EXPIRY_DATE"),
+    "claims_clean": ("claims", "claim_no IS NOT NULL AND policy_no IS NOT NULL AND total >= 0 AND age > 0"),
+    "telematics_clean": ("telematics", "chassis_no IS NOT NULL AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND speed >= 0"),
+}
+# A figure of each table that is not 0: rows in it, rows kept out, and rows without an optional value.
+_OPTIONAL = {"customers_clean": "neighborhood IS NULL", "policies_clean": "PREMIUM < 1000", "claims_clean": "claim_date IS NULL", "telematics_clean": "speed > 50"}
+
+
+@query(
+    "written_figures",
+    f"WITH {cleaning.CUSTOMERS}, {cleaning.POLICIES}, {cleaning.CLAIMS}, {cleaning.TELEMATICS} "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, check_name, n FROM (SELECT 'filas' AS check_name, count(*) FILTER ({valid}) AS n FROM {source} UNION ALL "
+        f"SELECT 'any_check', count(*) - count(*) FILTER ({valid}) FROM {source} UNION ALL "
+        f"SELECT 'optional', count(*) FILTER (({valid}) AND ({_OPTIONAL[name]})) FROM {source})"
+        for name, (source, valid) in _SILVER_SQL.items()
+    ),
+)
+def written_figures(t: Tables):
+    """Figures of silver tables, and rows that the checks kept out, counted while the tables are written."""
+    clean, found = Layer(t.spark, "silver", new_shared_folder(t.spark)), []
+    for name, (source, derive, checks, _) in plan.SILVER.items():
+        rejects = Observation(f"rejects_{uuid.uuid4().hex}")
+        rows = derive(t.standin(source)).observe(rejects, *reject_figures(checks))
+        clean.write(keep_valid(rows, checks), name, figures={"filas": F.count(F.lit(1)), "optional": F.count_if(F.expr(_OPTIONAL[name]))})
+        counted = clean.figures[name] | {"any_check": rejects.get["any_check"]}
+        found += [(name, check, n) for check, n in counted.items()]
+    return schemas.literal_rows(t.spark, FIGURES, found)
