@@ -120,6 +120,16 @@ def avg_price_param(t: Tables):
     return out.select(stable_round(F.col("precio_medio"), 4).alias("precio_medio"))
 
 
+@query(
+    "avg_price_frame",
+    f"WITH {raw('productos')} SELECT {mean('precio', 4)} AS precio_medio FROM productos "
+    "WHERE producto = '1-URGENT' AND precio >= 2000",
+)
+def avg_price_frame(t: Tables):
+    out = sales.average_price(t.standin("productos"), "1-URGENT", 2000.0)
+    return out.select(stable_round(F.col("precio_medio"), 4).alias("precio_medio"))
+
+
 @query("distinct_values", f"WITH {raw('productos')} SELECT DISTINCT producto FROM productos")
 def distinct_values(t: Tables):
     return t.standin("productos").select("producto").distinct()

@@ -8,6 +8,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from estrato import schemas
+from estrato.fixed import SEVERITIES
 from estrato.operators.joins import join_audit, unpartitioned
 from estrato.operators.quality import reject_figures
 from estrato.operators.shape import keep_valid
@@ -136,6 +137,36 @@ def optional_predictions(t: Tables):
     return base.select("claim_no", "damage_label", "damage_score", "total_imagenes")
 
 
+@query(
+    "present_predictions",
+    f"WITH {BASE} SELECT claim_no, damage_label, damage_score, confidence_level, total_imagenes FROM base",
+)
+def present_predictions(t: Tables):
+    """The predictions table lies in the layer, so it is joined."""
+    gold = Layer(t.spark, "gold", new_shared_folder(t.spark))
+    gold.write(rollup(t), "claim_predictions")
+    rolled = gold.read_or_empty("claim_predictions", schemas.CLAIM_PREDICTIONS)
+    base = plan.decision_base(cleaning.claims(t), cleaning.policies(t), rollup=rolled)
+    return base.select("claim_no", "damage_label", "damage_score", "confidence_level", "total_imagenes")
+
+
+_WEIGHTS = tuple((v, i + 1) for i, v in enumerate(SEVERITIES))
+
+
+@query(
+    "literal_weights",
+    f"WITH {cleaning.CLAIMS}, w(severity, weight) AS (VALUES {', '.join(str(w) for w in _WEIGHTS)}) "
+    "SELECT severity, CAST(weight AS INTEGER) AS weight, count(claim_no) AS n, CAST(count(claim_no) * weight AS BIGINT) AS weighted "
+    "FROM w LEFT JOIN claims_clean USING (severity) GROUP BY severity, weight",
+)
+def literal_weights(t: Tables):
+    """A table of literal rows joined with counts of claims."""
+    weights = schemas.literal_rows(t.spark, {"severity": "string", "weight": "int"}, _WEIGHTS)
+    found = cleaning.claims(t).groupBy("severity").agg(F.count("claim_no").alias("n"))
+    counted = weights.join(found, "severity", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return counted.withColumn("weighted", F.col("n") * F.col("weight"))
+
+
 @query(
     "image_metadata_coverage",
     f"WITH {raw('predictions')}, {cleaning.METADATA} SELECT (SELECT count(*) FROM predictions) AS left_rows, "
@@ -143,7 +174,8 @@ def optional_predictions(t: Tables):
     "(SELECT count(*) FROM predictions JOIN metadata_clean USING (image_name)) AS joined_rows, "
     "(SELECT count(*) FROM predictions ANTI JOIN metadata_clean USING (image_name)) AS left_unmatched, "
     "(SELECT count(*) FROM metadata_clean ANTI JOIN predictions USING (image_name)) AS right_unmatched, "
-    "CAST(0 AS BIGINT) AS fanout_keys",
+    "(SELECT count(*) FROM (SELECT image_name FROM predictions JOIN metadata_clean USING (image_name) "
+    "GROUP BY image_name HAVING count(DISTINCT metadata_clean.image_id) > 1)) AS fanout_keys",
 )
 def image_metadata_coverage(t: Tables):
     return join_audit(t.standin("predictions"), F.col("image_name"), cleaning.metadata(t), F.col("image_name"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from estrato.functions.numbers import stable_mean, stable_round
+from estrato.functions.numbers import stable_round
 from estrato.operators import labels
 from estrato.operators.aggregates import counts, imbalance, share
 from estrato.operators.classifier import rank_classes
@@ -110,7 +110,8 @@ _SCORED = (
 def scored(t: Tables):
     """Stand-in scores: the label whose mean vector is closest by inner product, and how close it is."""
     entries = t.embeddings.select("label", F.posexplode(F.col("embedding").cast("array<double>")).alias("pos", "x"))
-    means = entries.groupBy("label", "pos").agg(stable_mean(F.col("x"), 6).alias("m"))
+    # Entries have 24 bits, so the sums of doubles are exact here in any order.
+    means = entries.groupBy("label", "pos").agg(stable_round(F.avg("x"), 6).alias("m"))
     centres = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("pos", "m")))["m"].alias("centre"))
     # One row per label, as long as a vector: bounded by the classes, not by the rows.
     every = centres.agg(F.collect_list(F.struct("label", "centre"))).scalar()
@@ -172,19 +173,42 @@ def topk_classes(t: Tables):
     return ranked.select("vec_id", "pos", "class.label", stable_round(F.col("class.score"), 6).alias("score"))
 
 
+# Vectors in which the class shows: the entries of the embedding, and one entry per class behind them.
+_CLASSES = 10
+
+
+def shown_vectors(t: Tables):
+    shown = F.transform(F.sequence(F.lit(0), F.lit(_CLASSES - 1)), lambda c: F.when(c == F.col("label"), 4.0).otherwise(0.0))
+    vector = F.concat(F.col("embedding").cast("array<double>"), shown)
+    return t.embeddings.select(F.concat(F.lit("img_"), F.col("vec_id").cast("string")).alias("image_name"), "label", vector.alias("vector"))
+
+
 @query(
     "classifier_predictions",
-    "SELECT vec_id AS image_name, TRUE AS known_label, TRUE AS level_fits, TRUE AS score_is_probability FROM embeddings",
+    "SELECT 'img_' || CAST(vec_id AS VARCHAR) AS image_name, CAST(label AS VARCHAR) AS damage_label, 'alta' AS confidence_level, "
+    "TRUE AS is_reliable, TRUE AS score_fits FROM embeddings",
 )
 def classifier_predictions(t: Tables):
-    """What is certain of a fitted model: every row once, a known label, a level that fits its score."""
-    predictions, _ = training.train_and_predict(t.embeddings, "vec_id", "embedding", "label")
-    score, level = F.col("damage_score"), F.col("confidence_level")
-    known = t.embeddings.agg(F.collect_set(F.col("label").cast("string"))).scalar()
-    fits = F.when(score >= 0.8, level == "alta").when(score >= 0.5, level == "media").otherwise(level == "baja")
-    return predictions.select(
-        "image_name",
-        F.array_contains(known, F.col("damage_label")).alias("known_label"),
-        (fits & (F.col("is_reliable") == (score >= 0.5))).alias("level_fits"),
-        score.between(0, 1).alias("score_is_probability"),
+    """Predictions of a fitted model on vectors in which the class shows: it has to find it everywhere, and be sure."""
+    predictions, _ = training.train_and_predict(shown_vectors(t), "image_name", "vector", "label")
+    return predictions.select("image_name", "damage_label", "confidence_level", "is_reliable", F.col("damage_score").between(0.8, 1.0).alias("score_fits"))
+
+
+@query(
+    "classifier_hit_rate",
+    "SELECT CAST(count(*) AS BIGINT) AS n, TRUE AS above_chance, TRUE AS finds_most_classes FROM embeddings "
+    "WHERE md5('42|' || CAST(vec_id AS VARCHAR)) < '33333333'",
+)
+def classifier_hit_rate(t: Tables):
+    """Which of its first five entries is a vector's largest: held out rows are hit twice as often as by chance at least."""
+    first = F.transform(F.slice("embedding", 1, 5), lambda x: x.cast("double"))
+    rows = t.embeddings.select("vec_id", "embedding", F.array_position(first, F.array_max(first)).alias("label"))
+    _, found = training.train_and_predict(rows, "vec_id", "embedding", "label")
+    every, single = F.col("label") == "(all)", F.col("label") != "(all)"
+    row = found.agg(
+        F.max(F.when(every, F.col("n"))).alias("n"),
+        F.max(F.when(every, F.col("accuracy"))).alias("rate"),
+        F.count_if(single).alias("classes"),
+        F.count_if(single & (F.col("accuracy") > 0)).alias("found"),
     )
+    return row.select("n", (F.col("rate") > 2 / F.col("classes")).alias("above_chance"), (F.col("found") > F.col("classes") / 2).alias("finds_most_classes"))

@@ -61,24 +61,44 @@ def table_restore(t: Tables):
     return customers_snapshots(t).read()
 
 
+_PER_FILE = 100
+
+
 @query(
     "binary_files",
-    "SELECT n_nationkey, 'txt' AS extension, CAST(length(n_name) + 1 AS BIGINT) AS length, n_name AS content FROM nation",
+    f"SELECT c_custkey // {_PER_FILE} AS block, 'txt' AS extension, CAST(sum(strlen(c_name) + 1) AS BIGINT) AS length, "
+    f"sha256(string_agg(c_name || chr(10), '' ORDER BY c_custkey)) AS sha256 FROM customer GROUP BY 1",
 )
 def binary_files(t: Tables):
-    """One file per nation, read back as binary rows: name, size and bytes."""
-    path = f"{new_shared_folder(t.spark)}/nation"
-    t.nation.select(F.col("n_name").alias("value"), "n_nationkey").write.partitionBy("n_nationkey").text(path)
+    """Files of the names of a hundred customers each, read back as binary rows: name, size and bytes."""
+    path = f"{new_shared_folder(t.spark)}/customer"
+    lines = t.customer.select(F.col("c_name").alias("value"), F.expr(f"c_custkey div {_PER_FILE}").alias("block"), "c_custkey")
+    # A block is one file of one task, its lines in order.
+    lines = lines.repartition("block").sortWithinPartitions("block", "c_custkey").drop("c_custkey")
+    lines.write.partitionBy("block").text(path)
     files = read_binary(t.spark, path, glob="*.txt")
-    name = file_name(F.col("path"))
     return files.select(
-        F.regexp_extract("path", "n_nationkey=([0-9]+)", 1).cast("int").alias("n_nationkey"),
-        file_extension(name).alias("extension"),
+        F.regexp_extract("path", "block=([0-9]+)", 1).cast("bigint").alias("block"),
+        file_extension(file_name(F.col("path"))).alias("extension"),
         "length",
-        F.trim(F.decode("content", "UTF-8"), F.lit("\n")).alias("content"),
+        F.sha2("content", 256).alias("sha256"),
     )
 
 
+@query("landing_csv_inferred", "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem")
+def landing_csv_inferred(t: Tables):
+    """Types found by looking at the text: whole numbers, fractions, words and days."""
+    path = f"{new_shared_folder(t.spark)}/lineitem"
+    written = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", F.col("l_shipdate").cast("date"))
+    written.write.option("header", True).csv(path)
+    found = read_landing(t.spark, path, infer=True)
+    kinds = dict(found.dtypes)
+    # What the text says, not what the file it came from said, decides; widths follow the largest value.
+    assert {kinds[c] for c in ("l_orderkey", "l_linenumber")} <= {"int", "bigint"} and kinds["l_shipdate"] == "date"
+    types = {f.name: f.dataType.simpleString() for f in written.schema}
+    return found.select(*[F.col(c).cast(types[c]).alias(c) for c in written.columns])
+
+
 _LINES = "SELECT *, s_suppkey % 7 = 0 AS broken FROM supplier"
 
 
