@@ -89,27 +89,73 @@ KINDS = (
 #: Score that a span of a kind outside the base needs, what a context word adds, and characters before a span in which it counts.
 KEPT, CONTEXT, NEAR = 0.5, 0.3, 40
 
-_SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
+#: Spans have code points for their readers (start, end) and bytes to cut by.
+_SPAN = "struct<kind:string,start:int,end:int,score:double,first:int,last:int>"
+
+
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _scan(items: Column, zero: Column, after: Callable, out: Callable, kind: str) -> Column:
+    """``out(state, item)`` of every item, the state being ``zero`` and then ``after(state, item)`` of the item before.
+
+    An array that grows by one is copied each time, so the items are taken in chunks of about the square root of their
+    number: first the state before each chunk, then the items of each chunk from there.
+    """
+
+    def chunks(x: Column) -> Column:
+        def part(c: Column) -> Column:
+            return F.slice(x["items"], c * x["width"] + 1, x["width"])
+
+        def before(acc: Column, c: Column) -> Column:
+            return F.struct(F.aggregate(part(c), acc["state"], after).alias("state"), F.array_append(acc["states"], acc["state"]).alias("states"))
+
+        def inside(state: Column, c: Column) -> Column:
+            def step(acc: Column, item: Column) -> Column:
+                return F.struct(after(acc["state"], item).alias("state"), F.array_append(acc["out"], out(acc["state"], item)).alias("out"))
+
+            start = F.struct(state.alias("state"), F.array().cast(f"array<{kind}>").alias("out"))
+            return F.aggregate(part(c), start, step, lambda acc: acc["out"])
+
+        numbers = F.sequence(F.lit(0), ((F.size(x["items"]) - 1) / x["width"]).cast("int"))
+        first = F.struct(zero.alias("state"), F.slice(F.array(zero), 1, 0).alias("states"))
+        states = F.aggregate(numbers, first, before, lambda acc: acc["states"])
+        return F.flatten(F.zip_with(states, numbers, inside))
+
+    width = F.greatest(F.lit(64), F.ceil(F.sqrt(F.size(items))).cast("int"))
+    # Passed through, as slices of an array in Spark's row format would read all of it.
+    passed = F.transform(items, lambda x: x)
+    return _with(F.struct(passed.alias("items"), width.alias("width")), chunks)
 
 
 def _spans(text: Column, kind: Kind) -> Column:
     gaps = F.split(text, kind.pattern, -1)
     found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["found"]), F.lit(0))
+    def lengths(x: Column, unit: Callable) -> tuple[Column, Column]:
+        return unit(x["gap"]), F.coalesce(unit(x["found"]), F.lit(0))
+
+    def after(state: Column, x: Column) -> Column:
+        (gap, own), (gap_bytes, own_bytes) = lengths(x, F.length), lengths(x, F.octet_length)
+        return F.struct((state["at"] + gap + own).alias("at"), (state["byte"] + gap_bytes + own_bytes).alias("byte"))
+
+    def span(state: Column, x: Column) -> Column:
+        (gap, own), (gap_bytes, own_bytes) = lengths(x, F.length), lengths(x, F.octet_length)
+        start, first = state["at"] + gap, state["byte"] + gap_bytes
         near = F.lower(F.substring(x["gap"], -NEAR, NEAR)).rlike(rf"\b(?:{kind.context})")
         score = F.lit(kind.score) + F.when(near, CONTEXT * (1 - kind.score) if kind.base else CONTEXT).otherwise(0.0)
-        span = F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))
         right = F.coalesce(kind.confirm(x["found"]), F.lit(False))
         kept = x["found"].isNotNull() & right & (F.lit(True) if kind.base else score >= KEPT)
-        return F.struct(end.alias("at"), F.when(kept, F.array_append(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+        values = {"kind": F.lit(kind.name), "start": start, "end": start + own, "score": score, "first": first, "last": first + own_bytes}
+        return F.when(kept, F.struct(*[v.alias(n) for n, v in values.items()]).cast(_SPAN))
 
     pairs = F.arrays_zip(gaps.alias("gap"), found.alias("found"))
     has = F.contains(text, F.lit(kind.needs)) if len(kind.needs) == 1 else text.rlike(kind.needs)
-    return F.when(has, F.aggregate(pairs, zero, step, lambda acc: acc["spans"])).otherwise(F.array().cast(_SPANS))
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("byte"))
+    all_spans = F.filter(_scan(pairs, zero, after, span, _SPAN), lambda s: s.isNotNull())
+    return F.when(has, all_spans).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
 def spans(text: Column) -> Column:
@@ -133,17 +179,21 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     longest of several).  A null text stays null, and a text without spans stays as it is.
     """
     packed = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
-    packed = packed.withColumn("spans", F.transform(spans(F.col("text")), lambda s: F.struct(s["start"], (-s["end"]).alias("back"), s["kind"])))
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    order = F.transform(spans(F.col("text")), lambda s: F.struct(s["first"].alias("first"), (-s["last"]).alias("back"), s["kind"].alias("kind")))
+
+    def without(x: Column) -> Column:
+        def cut(start: Column, end: Column) -> Column:
+            return F.decode(F.substring(x["bytes"], start + 1, end - start), "UTF-8")
 
-    def step(acc: Column, s: Column) -> Column:
-        until = F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit("<"), F.upper(s["kind"]), F.lit(">")))
-        return F.struct(F.greatest(acc["at"], -s["back"]).alias("at"), F.coalesce(until, acc["out"]).alias("out"))
+        def piece(at: Column, s: Column) -> Column:
+            """What stands between the spans before and this one, and its kind; nothing of a span that others cover."""
+            return F.when(s["first"] >= at, F.concat(cut(at, s["first"]), F.lit("<"), F.upper(s["kind"]), F.lit(">"))).otherwise("")
 
-    def end(acc: Column) -> Column:
-        return F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text")))
+        pieces = _scan(x["spans"], F.lit(0), lambda at, s: F.greatest(at, -s["back"]), piece, "string")
+        end = F.array_max(F.transform(x["spans"], lambda s: -s["back"]))
+        return F.when(F.size(x["spans"]) > 0, F.concat(F.array_join(pieces, ""), cut(end, F.octet_length(x["bytes"]))))
 
-    clean = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.aggregate(F.array_sort("spans"), zero, step, end))
+    clean = F.coalesce(_with(F.struct(F.array_sort(order).alias("spans"), F.encode("text", "UTF-8").alias("bytes")), without), F.col("text"))
     return packed.select("row.*", clean.alias("__clean")).select(*[F.col("__clean").alias(c) if c == text else F.col(c) for c in docs.columns])
 
 

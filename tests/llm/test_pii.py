@@ -50,3 +50,14 @@ def test_only_dataframe_functions(docs):
     for df in (pii.report(docs([])), pii.redact(docs([]))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and df.count() == 0
+
+
+def test_many_spans_in_one_long_text(docs):
+    """Positions and cuts of thousands of spans, in time that grows with the text."""
+    text = " é ".join(f"user{i}@mail.example.org tel +49 30 1234{i % 10000:04d}5 漢" for i in range(6000))
+    df = docs([(1, text), (2, "é" * 50_000 + " a@b.de " + "漢" * 50_000), (3, None), (4, "")])
+    found = {r.doc_id: [s for s in r.spans.split(",") if s.split(":")[0] in brute.PII] for r in pii.report(df.select("doc_id", "text")).collect()}
+    assert sorted(found[1]) == sorted(brute.base_spans(text)) and found[2] == ["email:50001:50007"]
+    clean = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    assert clean[1] == " é ".join(["<EMAIL> tel <PHONE> 漢"] * 6000) and clean[2] == "é" * 50_000 + " <EMAIL> " + "漢" * 50_000
+    assert (clean[3], clean[4]) == (None, "")
