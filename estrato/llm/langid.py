@@ -41,12 +41,16 @@ def fit(labelled: DataFrame, documents: int = DOCUMENTS, passage: int = PASSAGE,
     The sample is bounded: of each language the ``documents`` different texts with the smallest hashes, of each of them a
     passage of ``passage`` characters at a place drawn by the hash, and ``letters`` folded letters in all.
     """
-    draw = F.xxhash64("text")
     place = F.pmod(F.xxhash64(F.reverse("text")), F.greatest(F.length("text") - passage, F.lit(1))) + 1
-    ranked = labelled.filter("text IS NOT NULL AND lang IS NOT NULL").select("lang", draw.alias("draw"), F.substring(F.col("text"), place.cast("int"), F.lit(passage)).alias("passage"))
-    ranked = ranked.groupBy("lang", "draw").agg(F.min("passage").alias("passage"))  # exact copies are one text
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "passage"))
-    rows = ranked.withColumn("rank", rank).filter(F.col("rank") <= documents).orderBy("lang", "rank").select("lang", "passage").collect()
+    rows = labelled.filter("text IS NOT NULL AND lang IS NOT NULL").select("lang", F.xxhash64("text").alias("draw"), "text", place.cast("int").alias("place"))
+    # Hashes first: passages of the few texts that are chosen are all that is read of texts and moved.
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    drawn = rows.select("lang", "draw").distinct().withColumn("rank", rank).filter(F.col("rank") <= documents)
+    chosen = {(r.lang, r.draw): r["rank"] for r in drawn.collect()}  # a bounded number for each language
+    some = rows.filter(F.col("draw").isin(sorted({d for _, d in chosen}))) if chosen else rows.limit(0)
+    some = some.groupBy("lang", "draw").agg(F.min(F.substring(F.col("text"), F.col("place"), F.lit(passage))).alias("passage"))  # exact copies are one text
+    found = sorted((lang, chosen[lang, d], text) for lang, d, text in some.collect() if (lang, d) in chosen)
+    rows = [(lang, text) for lang, _, text in found]
     samples: dict[str, str] = {}
     for lang, text in rows:
         samples[lang] = (samples.get(lang, "") + " " + _folded(text))[:letters]
