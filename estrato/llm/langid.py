@@ -44,8 +44,11 @@ def fit(labelled: DataFrame, documents: int = DOCUMENTS, passage: int = PASSAGE,
     place = F.pmod(F.xxhash64(F.reverse("text")), F.greatest(F.length("text") - passage, F.lit(1))) + 1
     rows = labelled.filter("text IS NOT NULL AND lang IS NOT NULL").select("lang", F.xxhash64("text").alias("draw"), "text", place.cast("int").alias("place"))
     # Hashes first: passages of the few texts that are chosen are all that is read of texts and moved.
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
-    drawn = rows.select("lang", "draw").distinct().withColumn("rank", rank).filter(F.col("rank") <= documents)
+    drawn = rows.select("lang", "draw", F.pmod("draw", F.lit(64)).alias("part")).distinct()
+    # The first of each part, then of all: no task sees more than these, however many tasks report theirs.
+    for key in (["lang", "part"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*key).orderBy("draw"))
+        drawn = drawn.withColumn("rank", rank).filter(F.col("rank") <= documents)
     chosen = {(r.lang, r.draw): r["rank"] for r in drawn.collect()}  # a bounded number for each language
     some = rows.filter(F.col("draw").isin(sorted({d for _, d in chosen}))) if chosen else rows.limit(0)
     some = some.groupBy("lang", "draw").agg(F.min(F.substring(F.col("text"), F.col("place"), F.lit(passage))).alias("passage"))  # exact copies are one text
