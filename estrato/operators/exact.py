@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Digits of a band of exponents, and places of a value inside its band.
-_DIGITS, _PLACES = 8, 20
+_DIGITS, _PLACES = 8, 19
 _BASE = 10**_DIGITS
 # Positions that the fraction of a band reaches into.
 _BELOW = -(-_PLACES // _DIGITS)
@@ -44,10 +44,15 @@ def exact_sums(
         rows = df.select(*group, *beside, F.inline(pairs))
     x = F.col("_x")
     finite = ~F.isnan("_x") & (F.abs("_x") < float("inf"))
-    text = F.when(finite, x.cast("string"))
-    exponent = F.when(F.contains(text, F.lit("E")), F.substring_index(text, "E", -1).try_cast("int")).otherwise(F.when(text.isNotNull(), 0))
-    rows = rows.withColumns({"_text": F.substring_index(text, "E", 1), "_exponent": exponent}).withColumn("_band", F.floor(F.col("_exponent") / _DIGITS).cast("int"))
-    value = F.concat("_text", F.lit("E"), F.col("_exponent") - _DIGITS * F.col("_band")).cast(f"decimal(28,{_PLACES})")
+    # These have no exponent in their text, and need no taking apart.
+    plain = ((F.abs("_x") >= 1e-3) & (F.abs("_x") < 1e7)) | (x == 0)
+    text = F.when(finite & ~plain, x.cast("string"))
+    exponent = F.coalesce(F.substring_index(text, "E", -1).try_cast("int"), F.lit(0))
+    rows = rows.withColumns({"_text": text, "_exponent": exponent})
+    rows = rows.withColumn("_band", F.when(finite, F.floor(F.col("_exponent") / _DIGITS).cast("int")))
+    shifted = F.concat(F.substring_index("_text", "E", 1), F.lit("E"), F.col("_exponent") - _DIGITS * F.col("_band"))
+    kind = f"decimal(28,{_PLACES})"
+    value = F.when(plain, F.when(plain, x).cast(kind)).otherwise(shifted.cast(kind))
     rows = rows.withColumn("_v", value).withColumn("_whole", F.floor("_v").cast("bigint"))
     part = (F.col("_v") - F.col("_whole").cast("decimal(9,0)")).cast(f"decimal(28,{_PLACES})")
     # Each row is there once for every measure, so the others count with the first.
@@ -55,27 +60,39 @@ def exact_sums(
     sums = [F.sum("_whole").alias("_whole"), F.sum(part).alias("_part"), F.sum(F.when(~finite, x)).alias("_other")]
     bands = rows.groupBy(*keys, "_m", "_band").agg(*sums, *own)
 
-    limbs = F.when(F.col("_band").isNotNull(), F.struct(F.col("_band").alias("band"), *_limbs()))
+    sums = F.struct(F.col("_band").alias("band"), F.col("_whole").alias("whole"), F.col("_part").alias("part"))
     out = []
     for i, name in enumerate(names):
         mine = F.col("_m") == i
-        found = F.collect_list(F.when(mine, limbs))
+        found = F.collect_list(F.when(mine & F.col("_band").isNotNull(), sums))
         out.append(F.coalesce(F.sum(F.when(mine, F.col("_other"))), _nearest(found)).alias(name))
     out += [_MERGED[f](f"_o{i}").alias(name) for i, (name, (f, _)) in enumerate(others.items())]
     found = bands.groupBy(*keys).agg(*out)
     return found.withColumnsRenamed(dict(zip(keys, by)))
 
 
-def _limbs() -> list[Column]:
+def _limbs(band: Column) -> Column:
     """A band's sum as a number for its own position and one of eight digits for each position below."""
-    text = F.col("_part").cast("string")  # not negative, always with 20 places
+    text = band["part"].cast("string")  # not negative, always with all places
     places = F.rpad(F.substring_index(text, ".", -1), _DIGITS * _BELOW, "0")
-    own = (F.col("_whole") + F.substring_index(text, ".", 1).cast("bigint")).alias("l0")
-    return [own, *[F.substr(places, F.lit(_DIGITS * i + 1), F.lit(_DIGITS)).cast("bigint").alias(f"l{i + 1}") for i in range(_BELOW)]]
+    own = (band["whole"] + F.substring_index(text, ".", 1).cast("bigint")).alias("l0")
+    below = [F.substr(places, F.lit(_DIGITS * i + 1), F.lit(_DIGITS)).cast("bigint").alias(f"l{i + 1}") for i in range(_BELOW)]
+    return F.struct(band["band"].alias("band"), own, *below)
 
 
 def _nearest(bands: Column) -> Column:
     """The double nearest to the sum of all bands; NULL if there are none."""
+    one = F.get(bands, F.lit(0))
+    # Nearly always there is one band, whose sum is one decimal.
+    single = (F.size(bands) == 1) & (F.abs(one["whole"]) < 10**18) & (one["part"] < 10**9)
+    total = one["whole"].cast("decimal(18,0)") + one["part"].cast(f"decimal(28,{_PLACES})")
+    alone = F.concat(total.cast("string"), F.lit("E"), one["band"] * _DIGITS).cast("double")
+    several = F.get(F.transform(F.array(F.transform(bands, _limbs)), _of_several), F.lit(0))
+    return F.when(F.size(bands) == 0, None).when(single, alone).otherwise(several)
+
+
+def _of_several(bands: Column) -> Column:
+    """The sum of several bands, digit by digit."""
     low = F.array_min(F.transform(bands, lambda b: b["band"])) - _BELOW
     # Carries of 18 digits reach three positions up.
     high = F.array_max(F.transform(bands, lambda b: b["band"])) + 3
@@ -104,4 +121,4 @@ def _nearest(bands: Column) -> Column:
     def value(sign: int) -> Column:
         return F.concat(carried(sign)["digits"], F.lit("E"), low * _DIGITS).cast("double")
 
-    return F.when(F.size(bands) > 0, F.when(carried(1)["carry"] < 0, -value(-1)).otherwise(value(1)))
+    return F.when(carried(1)["carry"] < 0, -value(-1)).otherwise(value(1))
