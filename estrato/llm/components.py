@@ -12,7 +12,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node moves to the node's smallest neighbour."""
     both = edges.union(edges.select("b", "a").toDF("a", "b"))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    # The side that is aggregated gives up its partitioning, so that run-time splitting can part the edges of a large star.
+    return both.join(least.hint("rebalance"), "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -6,9 +6,10 @@
 3. In each component of suspects the bags themselves are compared: texts are linked if their multiset
    Jaccard similarity reaches the threshold.  Components of links are the classes.
 
-A task never gets an unbounded group: a bucket or a component is dealt into blocks, and every pair of blocks
-is a task's group, so no pair is left out.  What a group returns is a spanning forest of its links, never all
-pairs; texts that a chain of links joins already need no further link.
+A task never gets an unbounded group: a bucket or a component is dealt into blocks.  Its least text goes to every
+block and is compared with all others, which is linear; texts linked with it need no link among themselves.  The
+rest is compared with all texts, every pair of blocks being a task's group, so no link is lost.  What a group returns
+is a spanning forest of its links, never all pairs; texts that a chain of links joins already need no further link.
 """
 
 from __future__ import annotations
@@ -56,17 +57,13 @@ def _sign(words: int):
     return work
 
 
-def _dealt(rows: DataFrame, key: str, blocks: Column) -> DataFrame:
-    """Each row once for every pair of blocks that its block belongs to, as columns ``low`` and ``high``."""
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("own", own)
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
-    rows = rows.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")).drop("blocks", "own", "other")
-    keys = [key, "low", "high"]
-    return rows.repartition(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys)
+def _grouped(rows: DataFrame) -> DataFrame:
+    """Rows of one (key, low, high) in one partition, one after the other, by their nodes."""
+    keys = ["key", "low", "high"]
+    return rows.repartition(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys, "node")
 
 
-def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, int, int]]:
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, int, int]]:
     """Runs of equal (key, low, high) in sorted batches; a run that goes on in the next batch is held back."""
     held: list[pa.Table] = []
 
@@ -75,7 +72,7 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Ta
             return
         change = np.zeros(table.num_rows, bool)
         change[0] = True
-        for name in (key, "low", "high"):
+        for name in ("key", "low", "high"):
             codes = table.column(name).combine_chunks().dictionary_encode()
             codes = codes.indices if isinstance(codes, pa.DictionaryArray) else pa.concat_arrays([c.indices for c in codes.unify_dictionaries().chunks])
             codes = codes.to_numpy()
@@ -109,27 +106,78 @@ def forest(count: int, like: Callable[[int, np.ndarray], np.ndarray]) -> list[tu
     return edges
 
 
-def _edges(nodes: list, found: list[tuple[int, int]]) -> list[tuple]:
-    return [(nodes[i], nodes[j]) for i, j in found]
+def _first(alike: Callable[[pa.Table], Callable]):
+    """A forest of the groups of keys with one block; in others, whether each node is linked with the least one."""
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, low, high in _groups(batches):
+            part = table.slice(low, high - low).combine_chunks()
+            like, blocks = alike(part), part.column("blocks")[0].as_py()
+            if blocks == 1:
+                edges = np.array(forest(part.num_rows, like), np.int64).reshape(-1, 2)
+                ends, linked = (edges[:, 1], edges[:, 0]), np.ones(len(edges), bool)
+            else:
+                others = np.arange(1, part.num_rows)
+                ends, linked = (others, np.zeros_like(others)), like(0, others) if len(others) else np.zeros(0, bool)
+            if len(linked):
+                a, b = (part.column("node").take(pa.array(end)) for end in ends)
+                keys = part.column("key").take(pa.array(ends[0]))
+                yield from pa.table([keys, a, b, pa.array(linked), pa.array(np.full(len(linked), blocks))], ["key", "a", "b", "linked", "blocks"]).combine_chunks().to_batches()
+
+    return work
 
-def _table(edges: list[tuple]) -> pa.RecordBatch:
-    a, b = zip(*edges) if edges else ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
+def _second(alike: Callable[[pa.Table], Callable]):
+    """A forest of each group."""
 
-def _suspects(least: float):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, low, high in _groups(batches, "key"):
-            part = table.slice(low, high - low)
-            signature = np.frombuffer(b"".join(part.column("signature").to_pylist()), np.uint16).reshape(part.num_rows, -1)
-            found = forest(part.num_rows, lambda i, others: (signature[others] == signature[i]).mean(axis=1) >= least)
-            if found:
-                yield _table(_edges(part.column("node").to_pylist(), found))
+        for table, low, high in _groups(batches):
+            part = table.slice(low, high - low).combine_chunks()
+            edges = np.array(forest(part.num_rows, alike(part)), np.int64).reshape(-1, 2)
+            if len(edges):
+                yield from pa.table([part.column("node").take(pa.array(end)) for end in edges.T], ["a", "b"]).combine_chunks().to_batches()
 
     return work
 
 
+def _joined(members: DataFrame, values: DataFrame, alike: Callable[[pa.Table], Callable]) -> DataFrame:
+    """(node, component): components of the links among the nodes of each key.
+
+    ``members`` (key, node, least, blocks) tells the least node of each key and in how many blocks its nodes are dealt,
+    ``values`` (node, value) what ``alike`` compares.
+    """
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    places = F.when(F.col("node") == F.col("least"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array(own))
+    dealt = members.join(values, "node").withColumn("low", F.explode(places)).withColumn("high", F.col("low"))
+    kind = members.schema["key"].dataType.simpleString()
+    first = written(_grouped(dealt.drop("least")).mapInArrow(_first(alike), f"key {kind}, a binary, b binary, linked boolean, blocks long"))
+    edges = first.filter("linked").select("a", "b")
+
+    dealt = first.filter("blocks > 1")
+    counts = dealt.groupBy("key").agg(F.count_if(~F.col("linked")).alias("rest"), F.count("*").alias("texts")).filter("rest > 0")
+    if not counts.isEmpty():
+        rest = F.ceil(F.col("blocks") * F.col("rest") / F.col("texts"))
+        linked = F.ceil(F.col("blocks") * (F.col("texts") - F.col("rest")) / F.col("texts"))
+        placed = dealt.join(counts.hint("rebalance"), "key").select("key", F.col("a").alias("node"), "linked", rest.alias("r"), linked.alias("l"))
+        # The rest meets all blocks, its own r ones and those of the l of linked nodes; linked nodes meet the rest alone.
+        own = F.when(F.col("linked"), F.col("r") + F.pmod(F.xxhash64("node"), F.greatest("l", F.lit(1)))).otherwise(F.pmod(F.xxhash64("node"), "r"))
+        last = F.when(F.col("linked"), F.col("r")).otherwise(F.col("r") + F.col("l")) - 1
+        placed = placed.join(values, "node").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        pairs = placed.select("key", "node", "value", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+        edges = edges.union(_grouped(pairs).mapInArrow(_second(alike), "a binary, b binary"))
+    found = components(edges)
+    drop_written(first)
+    return found
+
+
+def _suspects(least: float):
+    def alike(part: pa.Table) -> Callable[[int, np.ndarray], np.ndarray]:
+        signature = np.frombuffer(b"".join(part.column("value").to_pylist()), np.uint16).reshape(part.num_rows, -1)
+        return lambda i, others: (signature[others] == signature[i]).mean(axis=1) >= least
+
+    return alike
+
+
 def _bag(words: int, bits: np.ndarray):
     """The bags of the texts whose bits are set."""
 
@@ -169,22 +217,18 @@ def overlap(bags: list[np.ndarray]) -> Callable[[int, np.ndarray], np.ndarray]:
 
 
 def _links(similarity: float):
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, low, high in _groups(batches, "component"):
-            part = table.slice(low, high - low)
-            bags = [np.frombuffer(b, np.uint64) for b in part.column("bag").to_pylist()]
-            sizes = np.array([len(b) for b in bags])
-            common = overlap(bags)
+    def alike(part: pa.Table) -> Callable[[int, np.ndarray], np.ndarray]:
+        bags = [np.frombuffer(b, np.uint64) for b in part.column("value").to_pylist()]
+        sizes = np.array([len(b) for b in bags])
+        common = overlap(bags)
 
-            def like(i: int, others: np.ndarray) -> np.ndarray:
-                both = common(i, others)
-                return both >= similarity * (sizes[i] + sizes[others] - both) - 1e-9
+        def like(i: int, others: np.ndarray) -> np.ndarray:
+            both = common(i, others)
+            return both >= similarity * (sizes[i] + sizes[others] - both) - 1e-9
 
-            found = forest(part.num_rows, like)
-            if found:
-                yield _table(_edges(part.column("node").to_pylist(), found))
+        return like
 
-    return work
+    return alike
 
 
 def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
@@ -203,26 +247,27 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY)
     nodes = written(rows.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("size").alias("size"), F.first("signature").alias("signature"), F.first("bands").alias("bands")))
 
     met = nodes.select("node", F.explode("bands").alias("key"))
-    counted = met.groupBy("key").agg(F.count("*").alias("texts")).filter("texts > 1")
-    members = met.join(counted, "key").join(nodes.select("node", "signature"), "node")
+    counted = met.groupBy("key").agg(F.count("*").alias("texts"), F.min("node").alias("least")).filter("texts > 1")
+    members = met.join(counted.select("key", "least", F.ceil(F.col("texts") / BLOCK).alias("blocks")).hint("rebalance"), "key")
     deviation = (similarity * (1 - similarity) / (BANDS * ROWS)) ** 0.5
-    dealt = _dealt(members, "key", F.ceil(F.col("texts") / BLOCK)).select("key", "low", "high", "node", "signature")
-    suspects = components(dealt.mapInArrow(_suspects(similarity - SLACK * deviation), "a binary, b binary"))
+    suspects = _joined(members, nodes.select("node", F.col("signature").alias("value")), _suspects(similarity - SLACK * deviation))
 
     some = written(suspects.join(nodes.select("node", "first_id", "size"), "node"))
     bits = sieve(some.select(F.xxhash64("node").alias("hash")), "hash")
     able = known.filter("text IS NOT NULL").select("doc_id", "text", "node", F.xxhash64("node").alias("hash")).mapInArrow(_bag(words, bits), "doc_id long, n binary, bag binary")
     wanted = able.join(some.select("node", "component", "first_id"), (F.col("n") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
-    bags = written(wanted.select("node", "component", "bag").dropDuplicates(["node"]))
+    bags = written(wanted.select("node", "component", F.col("bag").alias("value")).dropDuplicates(["node"]))
     sizes = some.groupBy("component").agg(F.count("*").alias("texts"), F.sum("size").alias("shingles"))
     blocks = F.ceil(F.greatest(F.col("texts") / BLOCK, F.col("shingles") / BLOCK_SHINGLES))
-    dealt = _dealt(bags.join(sizes, "component"), "component", blocks).select("component", "low", "high", "node", "bag")
-    linked = components(dealt.mapInArrow(_links(similarity), "a binary, b binary"))
+    # A component of suspects is named by its least text.
+    members = bags.select("component", "node").join(sizes.select("component", blocks.alias("blocks")).hint("rebalance"), "component")
+    members = members.select(F.col("component").alias("key"), "node", F.col("component").alias("least"), "blocks")
+    linked = _joined(members, bags.select("node", "value"), _links(similarity))
     drop_written(bags)
 
     placed = nodes.select("node", "first_id").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     first = placed.groupBy("component").agg(F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id", "node")).alias("least"))
-    named = placed.join(first, "component").select("node", F.col("least.first_id").alias("class_id"), F.col("least.node").alias("class_node"), "first_id")
+    named = placed.join(first.hint("rebalance"), "component").select("node", F.col("least.first_id").alias("class_id"), F.col("least.node").alias("class_node"), "first_id")
     out = known.select("doc_id", F.when(F.col("text").isNotNull(), F.col("node")).alias("node")).join(named, "node", "left")
     alone = F.col("class_node").isNull()
     return out.select("doc_id", F.when(~alone, F.col("node")).alias("node"), F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "class_node", "first_id")

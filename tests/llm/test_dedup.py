@@ -92,6 +92,23 @@ def test_blocks_leave_no_pair_out(docs, monkeypatch):
     assert {r.class_id for r in neardup.classes(docs(table)).collect()} == {0}
 
 
+@pytest.mark.parametrize("block", [2, 5, 16, 1024])
+def test_chains_and_clusters_in_blocks(docs, monkeypatch, block):
+    """Many texts share bands with a least text that they are not linked with: chains, clusters and strangers."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    draw = random.Random(block)
+    words = [f"w{i}" for i in range(300)]
+    table = [(i, " ".join([f"c{j}" for j in range(6 * i)] + words[6 * i :])) for i in range(30)]  # each near the next only
+    for group in range(3):
+        base = words[:150] + [f"g{group}_{i}" for i in range(60)]
+        for _ in range(15):
+            text = base[:]
+            text[draw.randrange(150, 210)] = f"n{draw.random()}"
+            table.append((len(table), " ".join(text)))
+    draw.shuffle(table)
+    assert _sorted(neardup.classes(docs(table)).select("doc_id", "class_id").collect()) == _sorted(brute.near_classes(table))
+
+
 def test_overlap_with_and_without_bits(monkeypatch):
     draw = np.random.default_rng(0)
     bags = [np.unique(draw.integers(0, 400, 150)).astype(np.uint64) for _ in range(20)]
