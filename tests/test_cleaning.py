@@ -13,6 +13,7 @@ from estrato.functions.text import file_extension, file_label, file_name, has_te
 from estrato.operators.dedup import dedup_by, unique_on
 from estrato.operators.shape import Check, conform, in_range, keep_valid, require, require_text, role, tag_rejects
 from estrato.plans import claims
+from estrato.workload import runnable
 
 
 def column(spark, values, kind, expression):
@@ -207,3 +208,16 @@ def test_unique_on(spark, rows):
     # The check survives column pruning.
     with pytest.raises(Exception, match="repeats 2 times"):
         unique_on(df.unionByName(df.filter("k = 1")), ["k"]).select("k").collect()
+
+
+def test_null_audit_counts_addresses_with_a_missing_part(spark, tmp_path):
+    customers = [
+        (1, "Customer#1", 5, 10.0, "BUILDING"),
+        (2, "Customer#2", 1, 10.0, "BUILDING"),  # no neighborhood
+        (3, "Customer#3", 5, -1.0, "BUILDING"),  # no zip code
+        (4, "Customer#4", None, None, None),  # no part at all
+    ]
+    kinds = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    spark.createDataFrame(customers, kinds).write.parquet(str(tmp_path / "customer.parquet"))
+    found = dict(runnable()["null_audit"](spark, str(tmp_path)).collect())
+    assert found["nulos_address"] == 3 and len(found) == 5
