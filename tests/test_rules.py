@@ -126,6 +126,39 @@ def test_gold_join_is_inner_and_decision_base_is_left(spark, rows):
     assert rows(short.drop("first_name", "last_name", "date_of_birth")) == rows(base.drop("first_name", "last_name", "date_of_birth"))
 
 
+def test_predictions_meet_claims_before_policies(spark, rows):
+    """Broadcasts off, as at scale: the wider policies come last, and no column moves twice."""
+    c, p, u = _sources(spark)
+    best = spark.createDataFrame([("C1", "dent", 0.5, "media", 1, 2), ("C4", "glass", 0.9, "alta", 1, 1), ("C9", "dent", 0.1, "baja", 0, 1)], "claim_no string, damage_label string, damage_score double, confidence_level string, imagenes_confiables bigint, total_imagenes bigint")
+    c = c.unionByName(c.filter("claim_no = 'C1'")).repartition(3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        base = claims.decision_base(c, p, u, best)
+        text = base._jdf.queryExecution().optimizedPlan().toString()
+        last, *before = [line for line in text.splitlines() if "Join LeftOuter" in line]
+        assert "_policy" in last and any("claim_no" in line for line in before)
+        assert not any("AS incident_date" in line for line in text.splitlines()[text.splitlines().index(last) :])
+        dealt = claims.insured_claims(c, claims.insured(p, u), best, dealt=True)
+        assert dealt.dtypes == base.dtypes and rows(dealt) == rows(base)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows(base, "claim_no", "damage_label", "chassis_no") == [
+        ("C1", "dent", "V1"), ("C1", "dent", "V1"), ("C2", None, "V2"), ("C3", None, None), ("C4", "glass", "V1"), ("C4", "glass", "V3"),
+    ]
+
+
+def test_rollup_is_the_same_without_vehicles(spark, rows):
+    predictions = spark.createDataFrame(
+        [("a.jpg", "dent", 0.5, "media", True), ("a.jpg", "dent", 0.5, "media", True), ("b.jpg", "glass", 0.5, "media", None)],
+        "image_name string, damage_label string, damage_score double, confidence_level string, is_reliable boolean",
+    )
+    images = [("a.jpg", "1", "C1", "V1"), ("a.jpg", "1", "C1", "V2"), ("a.jpg", "0", "C2", "V9"), ("b.jpg", None, "C1", None), ("b.jpg", None, "C1", "V3")]
+    metadata = spark.createDataFrame(images, "image_name string, image_id string, claim_no string, chassis_no string")
+    whole, short = (claims.prediction_rollup(predictions, claims.clean_metadata(metadata, vehicles)) for vehicles in (True, False))
+    assert "chassis_no" not in short.columns and rows(whole.drop("chassis_no")) == rows(short)
+    assert rows(short) == [("C1", "glass", 0.5, "media", 2, 3)]
+
+
 def test_telematics_summary(spark, rows):
     events = spark.createDataFrame(
         [("V", dt.datetime(2024, 1, 2), 1.0, 2.0, 1.005), ("V", None, 2.0, 3.0, 2.0), ("V", dt.datetime(2024, 1, 1), 3.0, 4.0, None)],
