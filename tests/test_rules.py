@@ -2,7 +2,9 @@
 
 import datetime as dt
 
+import pyarrow.parquet as pq
 import pytest
+from compare import connect, differences
 from pyspark.sql import functions as F
 
 from estrato.fixed import DECISIONS, SEVERITIES
@@ -10,6 +12,7 @@ from estrato.operators import reports
 from estrato.operators.aggregates import imbalance, share, top_share
 from estrato.operators.rules import Rule, apply_rules
 from estrato.plans import claims
+from estrato.workload import oracles, runnable
 
 BASE = (
     "claim_no string, incident_date date, policy_start date, policy_end date, claim_total double, premium double, "
@@ -237,6 +240,37 @@ def test_small_panels(spark, decided, rows):
     ]
 
 
+def test_panels_count_claims_once_for_each_policy_and_customer(spark, tmp_path):
+    """A repeated claim number, policy or customer loses no row of the decision table, in the panels neither."""
+    day = dt.datetime(2000, 5, 1)
+    tables = {
+        "customer": (
+            [(1, "Ana", 5, 10.0, "FURNITURE"), (1, "Eva", 5, 20.0, "HOUSEHOLD"), (2, "Leo", 5, 10.0, "BUILDING"), (4, "Sol", 5, -1.0, "MACHINERY")],
+            "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+        ),
+        "orders": (
+            [(10, 1, "O", 90000.0, day, "1-URGENT"), (20, 2, "O", 90000.0, day, "1-URGENT"), (20, 2, "F", 20000.0, day, "5-LOW"), (30, 3, "O", 90000.0, day, "5-LOW")],
+            "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+        ),
+        "lineitem": (
+            [
+                (10, 1, 1, 1, 9.0, 9000.0, 0.06, 0.01, "A", "F", day), (10, 2, 1, 1, 9.0, 40000.0, 0.09, 0.01, "N", "F", day),
+                (20, 3, 1, 4, 9.0, 9000.0, 0.01, 0.0, "A", "F", day), (30, 4, 1, 1, 9.0, 9000.0, 0.06, 0.01, "R", "O", day), (40, 5, 1, 2, 9.0, 9000.0, 0.1, 0.01, "R", "O", day),
+            ],
+            "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+            "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+        ),
+    }
+    for name, (lines, kinds) in tables.items():
+        pq.write_table(spark.createDataFrame(lines, kinds).toArrow(), tmp_path / f"{name}.parquet")
+    names = "decision_counts", "severity_counts", "amount_center", "executive_kpis", "claim_panels"
+    found = {n: runnable()[n](spark, str(tmp_path)).toArrow() for n in names}
+    # Two claims with two customers, one with two policies, one without a customer and one without a policy.
+    assert sum(found["decision_counts"]["n"].to_pylist()) == 2 * 2 + 2 + 1 + 1
+    duck = connect(str(tmp_path))
+    assert {n: differences(t, duck.sql(oracles()[n]).to_arrow_table()) for n, t in found.items()} == dict.fromkeys(names, [])
+
+
 def test_kpis_of_nothing(spark, decided):
     scored = decided.withColumn("damage_score", F.lit(0.5))
     kpis = reports.executive_kpis(scored, "decision_final", DECISIONS, "damage_label", "damage_score", "claim_total")
